@@ -1,0 +1,5 @@
+"""Queries over the given tables, one per operator, with their expected SQL."""
+
+from workload import check_queries, result_queries
+
+QUERY_MODULES = (check_queries, result_queries)
