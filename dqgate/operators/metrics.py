@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqgate.functions.columns import quoted, resolve
 from dqgate.names import KPI_AGGREGATES
@@ -17,8 +18,6 @@ from dqgate.schemas import METRIC_SCHEMA, RESULT_TYPE
 # further pass over the columns they need.
 METRICS_PER_PASS = 60
 
-_METRIC_FIELDS = [part.strip().split(" ")[0] for part in METRIC_SCHEMA.split(", ")]
-
 
 @dataclass(frozen=True)
 class Metric:
@@ -48,11 +47,25 @@ def in_list_count(df: DataFrame, column: str, values: Sequence[str]) -> Column:
 
 
 def kpi_value(df: DataFrame, function: str, column: str) -> Column:
-    """A configured aggregate; only listed aggregate names are accepted."""
+    """A configured aggregate; only listed aggregate names are accepted.
+
+    Text that is no number counts as missing in a numeric aggregate, and sums of
+    whole numbers are taken as decimals, so that no value can stop the job.
+    """
     name = function.strip().lower()
     if name not in KPI_AGGREGATES:
         raise ValueError(f"aggregate {function!r} is not one of {KPI_AGGREGATES}")
-    target = F.lit(1) if column.strip() == "*" else quoted(resolve(df, column))
+    if column.strip() == "*":
+        return getattr(F, name)(F.lit(1))
+    column = resolve(df, column)
+    data_type, target = df.schema[column].dataType, quoted(column)
+    if name in ("sum", "avg", "stddev", "variance"):
+        if isinstance(data_type, T.StringType):
+            target = target.try_cast("double")
+        elif not isinstance(data_type, T.NumericType):
+            raise ValueError(f"{name} needs a numeric column, {column!r} is {data_type.simpleString()}")
+        elif name == "sum" and isinstance(data_type, T.IntegralType):
+            target = target.cast("decimal(20,0)")
     return getattr(F, name)(target)
 
 
@@ -67,20 +80,11 @@ def _needs_own_pass(metric: Metric) -> bool:
     return (metric.function or "").strip().lower() == "count_distinct"
 
 
-def _metric_struct(metric: Metric, **values: Column) -> Column:
-    known = {
-        "check_id": F.lit(metric.check_id),
-        "side": F.lit(metric.side),
-        "total_rows": F.col("total_rows"),
-        **values,
-    }
-    types = dict(part.strip().split(" ") for part in METRIC_SCHEMA.split(", "))
-    return F.struct(
-        *[known.get(f, F.lit(None)).cast(types[f]).alias(f) for f in _METRIC_FIELDS]
-    )
-
+def metric_column(df: DataFrame, metric: Metric) -> Column | None:
+    """The aggregate behind a metric; None for a row count, which every pass has.
 
-def _aggregate(df: DataFrame, metric: Metric) -> Column | None:
+    Raises when the table has no such column, or not of a fitting type.
+    """
     if metric.kind == "rows":
         return None
     if metric.kind == "nulls":
@@ -88,43 +92,64 @@ def _aggregate(df: DataFrame, metric: Metric) -> Column | None:
     if metric.kind == "in_list":
         return in_list_count(df, metric.column, metric.values)
     if metric.kind == "latest":
-        return F.max(quoted(resolve(df, metric.column))).cast("timestamp")
+        return F.max(quoted(resolve(df, metric.column)).try_cast("timestamp"))
     if metric.kind == "aggregate":
         return as_result(kpi_value(df, metric.function, metric.column))
     raise ValueError(f"unknown metric kind {metric.kind!r}")
 
 
-def _one_pass(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
-    aggregates = {f"m{i}": _aggregate(df, m) for i, m in enumerate(metrics)}
-    measured = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[a.alias(n) for n, a in aggregates.items() if a is not None],
+# Which field of a metric row an aggregate fills.
+_FIELD_OF = {
+    "rows": None,
+    "nulls": "unexpected_rows",
+    "in_list": "unexpected_rows",
+    "latest": "as_of_max",
+    "aggregate": "value",
+}
+
+
+def metric_row_sql(check_id: int, side: str, known: Mapping[str, str]) -> str:
+    """A metric row as a SQL struct; `known` gives the expressions of its filled fields."""
+    filled = {"check_id": str(check_id), "side": f"'{side}'", **known}
+    fields = (part.split(" ") for part in METRIC_SCHEMA.split(", "))
+    return "named_struct({})".format(
+        ", ".join(f"'{name}', CAST({filled.get(name, 'NULL')} AS {kind})" for name, kind in fields)
     )
-    structs = []
-    for i, metric in enumerate(metrics):
-        target = {
-            "rows": {},
-            "nulls": {"unexpected_rows": F.col(f"m{i}")},
-            "in_list": {"unexpected_rows": F.col(f"m{i}")},
-            "latest": {"as_of_max": F.col(f"m{i}")},
-            "aggregate": {"value": F.col(f"m{i}")},
-        }[metric.kind]
-        structs.append(_metric_struct(metric, **target))
-    return measured.select(F.inline(F.array(*structs)))
 
 
-def table_metrics(df: DataFrame, metrics: Sequence[Metric]) -> list[DataFrame]:
+def _one_pass(df: DataFrame, metrics: Sequence[tuple[Metric, Column | None]]) -> DataFrame:
+    measured = df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        *[column.alias(f"m{i}") for i, (_, column) in enumerate(metrics) if column is not None],
+    )
+    rows = []
+    for i, (metric, _) in enumerate(metrics):
+        known = {"total_rows": "total_rows"}
+        if _FIELD_OF[metric.kind]:
+            known[_FIELD_OF[metric.kind]] = f"m{i}"
+        rows.append(metric_row_sql(metric.check_id, metric.side, known))
+    return measured.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def planned_metrics(
+    df: DataFrame, metrics: Sequence[tuple[Metric, Column | None]]
+) -> list[DataFrame]:
     """Long metric rows (`METRIC_SCHEMA`) of one table.
 
     All metrics share one scan that reads only the named columns and one
     partial/final aggregate, whose exchange carries a single row per task.
     """
-    shared = [m for m in metrics if not _needs_own_pass(m)]
-    alone = [m for m in metrics if _needs_own_pass(m)]
+    shared = [m for m in metrics if not _needs_own_pass(m[0])]
+    alone = [m for m in metrics if _needs_own_pass(m[0])]
     passes = [shared[i : i + METRICS_PER_PASS] for i in range(0, len(shared), METRICS_PER_PASS)]
     return [_one_pass(df, p) for p in [*passes, *[[m] for m in alone]]]
 
 
+def table_metrics(df: DataFrame, metrics: Sequence[Metric]) -> list[DataFrame]:
+    """`planned_metrics` for metrics whose columns are known to exist."""
+    return planned_metrics(df, [(m, metric_column(df, m)) for m in metrics])
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """`table_name, row_count` for several tables in one job."""
     counted = [

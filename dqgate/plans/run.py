@@ -8,7 +8,7 @@ from collections import defaultdict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,13 @@ from dqgate.functions.formatting import list_text, session_time
 from dqgate.functions.threshold import pair_status, pct_change, rerun_status
 from dqgate.operators.compare import clean_status, count_status, freshness_status
 from dqgate.operators.kpi import kpi_sql, kpi_warehouse, query_text
-from dqgate.operators.metrics import Metric, hours_since, table_metrics
+from dqgate.operators.metrics import (
+    Metric,
+    hours_since,
+    metric_column,
+    metric_row_sql,
+    planned_metrics,
+)
 from dqgate.operators.referential import foreign_key_stats
 from dqgate.operators.uniqueness import uniqueness_stats
 from dqgate.plans.checks import ITEM_COLUMNS, active_checks, check_items
@@ -99,7 +105,7 @@ class _Plan:
         self.spark = spark
         self.locations = locations
         self.tables = _Tables(spark, locations)
-        self.metrics: dict[tuple, list[Metric]] = defaultdict(list)
+        self.metrics: dict[tuple, list[tuple[Metric, Column | None]]] = defaultdict(list)
         self.frames: list[DataFrame] = []
         self.errors: dict[int, str] = {}
         self.queries: dict[int, dict[str, str]] = defaultdict(dict)
@@ -189,8 +195,8 @@ class _Plan:
         return request
 
     def _measure(self, place: tuple, table: DataFrame, metric: Metric) -> Callable[[], None]:
-        table_metrics(table, [metric])  # a wrong column shows here, for this check alone
-        return lambda: self.metrics[place].append(metric)
+        column = metric_column(table, metric)  # a wrong column shows here, for this check alone
+        return lambda: self.metrics[place].append((metric, column))
 
     def _frame(self, check_id: int, side: str, stats: DataFrame) -> Callable[[], None]:
         return lambda: self.frames.append(_as_metric_rows(check_id, side, stats))
@@ -203,7 +209,7 @@ class _Plan:
         fused = [
             frame
             for place, metrics in self.metrics.items()
-            for frame in table_metrics(self.tables.loaded[place], metrics)
+            for frame in planned_metrics(self.tables.loaded[place], metrics)
         ]
         return union_all([base, *fused, *self.frames])
 
@@ -214,12 +220,8 @@ def _message(problem: Exception) -> str:
 
 
 def _as_metric_rows(check_id: int, side: str, stats: DataFrame) -> DataFrame:
-    fields = [part.strip().split(" ") for part in METRIC_SCHEMA.split(", ")]
-    known = {"check_id": F.lit(check_id), "side": F.lit(side)}
-    known.update({c: F.col(c) for c in stats.columns})
-    return stats.select(
-        *[known.get(name, F.lit(None)).cast(data_type).alias(name) for name, data_type in fields]
-    )
+    row = metric_row_sql(check_id, side, {c: c for c in stats.columns})
+    return stats.selectExpr(f"inline(array({row}))")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

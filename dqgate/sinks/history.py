@@ -20,10 +20,13 @@ _STORED_SCHEMA = T.StructType([*AUDIT_SCHEMA.fields, T.StructField(DAY_COLUMN, T
 
 
 def append_history(audit: DataFrame, location: str) -> None:
-    """Append audit rows as parquet, one folder per day of creation."""
-    append(
-        audit.withColumn(DAY_COLUMN, F.to_date("CRTD_TM")), location, partition_by=[DAY_COLUMN]
-    )
+    """Append audit rows as parquet, one folder per day of creation.
+
+    Rows are brought together by day first, so that a day gets few files; a day
+    with very many rows is split over several tasks.
+    """
+    by_day = audit.withColumn(DAY_COLUMN, F.to_date("CRTD_TM")).hint("rebalance", DAY_COLUMN)
+    append(by_day, location, partition_by=[DAY_COLUMN])
 
 
 def read_history(spark: SparkSession, location: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqgate.functions.formatting import session_time
+from dqgate.functions.threshold import rerun_status
 from dqgate.operators import kpi, metrics, referential, uniqueness
 from dqgate.operators.compare import (
     clean_status,
@@ -315,9 +316,8 @@ def threshold_rule(spark, sf_dir):
         )
     )
     judged = compared(per_supplier, "previous_rows", "current_rows", "pair")
-    rerun = compared(per_supplier, "previous_rows", "current_rows", "rerun")
-    return judged.join(
-        rerun.select("l_suppkey", F.col("status").alias("rerun_status")), "l_suppkey"
+    return judged.withColumn(
+        "rerun_status", rerun_status(F.col("previous_rows"), F.col("current_rows"))
     )
 
 

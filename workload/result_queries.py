@@ -259,10 +259,10 @@ def line_history(spark, sf_dir):
 
 @query(
     "history_retention",
-    f'SELECT * FROM ({_HISTORY_SQL}) WHERE "CRTD_TM" >= TIMESTAMP \'1998-11-20 12:00:00\' - INTERVAL 35 DAY',
+    f'SELECT * FROM ({_HISTORY_SQL}) WHERE "CRTD_TM" >= TIMESTAMP \'2001-09-20 12:00:00\' - INTERVAL 35 DAY',
 )
 def history_retention(spark, sf_dir):
-    return history_store.retained(line_history(spark, sf_dir), dt.datetime(1998, 11, 20, 12))
+    return history_store.retained(line_history(spark, sf_dir), dt.datetime(2001, 9, 20, 12))
 
 
 # Audit rows that mix text into numeric columns, as older writers left them.
@@ -284,18 +284,32 @@ def audit_typed(spark, sf_dir):
     return results.audit_typed(spark.sql(_LOOSE))
 
 
-@query("append_history", f"SELECT * FROM ({_HISTORY_SQL} WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00')")
+_RECENT = f"SELECT * FROM ({_HISTORY_SQL} WHERE l_shipdate >= TIMESTAMP '2001-09-01 00:00:00')"
+
+
+@query("append_history", _RECENT)
 def append_history(spark, sf_dir):
     """Two appends; the second must leave what the first wrote."""
-    rows = line_history(spark, sf_dir).where("CRTD_TM >= timestamp '1998-01-01 00:00:00'")
-    # A shuffle by day keeps one file per day and append, instead of one per task and day.
-    rows = rows.repartition(F.to_date("CRTD_TM"))
+    rows = line_history(spark, sf_dir).where("CRTD_TM >= timestamp '2001-09-01 00:00:00'")
     location = scratch_dir(spark, "history")
     history_store.append_history(rows.where("VLDTN_RSLT = 'Pass'"), location)
     history_store.append_history(rows.where("VLDTN_RSLT <> 'Pass'"), location)
     return history_store.read_history(spark, location)
 
 
+@query(
+    "history_purge",
+    f"SELECT * FROM ({_RECENT}) WHERE \"CRTD_TM\" >= TIMESTAMP '2001-11-10 12:00:00' - INTERVAL 35 DAY",
+)
+def history_purge(spark, sf_dir):
+    """Expired days leave storage; the day of the limit is rewritten."""
+    rows = line_history(spark, sf_dir).where("CRTD_TM >= timestamp '2001-09-01 00:00:00'")
+    location = scratch_dir(spark, "history")
+    history_store.append_history(rows, location)
+    history_store.purge_history(spark, location, dt.datetime(2001, 11, 10, 12))
+    return history_store.read_history(spark, location)
+
+
 @query("read_history", over_result(_AUDIT))
 def read_history(spark, sf_dir):
     location = scratch_dir(spark, "history")
