@@ -117,7 +117,23 @@ def metric_row_sql(check_id: int, side: str, known: Mapping[str, str]) -> str:
     )
 
 
-def _one_pass(df: DataFrame, metrics: Sequence[tuple[Metric, Column | None]]) -> DataFrame:
+Planned = tuple[Metric, Column | None]
+
+
+def metric_passes(metrics: Sequence[Planned]) -> list[list[Planned]]:
+    """Metrics of one table, put together by the pass over the table that takes them."""
+    shared = [m for m in metrics if not _needs_own_pass(m[0])]
+    alone = [m for m in metrics if _needs_own_pass(m[0])]
+    passes = [shared[i : i + METRICS_PER_PASS] for i in range(0, len(shared), METRICS_PER_PASS)]
+    return [*passes, *[[m] for m in alone]]
+
+
+def one_pass(df: DataFrame, metrics: Sequence[Planned]) -> DataFrame:
+    """Metric rows of one pass over a table.
+
+    All metrics share one scan that reads only the named columns and one
+    partial/final aggregate, whose exchange carries a single row per task.
+    """
     measured = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         *[column.alias(f"m{i}") for i, (_, column) in enumerate(metrics) if column is not None],
@@ -131,23 +147,10 @@ def _one_pass(df: DataFrame, metrics: Sequence[tuple[Metric, Column | None]]) ->
     return measured.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def planned_metrics(
-    df: DataFrame, metrics: Sequence[tuple[Metric, Column | None]]
-) -> list[DataFrame]:
-    """Long metric rows (`METRIC_SCHEMA`) of one table.
-
-    All metrics share one scan that reads only the named columns and one
-    partial/final aggregate, whose exchange carries a single row per task.
-    """
-    shared = [m for m in metrics if not _needs_own_pass(m[0])]
-    alone = [m for m in metrics if _needs_own_pass(m[0])]
-    passes = [shared[i : i + METRICS_PER_PASS] for i in range(0, len(shared), METRICS_PER_PASS)]
-    return [_one_pass(df, p) for p in [*passes, *[[m] for m in alone]]]
-
-
 def table_metrics(df: DataFrame, metrics: Sequence[Metric]) -> list[DataFrame]:
-    """`planned_metrics` for metrics whose columns are known to exist."""
-    return planned_metrics(df, [(m, metric_column(df, m)) for m in metrics])
+    """Long metric rows (`METRIC_SCHEMA`) of one table, one DataFrame per pass over it."""
+    planned = [(m, metric_column(df, m)) for m in metrics]
+    return [one_pass(df, p) for p in metric_passes(planned)]
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -18,14 +18,28 @@ from dqgate.plans.results import (
     summary_by_category,
     summary_by_layer,
 )
-from dqgate.plans.run import MAX_CHECKS, RunContext, _message, plan_run, union_all
-from dqgate.schemas import RESULT_SCHEMA
+from dqgate.plans.run import (
+    MAX_CHECKS,
+    Frame,
+    PlannedRun,
+    RunContext,
+    message_of,
+    plan_run,
+    prepare_run,
+    union_all,
+)
+from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA
+from dqgate.session import scratch_dir
 from dqgate.sinks.history import append_history
 from dqgate.sinks.layers import overwrite
 from dqgate.sinks.state import read_state, save_state, state_of
 from dqgate.sources.locations import Locations
 
 
+# Tables and keys computed by one job; see `compute`.
+FRAMES_PER_JOB = 64
+
+
 @dataclass(frozen=True)
 class Output:
     """Folders of a deployment. Results are kept per run, pipeline and stage."""
@@ -58,6 +72,43 @@ def run_all(
     return plan_run(spark, config, locations, ctx, state)
 
 
+def _computed(frames: list[Frame], folder: str) -> tuple[list[str], dict[int, str]]:
+    """Write the metric rows of frames; returns the folders written and what failed.
+
+    The frames of one job run side by side. When a job fails, its frames are
+    tried one by one, so that only the checks of a broken table are lost.
+    """
+    try:
+        overwrite(union_all([f.rows for f in frames]), folder)
+        return [folder], {}
+    except Exception as problem:
+        if len(frames) == 1:
+            return [], dict.fromkeys(frames[0].check_ids, message_of(problem))
+    written, failed = [], {}
+    for i, frame in enumerate(frames):
+        paths, errors = _computed([frame], f"{folder}-{i}")
+        written += paths
+        failed.update(errors)
+    return written, failed
+
+
+def compute(planned: PlannedRun, folder: str) -> tuple[list[DataFrame], dict[int, str]]:
+    """Metric rows of a planned run, stored under `folder`, and errors by check.
+
+    A job takes `FRAMES_PER_JOB` frames: enough to keep a cluster busy, few
+    enough that re-planning the job as its stages finish stays cheap, however
+    many tables are configured.
+    """
+    written, failed = [], {}
+    for i in range(0, len(planned.frames), FRAMES_PER_JOB):
+        paths, errors = _computed(planned.frames[i : i + FRAMES_PER_JOB], f"{folder}/{i:06d}")
+        written += paths
+        failed.update(errors)
+    if not written:
+        return [], failed
+    return [planned.spark.read.schema(METRIC_SCHEMA).parquet(*written)], failed
+
+
 def _failed_run(
     spark: SparkSession, config: DataFrame, ctx: RunContext, pipeline: str, stage: str, problem: str
 ) -> DataFrame:
@@ -115,9 +166,10 @@ def run_and_save(
 ) -> DataFrame:
     """Run every pipeline and stage, keep the results, and return the gate.
 
-    Each stage is one job whose result is written before anything is derived
-    from it, so no checked table is read twice. A stage whose job fails is
-    recorded as an error and the others still run.
+    The result of a stage is written before anything is derived from it, so no
+    checked table is read twice. A check whose table cannot be read becomes an
+    `Error` row; a stage that cannot be run at all is recorded as one, and the
+    others still run.
     """
     runs = runs_of(config).orderBy("PipelineName", "StageName").limit(MAX_CHECKS).collect()
     gates = []
@@ -125,12 +177,13 @@ def run_and_save(
         folder = output.stage(pipeline, stage)
         stored = f"{folder}/check_result"
         try:
-            state = read_state(spark, output.state)
-            overwrite(
-                plan_run(spark, config, locations, ctx, state, pipeline, stage).coalesce(1), stored
-            )
+            planned = prepare_run(spark, config, locations, pipeline, stage)
+            metrics, failed = compute(planned, scratch_dir(spark, "metrics"))
+            result = planned.judge(metrics, ctx, read_state(spark, output.state), failed)
+            overwrite(result.coalesce(1), stored)
         except Exception as problem:  # one stage must not stop the others
-            overwrite(_failed_run(spark, config, ctx, pipeline, stage, _message(problem)), stored)
+            problem_rows = _failed_run(spark, config, ctx, pipeline, stage, message_of(problem))
+            overwrite(problem_rows, stored)
         result = spark.read.schema(RESULT_SCHEMA).parquet(stored)
         write_projections(result, folder, locations)
         append_history(audit_history(result), output.history)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -21,8 +21,9 @@ from dqgate.operators.metrics import (
     Metric,
     hours_since,
     metric_column,
+    metric_passes,
     metric_row_sql,
-    planned_metrics,
+    one_pass,
 )
 from dqgate.operators.referential import foreign_key_stats
 from dqgate.operators.uniqueness import uniqueness_stats
@@ -98,6 +99,14 @@ def _layers_of(item: Row) -> tuple[str | None, str | None]:
     return layer, item.src_layer or source_layer or layer
 
 
+@dataclass(frozen=True)
+class Frame:
+    """Metric rows of some checks, computed together."""
+
+    check_ids: tuple[int, ...]
+    rows: DataFrame
+
+
 class _Plan:
     """Collects what each check needs, then builds one plan per table."""
 
@@ -106,7 +115,7 @@ class _Plan:
         self.locations = locations
         self.tables = _Tables(spark, locations)
         self.metrics: dict[tuple, list[tuple[Metric, Column | None]]] = defaultdict(list)
-        self.frames: list[DataFrame] = []
+        self.frames: list[Frame] = []
         self.errors: dict[int, str] = {}
         self.queries: dict[int, dict[str, str]] = defaultdict(dict)
 
@@ -117,7 +126,7 @@ class _Plan:
         try:
             requests = list(self._requests(check_id, item))
         except Exception as problem:  # a bad table or query must not stop the others
-            self.errors[check_id] = _message(problem)
+            self.errors[check_id] = message_of(problem)
             return
         for request in requests:
             request()
@@ -199,22 +208,20 @@ class _Plan:
         return lambda: self.metrics[place].append((metric, column))
 
     def _frame(self, check_id: int, side: str, stats: DataFrame) -> Callable[[], None]:
-        return lambda: self.frames.append(_as_metric_rows(check_id, side, stats))
+        frame = Frame((check_id,), _as_metric_rows(check_id, side, stats))
+        return lambda: self.frames.append(frame)
 
-    def metric_rows(self, check_ids: Sequence[int]) -> DataFrame:
-        base = self.spark.createDataFrame(
-            [(i, "main", None, None, None, None, None, self.errors.get(i)) for i in check_ids],
-            METRIC_SCHEMA,
-        )
-        fused = [
-            frame
-            for place, metrics in self.metrics.items()
-            for frame in planned_metrics(self.tables.loaded[place], metrics)
-        ]
-        return union_all([base, *fused, *self.frames])
+    def all_frames(self) -> list[Frame]:
+        fused = []
+        for place, metrics in self.metrics.items():
+            table = self.tables.loaded[place]
+            for taken in metric_passes(metrics):
+                ids = tuple(dict.fromkeys(m.check_id for m, _ in taken))
+                fused.append(Frame(ids, one_pass(table, taken)))
+        return [*fused, *self.frames]
 
 
-def _message(problem: Exception) -> str:
+def message_of(problem: Exception) -> str:
     text = str(problem).strip().split("\n")[0]
     return f"{type(problem).__name__}: {text}"
 
@@ -336,16 +343,53 @@ def _judged(measured: DataFrame, items: DataFrame, state: DataFrame, ctx: RunCon
     )
 
 
-def plan_run(
+@dataclass(frozen=True)
+class PlannedRun:
+    """A run before it is computed: what is checked, and the frames to compute."""
+
+    spark: SparkSession
+    items: list[Row]
+    queries: dict[int, dict[str, str]]
+    errors: dict[int, str]
+    frames: list[Frame]
+
+    def judge(
+        self,
+        metric_rows: Sequence[DataFrame],
+        ctx: RunContext,
+        state: DataFrame | None = None,
+        late_errors: Mapping[int, str] | None = None,
+    ) -> DataFrame:
+        """The long result, from the metric rows of all frames.
+
+        `late_errors` are checks whose metrics could not be computed.
+        """
+        errors = {**(late_errors or {}), **self.errors}
+        every_check = self.spark.createDataFrame(
+            [(i, "main", *[None] * 5, errors.get(i)) for i in range(len(self.items))],
+            METRIC_SCHEMA,
+        )
+        listed = []
+        for check_id, item in enumerate(self.items):
+            shown = self.queries.get(check_id, {})
+            values = item.asDict()
+            values["src_query"] = shown.get("src", item.src_query)
+            values["dest_query"] = shown.get("dest", item.dest_query)
+            listed.append((check_id, *values.values()))
+        items = self.spark.createDataFrame(listed, T.StructType.fromDDL(_ITEM_SCHEMA))
+        if state is None:
+            state = self.spark.createDataFrame([], STATE_SCHEMA)
+        return _judged(_per_check(union_all([every_check, *metric_rows])), items, state, ctx)
+
+
+def prepare_run(
     spark: SparkSession,
     config: DataFrame,
     locations: Locations,
-    ctx: RunContext,
-    state: DataFrame | None = None,
     pipeline: str | None = None,
     stage: str | None = None,
-) -> DataFrame:
-    """The long result of all active checks, as one lazy DataFrame.
+) -> PlannedRun:
+    """Plans all active checks without computing any.
 
     Each table is scanned once for all its counts, null checks, unexpected
     values, freshness and path KPIs together; each unique key and foreign key
@@ -356,15 +400,18 @@ def plan_run(
     plan = _Plan(spark, locations)
     for check_id, item in enumerate(rows):
         plan.add(check_id, item)
-    listed = []
-    for check_id, item in enumerate(rows):
-        shown = plan.queries.get(check_id, {})
-        values = item.asDict()
-        values["src_query"] = shown.get("src", item.src_query)
-        values["dest_query"] = shown.get("dest", item.dest_query)
-        listed.append((check_id, *values.values()))
-    items = spark.createDataFrame(listed, T.StructType.fromDDL(_ITEM_SCHEMA))
-    if state is None:
-        state = spark.createDataFrame([], STATE_SCHEMA)
-    measured = _per_check(plan.metric_rows(range(len(rows))))
-    return _judged(measured, items, state, ctx)
+    return PlannedRun(spark, rows, plan.queries, plan.errors, plan.all_frames())
+
+
+def plan_run(
+    spark: SparkSession,
+    config: DataFrame,
+    locations: Locations,
+    ctx: RunContext,
+    state: DataFrame | None = None,
+    pipeline: str | None = None,
+    stage: str | None = None,
+) -> DataFrame:
+    """The long result of all active checks, as one lazy DataFrame."""
+    planned = prepare_run(spark, config, locations, pipeline, stage)
+    return planned.judge([f.rows for f in planned.frames], ctx, state)

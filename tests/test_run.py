@@ -8,14 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from dqgate import names as n
-from dqgate.plans import results
+from dqgate.plans import batch, results
 from dqgate.plans.batch import Output, run_and_save
-from dqgate.plans.run import RunContext, collect_items, plan_run
+from dqgate.plans.run import RunContext, collect_items, plan_run, prepare_run
 from dqgate.schemas import RESULT_SCHEMA, STATE_SCHEMA
 from dqgate.sinks.history import read_history
 from dqgate.sinks.state import read_state
 from dqgate.sources.jdbc import Warehouse
 from dqgate.sources.locations import LayerStore, Locations, RegisteredTable, abfss_store, load_table
+from tests.conftest import rows
 from tests.test_config import config
 from workload import demo
 
@@ -363,11 +364,13 @@ def test_run_and_save_keeps_everything(spark, sf_dir, tmp_path):
     assert kinds.count() == 3
 
 
-def test_a_stage_whose_job_fails_is_recorded_and_the_others_run(spark, people, tmp_path):
+def test_a_table_that_breaks_while_it_is_read_loses_only_its_own_checks(spark, people, tmp_path):
     spark.sql("SELECT raise_error('broken file') AS id").createOrReplaceTempView("broken")
     cfg = config(
         spark,
         on("broken", n.NULL, columns_list="id", IsStageDependency="1"),
+        on("people", n.ROW_COUNT),
+        on("people", n.UNIQUE, columns_list="id"),
         on("nobody", n.NULL, columns_list="id", StageName=n.STAGE_SILVER),
     )
     gate = {
@@ -375,3 +378,26 @@ def test_a_stage_whose_job_fails_is_recorded_and_the_others_run(spark, people, t
         for r in run_and_save(spark, cfg, NOWHERE, CTX, Output(str(tmp_path / "out"))).collect()
     }
     assert gate == {n.STAGE_BRONZE: (True, 1), n.STAGE_SILVER: (False, 0)}
+    stored = spark.read.parquet(Output(str(tmp_path / "out")).stage("P", n.STAGE_BRONZE) + "/check_result")
+    got = {r.check_type: (r.status, "broken file" in (r.error or "")) for r in stored.collect()}
+    assert got == {n.NULL: ("Error", True), n.ROW_COUNT: ("Pass", False), n.UNIQUE: ("Pass", False)}
+
+
+def test_many_tables_are_computed_in_several_jobs(spark, people, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "FRAMES_PER_JOB", 2)
+    entries = [on(v, n.NULL, columns_list="id") for v in ("people", "nobody")]
+    entries += [on("people", n.UNIQUE, columns_list=c) for c in ("id", "name", "boss")]
+    planned = prepare_run(spark, config(spark, *entries), NOWHERE)
+    metrics, failed = batch.compute(planned, str(tmp_path / "m"))
+    assert failed == {} and len(list((tmp_path / "m").iterdir())) == 3
+    assert rows(planned.judge(metrics, CTX)) == rows(plan_run(spark, config(spark, *entries), NOWHERE, CTX))
+
+
+def test_a_stage_that_cannot_be_planned_is_recorded(spark, people, tmp_path, monkeypatch):
+    def broken(*args, **kwargs):
+        raise RuntimeError("no state")
+
+    monkeypatch.setattr(batch, "read_state", broken)
+    cfg = config(spark, on("people", n.ROW_COUNT, IsStageDependency="1"))
+    (gate,) = run_and_save(spark, cfg, NOWHERE, CTX, Output(str(tmp_path / "out"))).collect()
+    assert (gate.stage, gate.blocked) == (n.STAGE_BRONZE, True)
