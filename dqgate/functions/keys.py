@@ -15,9 +15,6 @@ _DIGEST_BYTES = 32
 HOT_SHARE = 1 / 5000
 _TRACKED_KEYS = 40_000
 
-# Most bytes of join keys that are sent to every executor.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-
 
 def compact_key(df: DataFrame, column: str) -> Column:
     """The column as a grouping key of at most 32 bytes where it is text.
@@ -50,15 +47,3 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
         .where(F.col("t.count") >= F.col("n") * HOT_SHARE)
         .select(F.col("t.item").alias(key))
     )
-
-
-def key_bytes(keys: DataFrame) -> int:
-    """Measured size of a one-column key list: one aggregate over that column."""
-    (name,) = keys.columns
-    width = (
-        F.octet_length(quoted(name))
-        if isinstance(keys.schema[name].dataType, (T.StringType, T.BinaryType))
-        else F.lit(16)
-    )
-    measured = keys.agg(F.coalesce(F.sum(width + 16), F.lit(0)).alias("bytes"))
-    return int(measured.first()["bytes"])

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqgate.functions.threshold import pair_status, pct_change, rerun_status
+from dqgate.names import FAIL, PASS
 
 
 def compared(df: DataFrame, previous: str, current: str, rule: str) -> DataFrame:
     """Adds `pct_change` and `status`; `rule` is `pair` or `rerun`."""
     status = {"pair": pair_status, "rerun": rerun_status}[rule]
-    prev, cur = F.col(previous), F.col(current)
-    return df.withColumns({"pct_change": pct_change(prev, cur), "status": status(prev, cur)})
+    return df.withColumns(
+        {"pct_change": pct_change(previous, current), "status": status(previous, current)}
+    )
 
 
 def with_previous(
@@ -32,16 +34,28 @@ def paired(source: DataFrame, destination: DataFrame, key: str, value: str) -> D
     return left.join(right, key, "full")
 
 
-def count_status(rows: Column) -> Column:
+def count_status_sql(rows: str) -> str:
+    return f"CASE WHEN {rows} > 0 THEN '{PASS}' ELSE '{FAIL}' END"
+
+
+def clean_status_sql(unexpected_rows: str) -> str:
+    return f"CASE WHEN {unexpected_rows} = 0 THEN '{PASS}' ELSE '{FAIL}' END"
+
+
+def freshness_status_sql(hours: str, threshold: str) -> str:
+    return f"CASE WHEN {hours} < {threshold} THEN '{PASS}' ELSE '{FAIL}' END"
+
+
+def count_status(rows: str) -> Column:
     """A row count fails only when there are no rows."""
-    return F.when(rows > 0, "Pass").otherwise("Fail")
+    return F.expr(count_status_sql(rows))
 
 
-def clean_status(unexpected_rows: Column) -> Column:
+def clean_status(unexpected_rows: str) -> Column:
     """A data-quality check passes when no row violates it."""
-    return F.when(unexpected_rows == 0, "Pass").otherwise("Fail")
+    return F.expr(clean_status_sql(unexpected_rows))
 
 
-def freshness_status(hours: Column, threshold: Column) -> Column:
+def freshness_status(hours: str, threshold: str) -> Column:
     """Fresh when fewer hours than the threshold have passed; no time at all fails."""
-    return F.when(hours < threshold, "Pass").otherwise("Fail")
+    return F.expr(freshness_status_sql(hours, threshold))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dqgate.functions import sizes
 from dqgate.functions.columns import quoted, resolve
-from dqgate.functions.keys import BROADCAST_KEY_BYTES, hot_keys, key_bytes
+from dqgate.functions.keys import hot_keys
 
 _KEY = "_fk"
 
@@ -60,7 +61,7 @@ def _match_rows(
     rows = fact.withColumn(_KEY, quoted(resolve(fact, fact_key)).cast(key_type)).where(
         F.col(_KEY).isNotNull()
     )
-    if key_bytes(dim_keys) <= BROADCAST_KEY_BYTES:
+    if sizes.measured_bytes(dim_keys) <= sizes.BROADCAST_BYTES:
         return rows.join(F.broadcast(dim_keys), _KEY, how).drop(_KEY)
     # A large dimension: rows of hot keys (a bounded list) are decided without a
     # shuffle, all other rows by a shuffled join that no longer has a hot key.

@@ -90,22 +90,118 @@ def tables_of(text: Column) -> Column:
 
 
 # ---- one row per check item ------------------------------------------------
+#
+# Written as SQL text: a statement of this size is parsed in one go, where a
+# tree of Column objects costs one call into the JVM per node.
 
 
-def _blank_to_null(text: Column) -> Column:
-    return F.when(F.trim(text) != "", text)
+def _in(*values: str) -> str:
+    return "({})".format(", ".join(f"'{v}'" for v in values))
 
 
-def _category(family: Column, check: Column) -> Column:
-    keys = [F.lit(v) for (fam, chk), cat in n.CATEGORY_OF.items() for v in (f"{fam}/{chk}", cat)]
-    known = F.create_map(*keys)[F.concat_ws("/", family, check)]
-    # Every row of the pre/post stage is a pre/post check, whatever it is called.
-    return F.when(family == n.FAMILY_PRE_POST, n.CAT_PRE_POST).otherwise(known)
+_IS_JSON = "ltrim({0}) LIKE '[%'"
+_ITEMS = (
+    f"CASE WHEN {_IS_JSON} THEN from_json({{0}}, 'array<string>') ELSE split({{0}}, ',') END"
+)
+_GROUPS = (
+    f"CASE WHEN {_IS_JSON} THEN from_json({{0}}, 'array<array<string>>') "
+    "ELSE transform(split({0}, ',,'), g -> split(g, ',')) END"
+)
+_QUALITY = f"family = '{n.FAMILY_QUALITY}'"
+_IS_FK = f"({_QUALITY} AND ValidationCheck = '{n.FOREIGN_KEY}')"
+_IS_UNEXPECTED = f"({_QUALITY} AND ValidationCheck = '{n.UNEXPECTED}')"
+_IS_SLA = f"({_QUALITY} AND ValidationCheck = '{n.SLA}')"
+_NEEDS_COLUMNS = (
+    f"({_QUALITY} AND ValidationCheck IN "
+    f"{_in(n.NULL, n.UNIQUE, n.UNEXPECTED, n.FOREIGN_KEY, n.SLA)})"
+)
+_COUNTED = (
+    f"(family = '{n.FAMILY_PRE_POST}' OR "
+    f"(family = '{n.FAMILY_ROW_COUNT}' AND ValidationCheck = '{n.ROW_COUNT}'))"
+)
+# Every row of the pre/post stage is a pre/post check, whatever it is called.
+_CATEGORY = (
+    f"CASE WHEN family = '{n.FAMILY_PRE_POST}' THEN '{n.CAT_PRE_POST}' ELSE map("
+    + ", ".join(f"'{f}/{c}', '{category}'" for (f, c), category in n.CATEGORY_OF.items())
+    + ")[concat_ws('/', family, ValidationCheck)] END"
+)
+
+_PARSED = {
+    "category": _CATEGORY,
+    "_columns": _ITEMS.format("columns_list"),
+    "_values": _GROUPS.format("unexpected_list"),
+    "_facts": _ITEMS.format("SourceTableName"),
+    "_dims": _ITEMS.format("DestinationTableName"),
+    "_fact_places": _ITEMS.format("SourceTableLocation"),
+    "_dim_places": _ITEMS.format("DestinationTableLocation"),
+}
+_KEY_SETS = f"""
+    CASE WHEN {_QUALITY} AND ValidationCheck IN {_in(n.NULL, n.UNEXPECTED, n.FOREIGN_KEY)}
+         THEN transform(_columns, c -> array(c))
+         WHEN {_QUALITY} AND ValidationCheck = '{n.UNIQUE}' THEN {_GROUPS.format("columns_list")}
+         ELSE array(CASE WHEN columns_list IS NOT NULL THEN array(columns_list) END) END"""
+
+
+def _differ(*lists: str) -> str:
+    sizes = [f"coalesce(size({x}), 0)" for x in lists]
+    return " OR ".join(f"{sizes[0]} <> {other}" for other in sizes[1:])
+
+
+_ERROR = f"""
+    CASE WHEN category IS NULL THEN concat('unknown check: ', coalesce(ValidationCheck, '(none)'))
+         WHEN {_NEEDS_COLUMNS} AND columns_list IS NULL THEN 'columns_list is empty'
+         WHEN {_NEEDS_COLUMNS} AND _key_sets IS NULL THEN 'columns_list is not readable'
+         WHEN {_IS_UNEXPECTED} AND ({_differ("_columns", "_values")})
+         THEN 'columns_list and unexpected_list differ in length'
+         WHEN {_IS_FK} AND ({_differ("_columns", "_dims", "_facts", "_dim_places", "_fact_places")})
+         THEN 'foreign key tables, locations and columns differ in length'
+         WHEN {_IS_SLA} AND try_cast(SLAThreshold AS double) IS NULL
+         THEN 'SLAThreshold is not a number' END"""
+
+_USABLE_FK = f"({_IS_FK} AND error IS NULL)"
+
+
+def _placed(counted: str, of_pair: str, otherwise: str) -> str:
+    return (
+        f"CASE WHEN {_COUNTED} THEN {counted} "
+        f"WHEN {_USABLE_FK} THEN trim(get({of_pair}, item_pos)) ELSE {otherwise} END"
+    )
 
 
-def _part(array: Column, pos: Column) -> Column:
-    """Item at a zero-based position, null beyond the end."""
-    return F.get(array, pos)
+def _of_fact(of_pair: str, otherwise: str) -> str:
+    return f"CASE WHEN {_USABLE_FK} THEN trim(get({of_pair}, item_pos)) ELSE {otherwise} END"
+
+
+_ARROW = "split(get(_key, 0), '->')"
+_ITEM = {
+    "pipeline": "PipelineName",
+    "stage": "StageName",
+    "family": "family",
+    "check_type": f"CASE WHEN family = '{n.FAMILY_PRE_POST}' THEN '{n.PRE_POST}' ELSE ValidationCheck END",
+    "category": "category",
+    "on_stage_depend": "coalesce(try_cast(IsStageDependency AS int), 0)",
+    "item_pos": "item_pos",
+    "layer": "DestinationLayer",
+    "src_layer": "SourceLayer",
+    "location_type": "DestinationLocationType",
+    "table_name": _placed("RowCountTableName", "_dims", "DestinationTableName"),
+    "location": _placed("RowCountTableLocation", "_dim_places", "DestinationTableLocation"),
+    "src_location_type": "coalesce(SourceLocationType, DestinationLocationType)",
+    "src_table": _of_fact("_facts", "SourceTableName"),
+    "src_location": _of_fact("_fact_places", "SourceTableLocation"),
+    "columns": f"CASE WHEN {_USABLE_FK} THEN array(trim(get({_ARROW}, 0))) "
+    "WHEN error IS NOT NULL AND columns_list IS NOT NULL THEN array(columns_list) "
+    "ELSE transform(_key, c -> trim(c)) END",
+    "dest_column": f"CASE WHEN {_USABLE_FK} THEN trim(coalesce(get({_ARROW}, 1), get({_ARROW}, 0))) END",
+    "unexpected_values": f"CASE WHEN {_IS_UNEXPECTED} THEN get(_values, item_pos) END",
+    "sla_threshold": "try_cast(SLAThreshold AS double)",
+    "unique_id": "UniqueID",
+    "kpi_name": "KPIName",
+    "agg_function": "AggregateFunction",
+    "src_query": "SourceQuery",
+    "dest_query": "DestinationQuery",
+    "error": "error",
+}
 
 
 def check_items(config: DataFrame) -> DataFrame:
@@ -114,115 +210,20 @@ def check_items(config: DataFrame) -> DataFrame:
     A null check has one item per column, a unique check one per key, an
     unexpected-value check one per column with its group of values, a foreign
     key check one per pair of tables and columns. `fact->dim` names a
-    dimension column that differs from the fact column.
+    dimension column that differs from the fact column. A row with an error
+    stays one row and is reported as such.
     """
-    base = routed(config).select(
-        *[_blank_to_null(F.col(c)).alias(c) for c in config.columns], "family"
-    )
-    check, family = F.col("ValidationCheck"), F.col("family")
-    quality = family == n.FAMILY_QUALITY
-    columns_text = F.col("columns_list")
-    columns, values = items_of(columns_text), groups_of(F.col("unexpected_list"))
-    one = lambda c: F.transform(c, lambda x: F.array(x))
-    key_sets = (
-        F.when(quality & check.isin(n.NULL, n.UNEXPECTED, n.FOREIGN_KEY), one(columns))
-        .when(quality & (check == n.UNIQUE), groups_of(columns_text))
-        .otherwise(F.array(F.when(columns_text.isNotNull(), F.array(columns_text))))
-    )
-    facts, dims = items_of(F.col("SourceTableName")), items_of(F.col("DestinationTableName"))
-    fact_places = items_of(F.col("SourceTableLocation"))
-    dim_places = items_of(F.col("DestinationTableLocation"))
-
-    parsed = base.select(
-        "*",
-        _category(family, check).alias("category"),
-        columns.alias("_columns"),
-        values.alias("_values"),
-        key_sets.alias("_key_sets"),
-        facts.alias("_facts"),
-        dims.alias("_dims"),
-        fact_places.alias("_fact_places"),
-        dim_places.alias("_dim_places"),
-    )
-    is_fk = quality & (check == n.FOREIGN_KEY)
-    is_unexpected = quality & (check == n.UNEXPECTED)
-    needs_columns = quality & check.isin(n.NULL, n.UNIQUE, n.UNEXPECTED, n.FOREIGN_KEY, n.SLA)
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    error = (
-        F.when(F.col("category").isNull(), F.concat(F.lit("unknown check: "), F.coalesce(check, F.lit("(none)"))))
-        .when(needs_columns & columns_text.isNull(), F.lit("columns_list is empty"))
-        .when(needs_columns & F.col("_key_sets").isNull(), F.lit("columns_list is not readable"))
-        .when(
-            is_unexpected & (size("_columns") != size("_values")),
-            F.lit("columns_list and unexpected_list differ in length"),
-        )
-        .when(
-            is_fk
-            & (
-                (size("_columns") != size("_dims"))
-                | (size("_columns") != size("_facts"))
-                | (size("_columns") != size("_dim_places"))
-                | (size("_columns") != size("_fact_places"))
-            ),
-            F.lit("foreign key tables, locations and columns differ in length"),
+    return (
+        routed(config)
+        .selectExpr(
+            *[f"CASE WHEN trim({c}) <> '' THEN {c} END AS {c}" for c in config.columns], "family"
         )
-        .when(
-            quality & (check == n.SLA) & F.col("SLAThreshold").try_cast("double").isNull(),
-            F.lit("SLAThreshold is not a number"),
+        .selectExpr("*", *[f"{sql} AS {name}" for name, sql in _PARSED.items()])
+        .selectExpr("*", f"{_KEY_SETS} AS _key_sets")
+        .selectExpr("*", f"{_ERROR} AS error")
+        .selectExpr(
+            "*", "posexplode_outer(CASE WHEN error IS NULL THEN _key_sets END) AS (_pos, _key)"
         )
-    )
-    # A row with an error stays one row and is reported as such.
-    listed = parsed.select("*", error.alias("error")).select(
-        "*",
-        F.posexplode_outer(
-            F.when(F.col("error").isNull(), F.col("_key_sets"))
-        ).alias("item_pos", "_key"),
-    )
-    pos = F.coalesce("item_pos", F.lit(0))
-    arrow = F.split(F.get("_key", F.lit(0)), "->")
-    fk_key = F.array(F.trim(_part(arrow, F.lit(0))))
-    fk_dim = F.trim(F.coalesce(_part(arrow, F.lit(1)), _part(arrow, F.lit(0))))
-    rowcount_named = (family == n.FAMILY_PRE_POST) | (
-        (family == n.FAMILY_ROW_COUNT) & (check == n.ROW_COUNT)
-    )
-    usable_fk = is_fk & F.col("error").isNull()
-    return listed.select(
-        F.col("PipelineName").alias("pipeline"),
-        F.col("StageName").alias("stage"),
-        "family",
-        F.when(family == n.FAMILY_PRE_POST, n.PRE_POST).otherwise(check).alias("check_type"),
-        "category",
-        F.coalesce(F.col("IsStageDependency").try_cast("int"), F.lit(0)).alias("on_stage_depend"),
-        pos.alias("item_pos"),
-        F.col("DestinationLayer").alias("layer"),
-        F.col("SourceLayer").alias("src_layer"),
-        F.col("DestinationLocationType").alias("location_type"),
-        F.when(rowcount_named, F.col("RowCountTableName"))
-        .when(usable_fk, F.trim(_part(F.col("_dims"), pos)))
-        .otherwise(F.col("DestinationTableName"))
-        .alias("table_name"),
-        F.when(rowcount_named, F.col("RowCountTableLocation"))
-        .when(usable_fk, F.trim(_part(F.col("_dim_places"), pos)))
-        .otherwise(F.col("DestinationTableLocation"))
-        .alias("location"),
-        F.coalesce("SourceLocationType", "DestinationLocationType").alias("src_location_type"),
-        F.when(usable_fk, F.trim(_part(F.col("_facts"), pos)))
-        .otherwise(F.col("SourceTableName"))
-        .alias("src_table"),
-        F.when(usable_fk, F.trim(_part(F.col("_fact_places"), pos)))
-        .otherwise(F.col("SourceTableLocation"))
-        .alias("src_location"),
-        F.when(usable_fk, fk_key)
-        .when(F.col("error").isNotNull() & columns_text.isNotNull(), F.array(columns_text))
-        .otherwise(F.transform("_key", lambda c: F.trim(c)))
-        .alias("columns"),
-        F.when(usable_fk, fk_dim).alias("dest_column"),
-        F.when(is_unexpected, _part(F.col("_values"), pos)).alias("unexpected_values"),
-        F.col("SLAThreshold").try_cast("double").alias("sla_threshold"),
-        F.col("UniqueID").alias("unique_id"),
-        F.col("KPIName").alias("kpi_name"),
-        F.col("AggregateFunction").alias("agg_function"),
-        F.col("SourceQuery").alias("src_query"),
-        F.col("DestinationQuery").alias("dest_query"),
-        "error",
+        .selectExpr("*", "coalesce(_pos, 0) AS item_pos")
+        .selectExpr(*[f"{sql} AS {name}" for name, sql in _ITEM.items()])
     )

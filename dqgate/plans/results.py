@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from dqgate import names as n
 from dqgate.functions.formatting import heading, number_text, thousands, validated_on
+from dqgate.functions.sizes import broadcast_if_small
 from dqgate.functions.threshold import whole
 from dqgate.schemas import AUDIT_SCHEMA, RESULT_SCHEMA
 from dqgate.sources.locations import LayerStore
@@ -214,7 +215,9 @@ def summary_all(result: DataFrame, stores: Mapping[str, LayerStore]) -> DataFram
 def stage_dep_overlay(rows: DataFrame, config: DataFrame) -> DataFrame:
     """Sets `ON_STG_DPND` from the configuration by table and check; 0 where it has none.
 
-    One join, however many configured checks there are.
+    One join, however many configured checks there are. Only flagged checks take
+    part in it; they are broadcast if they measure small, so that the history
+    stays where it is.
     """
     flags = (
         config.select(
@@ -222,14 +225,19 @@ def stage_dep_overlay(rows: DataFrame, config: DataFrame) -> DataFrame:
             F.col("ValidationCheck").alias("VLDTN_CHCK_TYP"),
             F.col("IsStageDependency").try_cast("int").alias("_dep"),
         )
+        .where("_dep <> 0")
         .groupBy("TBL_NM", "VLDTN_CHCK_TYP")
         .agg(F.max("_dep").alias("_dep"))
     )
-    joined = rows.drop("ON_STG_DPND").join(flags, ["TBL_NM", "VLDTN_CHCK_TYP"], "left")
-    return joined.select(*[
-        F.coalesce("_dep", F.lit(0)).alias(c) if c == "ON_STG_DPND" else F.col(c)
-        for c in dict.fromkeys([*rows.columns, "ON_STG_DPND"])
-    ])
+    joined = rows.drop("ON_STG_DPND").join(
+        broadcast_if_small(flags), ["TBL_NM", "VLDTN_CHCK_TYP"], "left"
+    )
+    return joined.select(
+        *[
+            F.coalesce("_dep", F.lit(0)).alias(c) if c == "ON_STG_DPND" else F.col(c)
+            for c in dict.fromkeys([*rows.columns, "ON_STG_DPND"])
+        ]
+    )
 
 
 def audit_typed(df: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from dqgate import names as n
 from dqgate.functions.formatting import list_text, session_time
-from dqgate.functions.threshold import pair_status, pct_change, rerun_status
-from dqgate.operators.compare import clean_status, count_status, freshness_status
+from dqgate.functions.threshold import pair_status_sql, pct_change_sql, rerun_status_sql
+from dqgate.operators.compare import clean_status_sql, count_status_sql, freshness_status_sql
 from dqgate.operators.kpi import kpi_sql, kpi_warehouse, query_text
 from dqgate.operators.metrics import (
     Metric,
@@ -242,105 +242,111 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def _per_check(metric_rows: DataFrame) -> DataFrame:
-    """All metrics of a check in one row; each metric is given by one row at most."""
+def _of_side(column: str, side: str) -> str:
+    return f"max(CASE WHEN side = '{side}' THEN {column} END)"
+
 
-    def of_side(column: str, *sides: str):
-        return F.max(F.when(F.col("side").isin(*sides), F.col(column)))
+# All metrics of a check in one row; each metric is given by one row at most.
+_PER_CHECK = {
+    "main_rows": _of_side("total_rows", "main"),
+    "src_rows": _of_side("total_rows", "src"),
+    "dest_rows": _of_side("total_rows", "dest"),
+    "unexpected_rows": "max(unexpected_rows)",
+    "unexpected_keys": "max(unexpected_keys)",
+    "main_value": _of_side("value", "main"),
+    "src_value": _of_side("value", "src"),
+    "dest_value": _of_side("value", "dest"),
+    "latest": "max(as_of_max)",
+    "error": "max(error)",
+}
 
+
+def _per_check(metric_rows: DataFrame) -> DataFrame:
     return metric_rows.groupBy("check_id").agg(
-        of_side("total_rows", "main").alias("main_rows"),
-        of_side("total_rows", "src").alias("src_rows"),
-        of_side("total_rows", "dest").alias("dest_rows"),
-        F.max("unexpected_rows").alias("unexpected_rows"),
-        F.max("unexpected_keys").alias("unexpected_keys"),
-        of_side("value", "main").alias("main_value"),
-        of_side("value", "src").alias("src_value"),
-        of_side("value", "dest").alias("dest_value"),
-        F.max("as_of_max").alias("latest"),
-        F.max("error").alias("error"),
+        *[F.expr(sql).alias(name) for name, sql in _PER_CHECK.items()]
     )
 
 
+def _category_in(*categories: str) -> str:
+    return "category IN ({})".format(", ".join(f"'{c}'" for c in categories))
+
+
+_QUALITY = _category_in(n.CAT_NULL, n.CAT_UNEXPECTED, n.CAT_UNIQUE, n.CAT_FOREIGN_KEY)
+_PAIRS = _category_in(n.CAT_SOURCE_DESTINATION, n.CAT_KPI_SOURCE_DESTINATION)
+_RERUNS = _category_in(n.CAT_PRE_POST, n.CAT_KPI_PRE_POST)
+_FOREIGN_KEY = f"category = '{n.CAT_FOREIGN_KEY}'"
+
+_PREVIOUS = f"""
+    CASE WHEN category = '{n.CAT_SOURCE_DESTINATION}' THEN CAST(src_rows AS decimal(38,6))
+         WHEN category = '{n.CAT_KPI_SOURCE_DESTINATION}' THEN src_value
+         WHEN {_RERUNS} THEN stored_result END"""
+_CURRENT = f"""
+    CASE WHEN {_category_in(n.CAT_ROW_COUNT, n.CAT_PRE_POST)} THEN CAST(main_rows AS decimal(38,6))
+         WHEN category = '{n.CAT_SOURCE_DESTINATION}' THEN CAST(dest_rows AS decimal(38,6))
+         WHEN category = '{n.CAT_KPI_SOURCE_DESTINATION}' THEN dest_value
+         WHEN category = '{n.CAT_SLA}' THEN CAST(hours AS decimal(38,6))
+         ELSE main_value END"""
+_STATUS = f"""
+    CASE WHEN error IS NOT NULL THEN '{n.ERROR}'
+         WHEN category = '{n.CAT_KPI_RESULT}' THEN NULL
+         WHEN category = '{n.CAT_ROW_COUNT}' THEN {count_status_sql("main_rows")}
+         WHEN {_QUALITY} THEN {clean_status_sql("unexpected_rows")}
+         WHEN category = '{n.CAT_SLA}' THEN {freshness_status_sql("hours", "sla_threshold")}
+         WHEN {_PAIRS} THEN {pair_status_sql("previous_result", "current_result")}
+         WHEN {_RERUNS} THEN {rerun_status_sql("previous_result", "current_result")} END"""
+
+# Result columns that are not simply taken over.
+_RESULT = {
+    "table_name": f"CASE WHEN {_FOREIGN_KEY} THEN src_table "
+    f"WHEN category IS NULL OR NOT {_PAIRS} THEN table_name END",
+    "src_table": f"CASE WHEN {_PAIRS} OR {_FOREIGN_KEY} THEN src_table END",
+    "dest_table": f"CASE WHEN {_PAIRS} OR {_FOREIGN_KEY} THEN table_name END",
+    "total_rows": "coalesce(main_rows, dest_rows)",
+    "pct_change": f"CASE WHEN {_PAIRS} OR {_RERUNS} "
+    f"THEN {pct_change_sql('previous_result', 'current_result')} END",
+    "status": _STATUS,
+}
+
+
 def _judged(measured: DataFrame, items: DataFrame, state: DataFrame, ctx: RunContext) -> DataFrame:
-    category = F.col("category")
     as_of = session_time(ctx.as_of)
-    quality = category.isin(n.CAT_NULL, n.CAT_UNEXPECTED, n.CAT_UNIQUE, n.CAT_FOREIGN_KEY)
-    pairs = category.isin(n.CAT_SOURCE_DESTINATION, n.CAT_KPI_SOURCE_DESTINATION)
-    reruns = category.isin(n.CAT_PRE_POST, n.CAT_KPI_PRE_POST)
-
     joined = measured.join(F.broadcast(items.drop("error")), "check_id").withColumns(
         {
-            "state_key": F.coalesce(
-                F.when(category == n.CAT_KPI_PRE_POST, F.col("unique_id")), F.col("table_name")
+            "hours": hours_since(F.col("latest"), as_of),
+            "state_key": F.expr(
+                f"coalesce(CASE WHEN category = '{n.CAT_KPI_PRE_POST}' THEN unique_id END, table_name)"
             ),
-            "state_layer": F.coalesce("layer", F.lit("")),
         }
     )
-    stored = latest_state(state).select(
-        *[F.col(k).alias(f"_{k}") for k in STATE_KEYS], F.col("result").alias("stored_result")
+    stored = latest_state(state).selectExpr(
+        *[f"{k} AS _{k}" for k in STATE_KEYS], "result AS stored_result"
     )
-    with_state = joined.join(
-        stored,
-        reruns
-        & (F.col("pipeline") == F.col("_pipeline"))
-        & (F.col("stage") == F.col("_stage"))
-        & (F.col("check_type") == F.col("_check_type"))
-        & (F.col("state_layer") == F.col("_layer"))
-        & (F.col("state_key") == F.col("_state_key")),
-        "left",
+    same_key = F.expr(
+        f"{_RERUNS} AND pipeline = _pipeline AND stage = _stage AND check_type = _check_type "
+        "AND coalesce(layer, '') = _layer AND state_key = _state_key"
     )
-    decimal = lambda c: c.cast("decimal(38,6)")
-    previous = (
-        F.when(category == n.CAT_SOURCE_DESTINATION, decimal(F.col("src_rows")))
-        .when(category == n.CAT_KPI_SOURCE_DESTINATION, F.col("src_value"))
-        .when(reruns, F.col("stored_result"))
+    valued = joined.join(stored, same_key, "left").selectExpr(
+        "*", f"{_PREVIOUS} AS previous_result", f"{_CURRENT} AS current_result"
     )
-    current = (
-        F.when(category.isin(n.CAT_ROW_COUNT, n.CAT_PRE_POST), decimal(F.col("main_rows")))
-        .when(category == n.CAT_SOURCE_DESTINATION, decimal(F.col("dest_rows")))
-        .when(category == n.CAT_KPI_SOURCE_DESTINATION, F.col("dest_value"))
-        .when(category == n.CAT_SLA, decimal(hours_since(F.col("latest"), as_of)))
-        .otherwise(F.col("main_value"))
-    )
-    valued = with_state.withColumns({"previous_result": previous, "current_result": current})
-    prev, cur = F.col("previous_result"), F.col("current_result")
-    hours = hours_since(F.col("latest"), as_of)
-    status = (
-        F.when(F.col("error").isNotNull(), n.ERROR)
-        .when(category == n.CAT_KPI_RESULT, F.lit(None))
-        .when(category == n.CAT_ROW_COUNT, count_status(F.col("main_rows")))
-        .when(quality, clean_status(F.col("unexpected_rows")))
-        .when(category == n.CAT_SLA, freshness_status(hours, F.col("sla_threshold")))
-        .when(pairs, pair_status(prev, cur))
-        .when(reruns, rerun_status(prev, cur))
-    )
-    is_pair = pairs
-    is_fk = category == n.CAT_FOREIGN_KEY
-    columns = F.col("columns")
-    ours = {
+    given = {
         "run_id": F.lit(ctx.run_id),
         "job_id": F.lit(ctx.job_id),
         "task_id": F.lit(ctx.task_id),
-        "table_name": F.when(is_fk, F.col("src_table")).when(~is_pair | category.isNull(), F.col("table_name")),
-        "src_table": F.when(is_pair | is_fk, F.col("src_table")),
-        "dest_table": F.when(is_pair | is_fk, F.col("table_name")),
-        "column_name": F.when(F.size(columns) > 1, list_text(columns)).otherwise(
-            F.get(columns, F.lit(0))
+        "column_name": F.when(F.expr("size(columns) > 1"), list_text(F.col("columns"))).otherwise(
+            F.expr("get(columns, 0)")
         ),
         "unexpected_value": list_text(F.col("unexpected_values")),
-        "total_rows": F.coalesce("main_rows", "dest_rows"),
-        "pct_change": F.when(pairs | reruns, pct_change(prev, cur)),
-        "status": status,
         "created_by": F.lit(ctx.created_by),
         "created_at": as_of,
     }
-    return valued.select(
-        *[
-            ours.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
-            for f in RESULT_SCHEMA.fields
-        ]
-    )
+
+    def column(field: T.StructField) -> Column:
+        value = given.get(field.name)
+        if value is None:
+            value = F.expr(_RESULT.get(field.name, field.name))
+        return value.cast(field.dataType).alias(field.name)
+
+    return valued.select(*[column(f) for f in RESULT_SCHEMA.fields])
 
 
 @dataclass(frozen=True)

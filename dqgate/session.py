@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,14 +23,22 @@ def get_session(app_name: str = "dqgate", cores: str | int = "*", **conf: str) -
     return builder.getOrCreate()
 
 
+_local_bases: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str = "work") -> str:
-    """A new folder name under the shared folder of `spark.checkpoint.dir`.
+    """A new folder name under the shared folder named by `spark.checkpoint.dir`.
 
-    Only where that setting is absent (local tests) is a machine-local folder
-    made; it then becomes the session's setting, so every caller agrees.
+    Only a local session without that setting gets a machine-local folder; on a
+    cluster the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="dqgate-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, "dqgate", f"{label}-{uuid.uuid4().hex}")
+        context = spark.sparkContext
+        base = context.getCheckpointDir()
+        if not base and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not base:
+            base = _local_bases.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="dqgate-")
+            _local_bases[context.applicationId] = base
+    return f"{base.rstrip('/')}/dqgate/{label}-{uuid.uuid4().hex}"

@@ -5,17 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from dqgate.functions import sizes
 from dqgate.functions.columns import quoted
-
-# Changes of up to this measured size are sent to every executor, so that the
-# target need not be shuffled; see `merged`.
-BROADCAST_SOURCE_BYTES = 64 * 1024 * 1024
+from dqgate.functions.sizes import row_bytes
 
 # A partitioned upsert names the touched partitions in its scan up to this many;
 # beyond it the whole table is merged.
@@ -46,22 +43,11 @@ def _all_set(columns: Sequence[Column]) -> Column:
     return reduce(and_, [c.isNotNull() for c in columns])
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    widths = []
-    for name, field in zip(df.columns, df.schema.fields, strict=True):
-        col = quoted(name)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            widths.append(F.coalesce(F.octet_length(col), F.lit(0)))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)))
-    return reduce(add, widths, F.lit(16 + 16 * len(df.columns))).cast("bigint")
-
-
 def check_upsert_source(source: DataFrame, primary_keys: Sequence[str]) -> int:
     """Measured size of the source in bytes; raises when a key without nulls occurs twice."""
     keys = [quoted(k) for k in primary_keys]
     per_key = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(_row_bytes(source)).alias("n_bytes")
+        F.count(F.lit(1)).alias("n_rows"), F.sum(row_bytes(source)).alias("n_bytes")
     )
     stats = per_key.agg(
         F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"),
@@ -163,7 +149,7 @@ def upsert(
     partitioned by part of its primary key is only read and rewritten in the
     partitions the source touches.
     """
-    small = check_upsert_source(source, primary_keys) <= BROADCAST_SOURCE_BYTES
+    small = check_upsert_source(source, primary_keys) <= sizes.BROADCAST_BYTES
     if fmt == "delta":
         _delta_merge(spark, source, location, primary_keys)
         return

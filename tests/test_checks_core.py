@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dqgate.functions import keys
+from dqgate.functions import keys, sizes
 from dqgate.operators import referential, uniqueness
 from dqgate.operators.kpi import kpi_agg, kpi_sql
 from dqgate.operators.metrics import Metric, table_metrics
@@ -167,7 +167,7 @@ def test_large_dimension_path_gives_the_same_rows(spark, monkeypatch):
     dim = spark.range(0, 10000).select(F.col("id").alias("d")).union(spark.range(7, 8))
     plain_bad = rows(fact.where("k IS NOT NULL").join(dim, fact.k == dim.d, "left_anti"))
     plain_good = rows(fact.join(dim, fact.k == dim.d, "left_semi"))
-    monkeypatch.setattr(referential, "BROADCAST_KEY_BYTES", -1)
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
     assert rows(referential.orphan_rows(fact, "k", dim, "d")) == plain_bad
     assert rows(referential.valid_rows(fact, "k", dim, "d")) == plain_good
     assert {r[0] for r in keys.hot_keys(fact, "k").collect()} >= {7, -1}
@@ -178,7 +178,7 @@ def test_large_dimension_path_with_text_keys(spark, monkeypatch):
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k")
     )
     dim = spark.range(0, 2500).select(F.concat(F.lit("k"), "id").alias("d"))
-    monkeypatch.setattr(referential, "BROADCAST_KEY_BYTES", -1)
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
     bad = referential.orphan_rows(fact, "k", dim, "d")
     good = referential.valid_rows(fact, "k", dim, "d")
     assert (bad.count(), good.count()) == (1667 + 1667, 1666)

@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from dqgate.functions import sizes
 from dqgate.schemas import AUDIT_SCHEMA, STATE_KEYS
 from dqgate.session import scratch_dir
 from dqgate.sinks import history, layers
@@ -108,9 +109,9 @@ def test_upsert_rejects_columns_the_target_lacks(spark, place):
         layers.upsert(spark, spark.createDataFrame([(1, 2)], "k int, zz int"), place, ["k"])
 
 
-@pytest.mark.parametrize("limit", [layers.BROADCAST_SOURCE_BYTES, -1])
+@pytest.mark.parametrize("limit", [sizes.BROADCAST_BYTES, -1])
 def test_upsert_keeps_types_and_leaves_no_copies(spark, place, monkeypatch, limit):
-    monkeypatch.setattr(layers, "BROADCAST_SOURCE_BYTES", limit)
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", limit)
     layers.overwrite(spark.createDataFrame([(1, "x", 10)], TARGET), place)
     wider = spark.createDataFrame([(1, "y"), (2, "z")], "k bigint, a string")
     layers.upsert(spark, wider, place, ["k"])

@@ -49,7 +49,7 @@ def row_counts(spark, sf_dir):
     ),
 )
 def check_row_count(spark, sf_dir):
-    return _counts(spark, sf_dir).withColumn("status", count_status(F.col("row_count")))
+    return _counts(spark, sf_dir).withColumn("status", count_status("row_count"))
 
 
 _NULL_COLUMNS = ("o_custkey", "o_orderstatus", "o_orderkey")
@@ -62,7 +62,7 @@ def _violations(spark, sf_dir, wanted: list[Metric], view: str = "dirty_orders")
         names[F.col("check_id")].alias("column_name"),
         "total_rows",
         "unexpected_rows",
-        clean_status(F.col("unexpected_rows")).alias("status"),
+        clean_status("unexpected_rows").alias("status"),
     )
 
 
@@ -122,7 +122,7 @@ def _unique(spark, sf_dir, table: str, keys: list[str]) -> DataFrame:
         F.lit(",".join(keys)).alias("column_name"),
         "unexpected_rows",
         "unexpected_keys",
-        clean_status(F.col("unexpected_rows")).alias("status"),
+        clean_status("unexpected_rows").alias("status"),
     )
 
 
@@ -212,7 +212,7 @@ def check_foreign_key(spark, sf_dir):
                 F.lit(dim).alias("dimension"),
                 "unexpected_rows",
                 "unexpected_keys",
-                clean_status(F.col("unexpected_rows")).alias("status"),
+                clean_status("unexpected_rows").alias("status"),
             )
         )
     return union_all(checked)
@@ -284,7 +284,7 @@ def check_sla(spark, sf_dir):
         F.lit("ts").alias("column_name"),
         F.explode(F.array(F.lit(24.0), F.lit(6.0))).alias("sla_threshold"),
         hours.alias("hours"),
-    ).withColumn("status", freshness_status(F.col("hours"), F.col("sla_threshold")))
+    ).withColumn("status", freshness_status("hours", "sla_threshold"))
 
 
 # ---- thresholds and comparisons -------------------------------------------
@@ -317,7 +317,7 @@ def threshold_rule(spark, sf_dir):
     )
     judged = compared(per_supplier, "previous_rows", "current_rows", "pair")
     return judged.withColumn(
-        "rerun_status", rerun_status(F.col("previous_rows"), F.col("current_rows"))
+        "rerun_status", rerun_status("previous_rows", "current_rows")
     )
 
 
