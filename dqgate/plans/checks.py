@@ -62,31 +62,33 @@ def runs_of(config: DataFrame) -> DataFrame:
 
 # ---- parameter lists -------------------------------------------------------
 
-
-def _is_json(text: Column) -> Column:
-    return F.ltrim(text).startswith("[")
+_IS_JSON = "ltrim({0}) LIKE '[%'"
+_ITEMS = (
+    f"CASE WHEN {_IS_JSON} THEN from_json({{0}}, 'array<string>') ELSE split({{0}}, ',') END"
+)
+_GROUPS = (
+    f"CASE WHEN {_IS_JSON} THEN from_json({{0}}, 'array<array<string>>') "
+    "ELSE transform(split({0}, ',,'), g -> split(g, ',')) END"
+)
 
 
-def items_of(text: Column) -> Column:
+def items_of(column: str) -> Column:
     """`a,b` or `["a","b"]` as an array of items; null stays null."""
-    return F.when(_is_json(text), F.from_json(text, "array<string>")).otherwise(
-        F.split(text, ",")
-    )
+    return F.expr(_ITEMS.format(column))
 
 
-def groups_of(text: Column) -> Column:
+def groups_of(column: str) -> Column:
     """`a,b,,c` or `[["a","b"],["c"]]` as an array of groups of items.
 
     An empty item cannot be told from a group separator in the comma form; use
     the JSON form for it.
     """
-    by_commas = F.transform(F.split(text, ",,"), lambda group: F.split(group, ","))
-    return F.when(_is_json(text), F.from_json(text, "array<array<string>>")).otherwise(by_commas)
+    return F.expr(_GROUPS.format(column))
 
 
-def tables_of(text: Column) -> Column:
+def tables_of(column: str) -> Column:
     """Parts for different tables, separated by `,,,`."""
-    return F.split(text, ",,,")
+    return F.split(column, ",,,")
 
 
 # ---- one row per check item ------------------------------------------------
@@ -99,14 +101,6 @@ def _in(*values: str) -> str:
     return "({})".format(", ".join(f"'{v}'" for v in values))
 
 
-_IS_JSON = "ltrim({0}) LIKE '[%'"
-_ITEMS = (
-    f"CASE WHEN {_IS_JSON} THEN from_json({{0}}, 'array<string>') ELSE split({{0}}, ',') END"
-)
-_GROUPS = (
-    f"CASE WHEN {_IS_JSON} THEN from_json({{0}}, 'array<array<string>>') "
-    "ELSE transform(split({0}, ',,'), g -> split(g, ',')) END"
-)
 _QUALITY = f"family = '{n.FAMILY_QUALITY}'"
 _IS_FK = f"({_QUALITY} AND ValidationCheck = '{n.FOREIGN_KEY}')"
 _IS_UNEXPECTED = f"({_QUALITY} AND ValidationCheck = '{n.UNEXPECTED}')"

@@ -367,7 +367,7 @@ def src_dest_rowcount(spark, sf_dir):
         "(SELECT CAST(o_custkey AS VARCHAR) AS state_key, count(*) AS current_rows "
         " FROM orders GROUP BY o_custkey) c LEFT JOIN "
         "(SELECT CAST(o_custkey AS VARCHAR) AS state_key, count(*) AS result "
-        " FROM orders_prev WHERE o_custkey % 5 <> 0 GROUP BY o_custkey) p USING (state_key)"
+        " FROM orders_prev WHERE o_orderstatus <> 'P' AND o_totalprice > 300000 GROUP BY o_custkey) p USING (state_key)"
     ),
 )
 def prev_state_lookup(spark, sf_dir):
@@ -379,7 +379,7 @@ def prev_state_lookup(spark, sf_dir):
             F.count(F.lit(1)).alias(alias)
         )
 
-    stored = per_customer(spark.table("orders_prev").where("o_custkey % 5 <> 0"), "result")
+    stored = per_customer(spark.table("orders_prev").where("o_orderstatus <> 'P' AND o_totalprice > 300000"), "result")
     current = per_customer(spark.table("orders"), "current_rows")
     return with_previous(current, stored, ["state_key"], "result", "previous_rows").select(
         "state_key", "previous_rows", "current_rows"

@@ -87,13 +87,11 @@ _ACTIVE = '"Check_Status" = \'yes\''
 @query(
     "config_active",
     f'SELECT "PipelineName", "StageName", "UniqueID", "ValidationCheck" FROM ({_CONFIG_SQL}) '
-    f"WHERE {_ACTIVE} AND \"StageName\" = 'Gold data check' AND \"PipelineName\" >= 'PL_Brand#2'",
+    f"WHERE {_ACTIVE} AND \"StageName\" = 'Gold data check'",
 )
 def config_active(spark, sf_dir):
     chosen = checks.active_checks(_stored(spark, sf_dir), stage=n.STAGE_GOLD)
-    return chosen.where("PipelineName >= 'PL_Brand#2'").select(
-        "PipelineName", "StageName", "UniqueID", "ValidationCheck"
-    )
+    return chosen.select("PipelineName", "StageName", "UniqueID", "ValidationCheck")
 
 
 _FAMILY_SQL = """CASE WHEN "StageName" = 'Pre and post runs rowcount check' THEN 'pre_post'

@@ -233,64 +233,61 @@ def audit_history(spark, sf_dir):
     return results.audit_history(demo.result(spark, sf_dir))
 
 
-# History of many runs: one record per line item, created on its ship date.
+# History of many runs: one record per event, created at its time.
 _HISTORY = """
-SELECT CAST(l_orderkey AS BIGINT) AS "JOB_ID", CAST(l_linenumber AS BIGINT) AS "TSK_ID",
-       concat('PL_', l_returnflag) AS "PPLN_NM", 'Bronze data check' AS "STG_NM",
+SELECT event_id AS "JOB_ID", user_id AS "TSK_ID",
+       concat('PL_', event_type) AS "PPLN_NM", 'Bronze data check' AS "STG_NM",
        'RowCount' AS "VLDTN_CHCK_TYP", CAST(NULL AS {text}) AS "SRC_LAYR",
        CAST(NULL AS {text}) AS "DEST_LAYR",
-       concat('T', CAST(l_partkey AS {text})) AS "TBL_NM", CAST(NULL AS {text}) AS "AGGR_FNCTN",
-       CAST(l_quantity AS BIGINT) AS "ROW_CNT", CAST(NULL AS {text}) AS "SRC_TBL_NM",
+       concat('T', CAST(user_id AS {text})) AS "TBL_NM", CAST(NULL AS {text}) AS "AGGR_FNCTN",
+       event_id * 3 AS "ROW_CNT", CAST(NULL AS {text}) AS "SRC_TBL_NM",
        CAST(NULL AS {text}) AS "DEST_TBL_NM", CAST(NULL AS BIGINT) AS "SRC_RSLT",
        CAST(NULL AS BIGINT) AS "DEST_RSLT", CAST(NULL AS {text}) AS "COL_NM",
        CAST(NULL AS {text}) AS "UNXPCTD_VAL", CAST(NULL AS BIGINT) AS "KPI_RSLT",
        CAST(NULL AS BIGINT) AS "POST_RUN_RSLT", CAST(NULL AS BIGINT) AS "PRE_RUN_RSLT",
-       CASE WHEN l_quantity > 25 THEN 'Fail' ELSE 'Pass' END AS "VLDTN_RSLT",
-       'demo' AS "CRTD_BY", CAST(l_shipdate AS TIMESTAMP) AS "CRTD_TM",
-       CAST(l_linenumber % 2 AS INTEGER) AS "ON_STG_DPND"
-FROM lineitem"""
+       CASE WHEN event_type = 'error' THEN 'Fail' ELSE 'Pass' END AS "VLDTN_RSLT",
+       'demo' AS "CRTD_BY", CAST(ts AS TIMESTAMP) AS "CRTD_TM",
+       CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS "ON_STG_DPND"
+FROM events"""
 _HISTORY_SQL = _HISTORY.format(text="VARCHAR")
 
 
-def line_history(spark, sf_dir):
+def event_history(spark, sf_dir):
     demo.register(spark, sf_dir)
     return spark.sql(_HISTORY.format(text="STRING").replace('"', "`"))
 
 
 @query(
     "history_retention",
-    f'SELECT * FROM ({_HISTORY_SQL}) WHERE "CRTD_TM" >= TIMESTAMP \'2001-09-20 12:00:00\' - INTERVAL 35 DAY',
+    f'SELECT * FROM ({_HISTORY_SQL}) WHERE "CRTD_TM" >= TIMESTAMP \'2024-02-20 12:00:00\' - INTERVAL 35 DAY',
 )
 def history_retention(spark, sf_dir):
-    return history_store.retained(line_history(spark, sf_dir), dt.datetime(2001, 9, 20, 12))
+    return history_store.retained(event_history(spark, sf_dir), dt.datetime(2024, 2, 20, 12))
 
 
 # Audit rows that mix text into numeric columns, as older writers left them.
 _LOOSE = """
 SELECT JOB_ID, TSK_ID, PPLN_NM, STG_NM, VLDTN_CHCK_TYP, 'NULL' AS SRC_LAYR, 'null' AS DEST_LAYR, TBL_NM,
-       AGGR_FNCTN, CASE WHEN TSK_ID % 3 = 0 THEN 'NULL' ELSE concat(CAST(ROW_CNT AS STRING), '.75') END AS ROW_CNT,
+       AGGR_FNCTN, CASE WHEN VLDTN_RSLT = 'Fail' THEN 'NULL' ELSE concat(CAST(ROW_CNT AS STRING), '.75') END AS ROW_CNT,
        SRC_TBL_NM, DEST_TBL_NM, 'NULL' AS SRC_RSLT, CAST(-ROW_CNT AS STRING) AS DEST_RSLT, COL_NM,
        UNXPCTD_VAL, 'n/a' AS KPI_RSLT, POST_RUN_RSLT, PRE_RUN_RSLT, VLDTN_RSLT, CRTD_BY, CRTD_TM, ON_STG_DPND
-FROM line_history"""
+FROM event_history"""
 
 
 @query(
     "audit_typed",
-    'SELECT * REPLACE (CASE WHEN "TSK_ID" % 3 = 0 THEN NULL ELSE "ROW_CNT" END AS "ROW_CNT", '
+    'SELECT * REPLACE (CASE WHEN "VLDTN_RSLT" = \'Fail\' THEN NULL ELSE "ROW_CNT" END AS "ROW_CNT", '
     f'-"ROW_CNT" AS "DEST_RSLT") FROM ({_HISTORY_SQL})',
 )
 def audit_typed(spark, sf_dir):
-    line_history(spark, sf_dir).createOrReplaceTempView("line_history")
+    event_history(spark, sf_dir).createOrReplaceTempView("event_history")
     return results.audit_typed(spark.sql(_LOOSE))
 
 
-_RECENT = f"SELECT * FROM ({_HISTORY_SQL} WHERE l_shipdate >= TIMESTAMP '2001-09-01 00:00:00')"
-
-
-@query("append_history", _RECENT)
+@query("append_history", _HISTORY_SQL)
 def append_history(spark, sf_dir):
     """Two appends; the second must leave what the first wrote."""
-    rows = line_history(spark, sf_dir).where("CRTD_TM >= timestamp '2001-09-01 00:00:00'")
+    rows = event_history(spark, sf_dir)
     location = scratch_dir(spark, "history")
     history_store.append_history(rows.where("VLDTN_RSLT = 'Pass'"), location)
     history_store.append_history(rows.where("VLDTN_RSLT <> 'Pass'"), location)
@@ -299,14 +296,13 @@ def append_history(spark, sf_dir):
 
 @query(
     "history_purge",
-    f"SELECT * FROM ({_RECENT}) WHERE \"CRTD_TM\" >= TIMESTAMP '2001-11-10 12:00:00' - INTERVAL 35 DAY",
+    f"SELECT * FROM ({_HISTORY_SQL}) WHERE \"CRTD_TM\" >= TIMESTAMP '2024-02-20 12:00:00' - INTERVAL 35 DAY",
 )
 def history_purge(spark, sf_dir):
     """Expired days leave storage; the day of the limit is rewritten."""
-    rows = line_history(spark, sf_dir).where("CRTD_TM >= timestamp '2001-09-01 00:00:00'")
     location = scratch_dir(spark, "history")
-    history_store.append_history(rows, location)
-    history_store.purge_history(spark, location, dt.datetime(2001, 11, 10, 12))
+    history_store.append_history(event_history(spark, sf_dir), location)
+    history_store.purge_history(spark, location, dt.datetime(2024, 2, 20, 12))
     return history_store.read_history(spark, location)
 
 
@@ -322,18 +318,18 @@ def read_history(spark, sf_dir):
 
 @query(
     "stage_dep_overlay",
-    f'SELECT * REPLACE (CAST(CASE WHEN "TBL_NM" LIKE \'%7\' THEN 1 ELSE 0 END AS INTEGER) AS "ON_STG_DPND") '
-    f"FROM ({_HISTORY_SQL})",
+    'SELECT h.* REPLACE (CASE WHEN c.c_custkey IS NULL THEN 0 ELSE 1 END AS "ON_STG_DPND") '
+    f"FROM ({_HISTORY_SQL}) h LEFT JOIN customer c "
+    "ON h.\"TSK_ID\" = c.c_custkey AND c.c_mktsegment = 'BUILDING'",
 )
 def stage_dep_overlay(spark, sf_dir):
-    """Every part is a configured table; those whose key ends in 7 are flagged."""
-    part = demo.table(spark, sf_dir, "part")
-    configured = part.where("p_partkey % 3 <> 0 OR p_partkey % 10 = 7").select(
-        F.concat(F.lit("T"), "p_partkey").alias("DestinationTableName"),
+    """Every customer is a configured table; those of one segment are flagged."""
+    configured = demo.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("T"), "c_custkey").alias("DestinationTableName"),
         F.lit(n.ROW_COUNT).alias("ValidationCheck"),
-        F.when(F.col("p_partkey") % 10 == 7, "1").otherwise("0").alias("IsStageDependency"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "1").otherwise("0").alias("IsStageDependency"),
     )
-    return results.stage_dep_overlay(line_history(spark, sf_dir), configured)
+    return results.stage_dep_overlay(event_history(spark, sf_dir), configured)
 
 
 @query(

@@ -112,13 +112,13 @@ def sink_append(spark, sf_dir):
     return read_path(spark, location)
 
 
-# Changes to `customer`: every seventh gets a new name and segment, and as many
-# new customers appear under negative keys.
+# Changes to `customer`: those of one segment get a new name and segment, and for
+# each of another a new customer appears under a negative key.
 _CHANGES = """
 SELECT c_custkey, concat(c_name, ' new') AS c_name, 'CHANGED' AS c_mktsegment
-FROM customer WHERE c_custkey % 7 = 0
+FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL
-SELECT -1 - c_custkey, concat('added ', c_name), 'ADDED' FROM customer WHERE c_custkey % 7 = 1"""
+SELECT -1 - c_custkey, concat('added ', c_name), 'ADDED' FROM customer WHERE c_mktsegment = 'MACHINERY'"""
 
 _UPSERTED = f"""
 WITH changes AS ({_CHANGES})
@@ -157,7 +157,7 @@ def upsert_shuffled(spark, sf_dir):
 @query(
     "upsert_partitioned",
     """WITH changes AS (SELECT l_returnflag, l_suppkey, 0 AS n_lines FROM lineitem
-                        WHERE l_returnflag = 'R' AND l_suppkey % 2 = 0 GROUP BY ALL)
+                        WHERE l_returnflag = 'R' GROUP BY ALL)
        SELECT t.l_returnflag, t.l_suppkey, coalesce(u.n_lines, t.n_lines) AS n_lines
        FROM (SELECT l_returnflag, l_suppkey, count(*) AS n_lines FROM lineitem GROUP BY ALL) t
        LEFT JOIN changes u USING (l_returnflag, l_suppkey)""",
@@ -169,7 +169,7 @@ def upsert_partitioned(spark, sf_dir):
     location = scratch_dir(spark, "lines")
     layers.overwrite(counted, location, partition_by=["l_returnflag"])
     changes = (
-        lines.where("l_returnflag = 'R' AND l_suppkey % 2 = 0")
+        lines.where("l_returnflag = 'R'")
         .select("l_returnflag", "l_suppkey", F.lit(0).cast("bigint").alias("n_lines"))
         .distinct()
     )
@@ -206,29 +206,29 @@ def scan_jdbc(spark, sf_dir):
     return jdbc.read_warehouse(spark, WAREHOUSE, name, '"c_custkey"', num_partitions=4)
 
 
-@query("jdbc_overwrite", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0")
+@query("jdbc_overwrite", "SELECT c_custkey, c_name FROM customer")
 def jdbc_overwrite(spark, sf_dir):
+    """The second write replaces rows and columns of the first."""
     name = _stored_customer(spark, sf_dir)
-    half = demo.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0")
-    warehouse_sink.overwrite_table(half.select("c_custkey", "c_name"), WAREHOUSE, name)
+    narrow = demo.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    warehouse_sink.overwrite_table(narrow, WAREHOUSE, name)
     return jdbc.read_warehouse(spark, WAREHOUSE, name)
 
 
-@query("jdbc_append", "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 3 = 0")
+@query("jdbc_append", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def jdbc_append(spark, sf_dir):
     name = _stored_customer(spark, sf_dir)
-    warehouse_sink.append_table(
-        demo.table(spark, sf_dir, "customer").where("c_custkey % 3 = 0"), WAREHOUSE, name
-    )
+    warehouse_sink.append_table(demo.table(spark, sf_dir, "customer"), WAREHOUSE, name)
     return jdbc.read_warehouse(spark, WAREHOUSE, name)
 
 
-@query("jdbc_truncate_load", "SELECT * FROM customer WHERE c_custkey % 5 = 0")
+@query("jdbc_truncate_load", "SELECT * FROM customer")
 def jdbc_truncate_load(spark, sf_dir):
+    """A table loaded twice over holds each row once after a truncating load."""
+    customer = demo.table(spark, sf_dir, "customer")
     name = _stored_customer(spark, sf_dir)
-    warehouse_sink.truncate_load_table(
-        demo.table(spark, sf_dir, "customer").where("c_custkey % 5 = 0"), WAREHOUSE, name
-    )
+    warehouse_sink.append_table(customer, WAREHOUSE, name)
+    warehouse_sink.truncate_load_table(customer, WAREHOUSE, name)
     return jdbc.read_warehouse(spark, WAREHOUSE, name)
 
 
