@@ -31,6 +31,12 @@ def compact_key(df: DataFrame, column: str) -> Column:
     return col
 
 
+def can_be_sketched(df: DataFrame, key: str) -> bool:
+    """Whether `hot_keys` knows the column's type."""
+    known = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(df.schema[key].dataType, known)
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """The keys that hold at least `HOT_SHARE` of the rows, as column `key`.
 

@@ -2,32 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqgate.functions import sizes
 from dqgate.functions.columns import quoted, resolve
-from dqgate.functions.keys import hot_keys
+from dqgate.functions.keys import can_be_sketched, hot_keys
 
 _KEY = "_fk"
 
 
-def _common_type(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> str:
-    left = fact.schema[resolve(fact, fact_key)].dataType
-    right = dim.schema[resolve(dim, dim_key)].dataType
-    if left == right:
-        return left.simpleString()
-    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
-        return "bigint"
-    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
-        return "decimal(38,10)" if T.DecimalType in (type(left), type(right)) else "double"
-    return "string"
+def _key_columns(
+    fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str
+) -> tuple[Column, Column]:
+    """Both keys in types that compare equal.
+
+    Text meets other types as text, and whole numbers as bigint, so that both
+    sides are partitioned alike. The rest is left to Spark's own coercion.
+    """
+    left, right = resolve(fact, fact_key), resolve(dim, dim_key)
+    kinds = fact.schema[left].dataType, dim.schema[right].dataType
+    columns = quoted(left), quoted(right)
+    if kinds[0] == kinds[1]:
+        return columns
+    if all(isinstance(kind, T.IntegralType) for kind in kinds):
+        return columns[0].cast("bigint"), columns[1].cast("bigint")
+    if any(isinstance(kind, T.StringType) for kind in kinds):
+        return columns[0].cast("string"), columns[1].cast("string")
+    return columns
 
 
-def _keys(df: DataFrame, key: str, key_type: str) -> DataFrame:
-    col = quoted(resolve(df, key)).cast(key_type)
-    return df.select(col.alias(_KEY)).where(F.col(_KEY).isNotNull())
+def _keys(df: DataFrame, key: Column) -> DataFrame:
+    return df.select(key.alias(_KEY)).where(F.col(_KEY).isNotNull())
 
 
 def missing_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
@@ -38,9 +45,9 @@ def missing_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -
     partitioning of that count. Catalyst chooses broadcast or sort-merge for
     the dimension from its size.
     """
-    key_type = _common_type(fact, fact_key, dim, dim_key)
-    counted = _keys(fact, fact_key, key_type).groupBy(_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.join(_keys(dim, dim_key, key_type), _KEY, "left_anti").withColumnRenamed(
+    left, right = _key_columns(fact, fact_key, dim, dim_key)
+    counted = _keys(fact, left).groupBy(_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.join(_keys(dim, right), _KEY, "left_anti").withColumnRenamed(
         _KEY, "missing_key"
     )
 
@@ -56,13 +63,13 @@ def foreign_key_stats(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: s
 def _match_rows(
     fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, how: str
 ) -> DataFrame:
-    key_type = _common_type(fact, fact_key, dim, dim_key)
-    dim_keys = _keys(dim, dim_key, key_type)
-    rows = fact.withColumn(_KEY, quoted(resolve(fact, fact_key)).cast(key_type)).where(
-        F.col(_KEY).isNotNull()
-    )
+    left, right = _key_columns(fact, fact_key, dim, dim_key)
+    dim_keys = _keys(dim, right)
+    rows = fact.withColumn(_KEY, left).where(F.col(_KEY).isNotNull())
     if sizes.measured_bytes(dim_keys) <= sizes.BROADCAST_BYTES:
         return rows.join(F.broadcast(dim_keys), _KEY, how).drop(_KEY)
+    if not can_be_sketched(rows, _KEY):
+        return rows.join(dim_keys, _KEY, how).drop(_KEY)
     # A large dimension: rows of hot keys (a bounded list) are decided without a
     # shuffle, all other rows by a shuffled join that no longer has a hot key.
     hot = hot_keys(rows.select(_KEY), _KEY)

@@ -306,7 +306,7 @@ def stage_gate(result: DataFrame) -> DataFrame:
     """
     stops = F.col("status").isin(n.FAIL, n.ERROR) & (F.col("on_stage_depend") == 1)
     place = F.coalesce("table_name", F.concat_ws("->", "src_table", "dest_table"))
-    reason = F.concat_ws(" ", F.coalesce("category", "check_type"), place, "column_name")
+    reason = F.concat_ws(" ", F.coalesce("category", "check_type", "error"), place, "column_name")
     return result.groupBy("pipeline", "stage").agg(
         F.coalesce(F.bool_or(stops), F.lit(False)).alias("blocked"),
         F.count_if(stops).alias("blocking_checks"),
@@ -320,7 +320,7 @@ def report_rows(result: DataFrame, category: str) -> DataFrame:
     rows = detail(result, category).withColumn("_category", F.lit(category))
     order = Window.partitionBy("_category").orderBy(*columns)
     return rows.select(
-        F.row_number().over(order).alias("#"), *[F.col(c).alias(heading(c)) for c in columns]
+        F.row_number().over(order).cast("bigint").alias("#"), *[F.col(c).alias(heading(c)) for c in columns]
     )
 
 

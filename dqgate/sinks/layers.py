@@ -19,6 +19,20 @@ from dqgate.functions.sizes import row_bytes
 MAX_TOUCHED_PARTITIONS = 1000
 
 
+# Fixed value: lets Delta tables have column names with any characters.
+_DELTA_OPTIONS = {"delta.columnMapping.mode": "name"}
+
+
+def _options(fmt: str, **delta_only: str) -> dict[str, str]:
+    return {**_DELTA_OPTIONS, **delta_only} if fmt == "delta" else {}
+
+
+def _by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition folder brought together, so that it gets few files;
+    a folder with very many rows is split over several tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite(
     df: DataFrame, location: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
@@ -27,16 +41,16 @@ def overwrite(
     The number of files follows the plan's partitions; nothing is squeezed into
     one file.
     """
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.partitionBy(*partition_by).save(location)
+    writer = _by_folder(df, partition_by).write.format(fmt).mode("overwrite")
+    options = _options(fmt, overwriteSchema="true")
+    writer.options(**options).partitionBy(*partition_by).save(location)
 
 
 def append(
     df: DataFrame, location: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    df.write.format(fmt).mode("append").partitionBy(*partition_by).save(location)
+    writer = _by_folder(df, partition_by).write.format(fmt).mode("append")
+    writer.options(**_options(fmt)).partitionBy(*partition_by).save(location)
 
 
 def _all_set(columns: Sequence[Column]) -> Column:
@@ -164,9 +178,7 @@ def upsert(
         return
     overwrite(merged(target.where(touched), source, primary_keys, small), stage, fmt, partition_by)
     (
-        spark.read.schema(target.schema)
-        .format(fmt)
-        .load(stage)
+        _by_folder(spark.read.schema(target.schema).format(fmt).load(stage), partition_by)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

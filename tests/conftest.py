@@ -17,6 +17,9 @@ def spark(tmp_path_factory):
         cores=4,
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__shuffle__partitions="4",
+        # The tables here are tiny: compiling each plan would cost more than running it.
+        # The comparison tool and the benchmark run with compiled plans.
+        spark__sql__codegen__wholeStage="false",
         # Python-side call sites are only needed when a query fails.
         spark__python__sql__dataFrameDebugging__enabled="false",
     )

@@ -184,6 +184,26 @@ def test_large_dimension_path_with_text_keys(spark, monkeypatch):
     assert (bad.count(), good.count()) == (1667 + 1667, 1666)
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "decimal(9,2)", "double", "binary", "boolean"])
+def test_large_dimension_path_with_other_types(spark, monkeypatch, kind):
+    text = "concat('2024-01-0', id)" if kind.startswith(("date", "time")) else "string(id)"
+    if kind == "boolean":
+        text = "string(id < 3)"
+    fact = spark.range(1, 7).selectExpr("id", f"CAST({text} AS {kind}) AS k")
+    dim = spark.range(1, 3).selectExpr(f"CAST({text} AS {kind}) AS d")
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
+    assert sorted(r.id for r in referential.valid_rows(fact, "k", dim, "d").collect()) == [1, 2]
+    assert sorted(r.id for r in referential.orphan_rows(fact, "k", dim, "d").collect()) == [3, 4, 5, 6]
+
+
+@pytest.mark.parametrize(("left", "right"), [("int", "bigint"), ("bigint", "double"), ("decimal(9,2)", "int"), ("string", "int")])
+def test_keys_of_two_types(spark, left, right):
+    fact = spark.range(1, 4).selectExpr("id", f"CAST(id AS {left}) AS k")
+    dim = spark.range(1, 3).selectExpr(f"CAST(id AS {right}) AS d")
+    assert [tuple(r) for r in referential.missing_keys(fact, "k", dim, "d").selectExpr("int(missing_key)", "n_rows").collect()] == [(3, 1)]
+    assert [r.id for r in referential.orphan_rows(fact, "k", dim, "d").collect()] == [3]
+
+
 def test_keys_of_different_types_still_match(spark):
     fact = spark.createDataFrame([("1",), ("2",), ("x",)], "k string")
     dim = spark.createDataFrame([(1,), (2,)], "d bigint")

@@ -20,7 +20,7 @@ from dqgate.operators.metrics import Metric, hours_since, table_metrics
 from dqgate.plans.run import union_all
 from workload import demo
 from workload.expected import HOURS, change_status, with_views
-from workload.registry import query
+from workload.registry import plain, query
 
 _COUNTED = demo.TABLES[:8]
 _COUNTS_SQL = "\nUNION ALL ".join(
@@ -392,24 +392,26 @@ def prev_state_lookup(spark, sf_dir):
 @query(
     "view_sql",
     "SELECT o_orderpriority, count(*) AS n_orders, "
-    "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue "
+    "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue "
     "FROM orders GROUP BY o_orderpriority",
 )
 def view_sql(spark, sf_dir):
     demo.register(spark, sf_dir)
-    return spark.sql(
-        "SELECT o_orderpriority, count(*) AS n_orders, "
-        "sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue FROM orders GROUP BY o_orderpriority"
+    return plain(
+        spark.sql(
+            "SELECT o_orderpriority, count(*) AS n_orders, "
+            "sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue FROM orders GROUP BY o_orderpriority"
+        )
     )
 
 
 @query(
     "kpi_sql",
-    "SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,6)) AS value FROM orders",
+    "SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM orders",
 )
 def kpi_sql(spark, sf_dir):
     demo.register(spark, sf_dir)
-    return kpi.kpi_sql(spark, demo.PRICE_QUERY)
+    return plain(kpi.kpi_sql(spark, demo.PRICE_QUERY))
 
 
 _AGGREGATES = (
@@ -424,7 +426,7 @@ _AGGREGATES = (
 @query(
     "kpi_agg",
     " UNION ALL ".join(
-        f"SELECT '{f}' AS agg_function, '{c}' AS column_name, CAST({sql} AS DECIMAL(38,6)) AS value "
+        f"SELECT '{f}' AS agg_function, '{c}' AS column_name, CAST({sql} AS DOUBLE) AS value "
         "FROM orders"
         for f, c, sql in _AGGREGATES
     ),
@@ -436,8 +438,11 @@ def kpi_agg(spark, sf_dir):
     ]
     name = F.create_map(*[F.lit(v) for m in wanted for v in (m.check_id, m.function)])
     column = F.create_map(*[F.lit(v) for m in wanted for v in (m.check_id, m.column)])
-    return union_all(table_metrics(demo.table(spark, sf_dir, "orders"), wanted)).select(
-        name[F.col("check_id")].alias("agg_function"),
-        column[F.col("check_id")].alias("column_name"),
-        "value",
+    measured = union_all(table_metrics(demo.table(spark, sf_dir, "orders"), wanted))
+    return plain(
+        measured.select(
+            name[F.col("check_id")].alias("agg_function"),
+            column[F.col("check_id")].alias("column_name"),
+            "value",
+        )
     )

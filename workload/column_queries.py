@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dqgate.functions import columns, formatting
 from workload import demo
-from workload.registry import query
+from workload.registry import plain, query
 
 
 @query("distinct_values", "SELECT DISTINCT o_orderstatus FROM orders")
@@ -77,7 +77,7 @@ def cols_to_front(spark, sf_dir):
 @query(
     "fmt_thousands",
     "SELECT o_orderkey, format('{:,}', o_orderkey * 12345) AS shown, "
-    "CAST(o_orderkey * 12345 AS DECIMAL(38,6)) AS plain, "
+    "CAST(o_orderkey * 12345 AS DOUBLE) AS plain, "
     "format('{:,}', CAST(trunc(price) AS BIGINT)) || CASE WHEN regexp_extract(CAST(price AS VARCHAR), "
     "'\\.(\\d*?)0*$', 1) = '' THEN '' ELSE '.' || regexp_extract(CAST(price AS VARCHAR), "
     "'\\.(\\d*?)0*$', 1) END AS price_text "
@@ -86,11 +86,13 @@ def cols_to_front(spark, sf_dir):
 def fmt_thousands(spark, sf_dir):
     shown = formatting.thousands(F.col("o_orderkey") * 12345)
     price = F.col("o_totalprice").cast("decimal(38,6)")
-    return demo.table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        shown.alias("shown"),
-        formatting.plain_number(shown).alias("plain"),
-        formatting.number_text(price).alias("price_text"),
+    return plain(
+        demo.table(spark, sf_dir, "orders").select(
+            "o_orderkey",
+            shown.alias("shown"),
+            formatting.plain_number(shown).alias("plain"),
+            formatting.number_text(price).alias("price_text"),
+        )
     )
 
 

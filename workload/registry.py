@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,3 +25,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return function
 
     return register
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, which both engines hand out alike."""
+    return df.select(
+        *[
+            F.col(name).cast("double") if kind.startswith("decimal") else F.col(name)
+            for name, kind in df.dtypes
+        ]
+    )

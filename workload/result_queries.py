@@ -15,7 +15,7 @@ from dqgate.sinks.layers import overwrite
 from dqgate.sinks import state as state_store
 from workload import demo
 from workload.expected import over_result, shown_count, shown_number
-from workload.registry import query
+from workload.registry import plain, query
 
 _ON = "'01-31-2024 06:00' AS \"Validated_On\""
 
@@ -94,52 +94,57 @@ _detail(
 # ---- comparisons as configured checks --------------------------------------
 
 _COMPARED = "previous_result, current_result, pct_change, status"
+_COMPARED_SQL = (
+    "CAST(previous_result AS DOUBLE) AS previous_result, "
+    "CAST(current_result AS DOUBLE) AS current_result, pct_change, status"
+)
 
 
 @query(
     "pre_post_rowcount",
     over_result(
-        f"SELECT layer, table_name, {_COMPARED} FROM check_result WHERE category = 'Pre Post Runs'"
+        f"SELECT layer, table_name, {_COMPARED_SQL} FROM check_result WHERE category = 'Pre Post Runs'"
     ),
 )
 def pre_post_rowcount(spark, sf_dir):
     result = demo.result(spark, sf_dir, [n.PRE_POST], [n.STAGE_PRE_POST])
-    return result.select("layer", "table_name", *_COMPARED.split(", "))
+    return plain(result.select("layer", "table_name", *_COMPARED.split(", ")))
 
 
 @query(
     "kpi_pre_post",
     over_result(
-        f"SELECT unique_id, kpi_name, {_COMPARED} FROM check_result WHERE category = 'Pre-Post Run'"
+        f"SELECT unique_id, kpi_name, {_COMPARED_SQL} FROM check_result WHERE category = 'Pre-Post Run'"
     ),
 )
 def kpi_pre_post(spark, sf_dir):
     result = demo.result(spark, sf_dir, [n.PRE_POST], [n.STAGE_KPI])
-    return result.select("unique_id", "kpi_name", *_COMPARED.split(", "))
+    return plain(result.select("unique_id", "kpi_name", *_COMPARED.split(", ")))
 
 
 @query(
     "kpi_src_dest",
     over_result(
         "SELECT unique_id, src_table, dest_table, "
-        f"{_COMPARED} FROM check_result WHERE category = 'Source Destination'"
+        f"{_COMPARED_SQL} FROM check_result WHERE category = 'Source Destination'"
     ),
 )
 def kpi_src_dest(spark, sf_dir):
     result = demo.result(spark, sf_dir, [n.SOURCE_DESTINATION], [n.STAGE_KPI])
-    return result.select("unique_id", "src_table", "dest_table", *_COMPARED.split(", "))
+    return plain(result.select("unique_id", "src_table", "dest_table", *_COMPARED.split(", ")))
 
 
 @query(
     "kpi_result",
     over_result(
-        "SELECT unique_id, kpi_name, table_name, current_result, status FROM check_result "
+        "SELECT unique_id, kpi_name, table_name, CAST(current_result AS DOUBLE) AS current_result, status "
+        "FROM check_result "
         "WHERE category = 'KPI'"
     ),
 )
 def kpi_result(spark, sf_dir):
     result = demo.result(spark, sf_dir, [n.KPI_RESULT], [n.STAGE_KPI])
-    return result.select("unique_id", "kpi_name", "table_name", "current_result", "status")
+    return plain(result.select("unique_id", "kpi_name", "table_name", "current_result", "status"))
 
 
 # ---- summaries -------------------------------------------------------------
@@ -362,14 +367,15 @@ def report_rows(spark, sf_dir):
 _ALL_COLUMNS = (
     "pipeline, stage, family, category, check_type, layer, src_layer, table_name, src_table, dest_table, "
     "column_name, unexpected_value, unique_id, kpi_name, agg_function, total_rows, unexpected_rows, "
-    "unexpected_keys, previous_result, pct_change, status, on_stage_depend"
+    "unexpected_keys, pct_change, status, on_stage_depend"
 )
 
 
 @query(
     "run_all",
     over_result(
-        f"SELECT {_ALL_COLUMNS}, CASE WHEN category <> 'SLA Check Validation' THEN current_result END "
+        f"SELECT {_ALL_COLUMNS}, CAST(previous_result AS DOUBLE) AS previous_result, "
+        "CAST(CASE WHEN category <> 'SLA Check Validation' THEN current_result END AS DOUBLE) "
         "AS current_result FROM check_result"
     ),
 )
@@ -377,18 +383,22 @@ def run_all(spark, sf_dir):
     """Every check of every stage in one plan."""
     result = demo.result(spark, sf_dir)
     not_sla = F.coalesce(F.col("category") != n.CAT_SLA, F.lit(True))
-    return result.select(
-        *_ALL_COLUMNS.split(", "), F.when(not_sla, F.col("current_result")).alias("current_result")
+    return plain(
+        result.select(
+            *_ALL_COLUMNS.split(", "),
+            "previous_result",
+            F.when(not_sla, F.col("current_result")).alias("current_result"),
+        )
     )
 
 
 @query(
     "save_state",
     over_result(
-        "SELECT stage, layer, coalesce(unique_id, table_name) AS state_key, current_result AS result, "
+        "SELECT stage, layer, coalesce(unique_id, table_name) AS state_key, CAST(current_result AS DOUBLE) AS result, "
         f"{_CREATED} AS run_ts FROM check_result WHERE category IN ('Pre Post Runs', 'Pre-Post Run') "
         "UNION ALL SELECT 'Pre and post runs rowcount check', 'Bronze', 'retired_table', "
-        "(SELECT count(*) FROM supplier), TIMESTAMP '2024-01-30 06:00:00'"
+        "CAST((SELECT count(*) FROM supplier) AS DOUBLE), TIMESTAMP '2024-01-30 06:00:00'"
     ),
 )
 def save_state(spark, sf_dir):
@@ -407,4 +417,5 @@ def save_state(spark, sf_dir):
     state_store.save_state(spark, old.unionByName(retired), location)
     result = demo.result(spark, sf_dir, [n.PRE_POST], [n.STAGE_PRE_POST, n.STAGE_KPI])
     state_store.save_state(spark, state_store.state_of(result), location)
-    return state_store.read_state(spark, location).select("stage", "layer", "state_key", "result", "run_ts")
+    stored = state_store.read_state(spark, location)
+    return plain(stored.select("stage", "layer", "state_key", "result", "run_ts"))

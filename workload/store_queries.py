@@ -17,7 +17,7 @@ from dqgate.sources.files import read_path, read_table
 from dqgate.sources.locations import load_table
 from dqgate.streaming.incremental import append_available, stream_path
 from workload import demo
-from workload.registry import query
+from workload.registry import plain, query
 
 
 @query("scan_path", "SELECT * FROM orders")
@@ -232,9 +232,8 @@ def jdbc_truncate_load(spark, sf_dir):
     return jdbc.read_warehouse(spark, WAREHOUSE, name)
 
 
-@query("kpi_jdbc_pushdown", "SELECT CAST(sum(c_nationkey) AS DECIMAL(38,6)) AS value FROM customer")
+@query("kpi_jdbc_pushdown", "SELECT CAST(sum(c_nationkey) AS DOUBLE) AS value FROM customer")
 def kpi_jdbc_pushdown(spark, sf_dir):
     name = _stored_customer(spark, sf_dir)
-    return kpi_warehouse(
-        spark, WAREHOUSE, f'SELECT SUM(CAST("c_nationkey" AS BIGINT)) AS TOTAL FROM {name}'
-    )
+    query_text = f'SELECT SUM(CAST("c_nationkey" AS BIGINT)) AS TOTAL FROM {name}'
+    return plain(kpi_warehouse(spark, WAREHOUSE, query_text))
