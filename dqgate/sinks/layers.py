@@ -74,22 +74,20 @@ def check_upsert_source(source: DataFrame, primary_keys: Sequence[str]) -> int:
     return int(stats["n_bytes"])
 
 
-def _updated(target: DataFrame, primary_keys: Sequence[str], source: DataFrame, how: str) -> DataFrame:
-    """Target joined to source; matched rows take every column the source has."""
+def _updated(target: DataFrame, primary_keys: Sequence[str], source: DataFrame) -> DataFrame:
+    """All target rows; matched ones take every column the source has."""
     changes = source.select(
         F.lit(True).alias("_changed"), *[quoted(c).alias(f"_new_{c}") for c in source.columns]
     )
-    matches = F.lit(True)
-    for key in primary_keys:
-        matches = matches & (quoted(key) == quoted(f"_new_{key}"))
+    matches = reduce(and_, [quoted(k) == quoted(f"_new_{k}") for k in primary_keys])
     out = []
     for column in target.columns:
-        if column in source.columns:
+        if column in source.columns and column not in primary_keys:
             new = quoted(f"_new_{column}")
             out.append(F.when(F.col("_changed"), new).otherwise(quoted(column)).alias(column))
         else:
             out.append(quoted(column))
-    return target.join(changes, matches, how).select(*out)
+    return target.join(changes, matches, "left").select(*out)
 
 
 def merged(
@@ -103,10 +101,11 @@ def merged(
     Null keys never match. Target columns the source lacks keep their value on
     update and are null on insert.
 
-    A source small enough to broadcast spares the target any shuffle: the target
-    passes once to be updated and once, keys only, to find which changes exist
-    already. Otherwise one full outer join on the key does both; rows without a
-    whole key go around it, so they cannot pile up in one task.
+    The target is the streamed side of a left join, so a key that many target
+    rows share is never buffered and its partition can be split. What is new in
+    the source is found by an anti join with the target's distinct keys. A source
+    small enough to broadcast spares the target any shuffle. Otherwise rows
+    without a whole key go around the joins, so they cannot pile up in one task.
     """
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
@@ -117,16 +116,21 @@ def merged(
     keys = list(primary_keys)
     key_columns = [quoted(k) for k in keys]
     if broadcast_source:
-        source_keys = source.select(*key_columns)
-        existing = target.select(*key_columns).join(F.broadcast(source_keys), keys, "left_semi")
+        source_keys = F.broadcast(source.select(*key_columns))
+        existing = target.select(*key_columns).join(source_keys, keys, "left_semi").distinct()
         inserted = source.join(existing, keys, "left_anti")
-        return _updated(target, keys, F.broadcast(source), "left").unionByName(
+        return _updated(target, keys, F.broadcast(source)).unionByName(
             inserted, allowMissingColumns=True
         )
     has_key = _all_set(key_columns)
-    joined = _updated(target.where(has_key), keys, source.where(has_key), "full")
-    return joined.unionByName(target.where(~has_key)).unionByName(
-        source.where(~has_key), allowMissingColumns=True
+    keyed_target, keyed_source = target.where(has_key), source.where(has_key)
+    existing = keyed_target.select(*key_columns).distinct()
+    inserted = keyed_source.join(existing, keys, "left_anti")
+    return (
+        _updated(keyed_target, keys, keyed_source)
+        .unionByName(target.where(~has_key))
+        .unionByName(inserted, allowMissingColumns=True)
+        .unionByName(source.where(~has_key), allowMissingColumns=True)
     )
 
 

@@ -76,6 +76,24 @@ def test_both_ways_of_merging_agree_with_a_dictionary(spark, old, changes):
     assert rows(layers.merged(once, source, ["k", "j"])) == expected
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_a_key_shared_by_many_target_rows(spark, small):
+    target = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    source = spark.createDataFrame([(7, "new"), (-1, "added")], "k bigint, v string")
+    got = {r.v: r.n for r in layers.merged(target, source, ["k"], small).groupBy("v").agg(F.count("*").alias("n")).collect()}
+    assert got == {"x": 1999, "new": 1001, "added": 1}
+
+
+def test_large_merges_stream_the_target(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(100).select("id", F.lit("x").alias("v"))
+        plan = layers.merged(target, target, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftOuter" in plan and "LeftAnti" in plan and "FullOuter" not in plan
+
+
 def test_small_changes_do_not_shuffle_the_target(spark):
     target = spark.range(1000).select("id", F.lit("x").alias("v"))
     source = spark.range(5).select("id", F.lit("y").alias("v"))
