@@ -30,9 +30,10 @@ from dqgate.plans.run import (
 )
 from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA
 from dqgate.session import scratch_dir
-from dqgate.sinks.history import append_history
+from dqgate.sinks.history import append_history, append_history_table
 from dqgate.sinks.layers import overwrite
 from dqgate.sinks.state import read_state, save_state, state_of
+from dqgate.sources.jdbc import Warehouse
 from dqgate.sources.locations import Locations
 
 
@@ -42,9 +43,12 @@ FRAMES_PER_JOB = 64
 
 @dataclass(frozen=True)
 class Output:
-    """Folders of a deployment. Results are kept per run, pipeline and stage."""
+    """Where a deployment keeps its results: the latest per pipeline and stage, the
+    run state, and the audit history, the last optionally in a warehouse table too."""
 
     base: str
+    audit_warehouse: Warehouse | None = None
+    audit_table: str | None = None
 
     @property
     def state(self) -> str:
@@ -163,15 +167,22 @@ def run_and_save(
     locations: Locations,
     ctx: RunContext,
     output: Output,
+    pipeline: str | None = None,
+    stage: str | None = None,
 ) -> DataFrame:
-    """Run every pipeline and stage, keep the results, and return the gate.
+    """Run every pipeline and stage, or the given one, keep the results, and return the gate.
 
     The result of a stage is written before anything is derived from it, so no
     checked table is read twice. A check whose table cannot be read becomes an
     `Error` row; a stage that cannot be run at all is recorded as one, and the
     others still run.
     """
-    runs = runs_of(config).orderBy("PipelineName", "StageName").limit(MAX_CHECKS).collect()
+    active = active_checks(config, pipeline, stage)
+    runs = runs_of(active).orderBy("PipelineName", "StageName").limit(MAX_CHECKS + 1).collect()
+    if not runs:
+        raise ValueError(f"no active checks for pipeline {pipeline!r} and stage {stage!r}")
+    if len(runs) > MAX_CHECKS:
+        raise ValueError(f"more than {MAX_CHECKS} pipelines and stages in one batch")
     gates = []
     for pipeline, stage in runs:
         folder = output.stage(pipeline, stage)
@@ -186,7 +197,10 @@ def run_and_save(
             overwrite(problem_rows, stored)
         result = spark.read.schema(RESULT_SCHEMA).parquet(stored)
         write_projections(result, folder, locations)
-        append_history(audit_history(result), output.history)
+        audit = audit_history(result)
+        append_history(audit, output.history)
+        if output.audit_warehouse and output.audit_table:
+            append_history_table(audit, output.audit_warehouse, output.audit_table)
         if stage in (n.STAGE_PRE_POST, n.STAGE_KPI):
             save_state(spark, state_of(result), output.state)
         gates.append(stage_gate(result))

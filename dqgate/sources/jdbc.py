@@ -40,7 +40,9 @@ def read_warehouse(
     With a numeric, date or timestamp `partition_column` the table is read by
     `num_partitions` tasks over equal ranges of it. The range ends come from a
     min/max query that the warehouse answers itself; rows outside the ends, or
-    without a value, still belong to the first or last range.
+    without a value, still belong to the first or last range. Choose a column
+    whose values are spread evenly, such as a running number: the ranges are of
+    equal width, not of equal row count.
     """
     reader = warehouse.reader(spark).option("dbtable", table)
     if partition_column is None or num_partitions <= 1:

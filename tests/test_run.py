@@ -12,7 +12,7 @@ from dqgate.plans import batch, results
 from dqgate.plans.batch import Output, run_and_save
 from dqgate.plans.run import RunContext, collect_items, plan_run, prepare_run
 from dqgate.schemas import RESULT_SCHEMA, STATE_SCHEMA
-from dqgate.sinks.history import read_history
+from dqgate.sinks.history import read_history, read_history_table
 from dqgate.sinks.state import read_state
 from dqgate.sources.jdbc import Warehouse
 from dqgate.sources.locations import LayerStore, Locations, RegisteredTable, abfss_store, load_table
@@ -401,3 +401,19 @@ def test_a_stage_that_cannot_be_planned_is_recorded(spark, people, tmp_path, mon
     cfg = config(spark, on("people", n.ROW_COUNT, IsStageDependency="1"))
     (gate,) = run_and_save(spark, cfg, NOWHERE, CTX, Output(str(tmp_path / "out"))).collect()
     assert (gate.stage, gate.blocked) == (n.STAGE_BRONZE, True)
+
+
+def test_one_stage_of_a_pipeline_with_its_audit_in_a_warehouse(spark, people, tmp_path):
+    warehouse = Warehouse("jdbc:derby:memory:audit;create=true", "org.apache.derby.jdbc.EmbeddedDriver")
+    output = Output(str(tmp_path / "out"), warehouse, "AUDIT_OF_RUNS")
+    cfg = config(
+        spark,
+        on("people", n.NULL, columns_list="id,name"),
+        on("people", n.ROW_COUNT, StageName=n.STAGE_SILVER),
+    )
+    gate = run_and_save(spark, cfg, NOWHERE, CTX, output, "P", n.STAGE_BRONZE).collect()
+    assert [r.stage for r in gate] == [n.STAGE_BRONZE]
+    stored = read_history_table(spark, warehouse, "AUDIT_OF_RUNS")
+    assert rows(stored) == rows(read_history(spark, output.history)) and stored.count() == 2
+    with pytest.raises(ValueError, match="no active checks"):
+        run_and_save(spark, cfg, NOWHERE, CTX, output, "P", n.STAGE_GOLD)
