@@ -12,6 +12,8 @@ and `text` are read, so further columns of any name do no harm.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,9 @@ BOILERPLATE = (
     "enable javascript", "click here", "subscribe to", "powered by", "licensed under the",
     "released under the", "copyright ©", "lorem ipsum",
 )
+# Every phrase above holds one of these: fewer searches clear most texts.
+STEMS = ("policy", "terms of", "rights reserved", "javascript", "under the", "copyright", "click here",
+         "subscribe", "powered by", "lorem")
 WINDOW = 5
 
 
@@ -84,16 +89,27 @@ def removed_length(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def line_passes(line: Column, rules: QualityRules) -> Column:
+def _any(text: Column, phrases: tuple[str, ...]) -> Column:
+    return reduce(or_, [text.contains(p) for p in phrases])
+
+
+def suspects(text: Column) -> Column:
+    """Which rules any line of the text can fail at all: most texts need no closer look."""
+    return F.struct(
+        text.rlike(r"[#*$%&|<>]|[!?]{2}").alias("noise"),
+        _any(F.lower(text), STEMS).alias("phrase"),
+    )
+
+
+def line_passes(line: Column, suspect: Column, rules: QualityRules) -> Column:
     """Punctuation, navigation and boilerplate rules over one line that has a word."""
     noise = removed_length(line, r"[#*$%&|<>]+|[!?]{2,}")
     menu = "|".join(NAVIGATION)
-    phrases = "|".join(BOILERPLATE)
     return (
-        line.rlike(f"{TERMINAL}[{SPACE}]*$")
-        & (noise * 100 <= F.length(line) * rules.max_noise_pct)
+        (line.endswith(".") | line.rlike(f"{TERMINAL}[{SPACE}]*$"))
+        & (~suspect["noise"] | (noise * 100 <= F.length(line) * rules.max_noise_pct))
         & ~line.rlike(f"^(?i)[{SPACE}]*({menu})([{SPACE}]*[|>/·.]*[{SPACE}]*({menu}))*[{SPACE}.|>/·]*$")
-        & ~line.rlike(f"(?i)({phrases})")
+        & (~suspect["phrase"] | ~_any(F.lower(line), BOILERPLATE))
     )
 
 
@@ -104,7 +120,7 @@ def judge(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
 
     def line_stats(lines: Column) -> Column:
         return let(
-            F.filter(lines, lambda line: line_passes(line, rules)),
+            let(suspects(text), lambda s: F.filter(lines, lambda line: line_passes(line, s, rules))),
             lambda good: F.struct(
                 (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
                 F.size(lines).cast("long").alias("n_lines"),

@@ -8,7 +8,7 @@ from dqgate.llm.registry import query
 
 _WORDS_SQL = r"[^\x20\x09-\x0D]+"
 _MENU = "|".join(quality_rules.NAVIGATION)
-_PHRASES = "|".join(quality_rules.BOILERPLATE)
+_PHRASES = " OR ".join(f"contains(lower(x), '{p}')" for p in quality_rules.BOILERPLATE)
 _TERMINAL = quality_rules.TERMINAL.replace("'", "''")
 
 _QUALITY_SQL = rf"""
@@ -23,7 +23,7 @@ WITH d AS (
       regexp_matches(x, '{_TERMINAL}[\x20\x09-\x0D]*\z')
       AND 100 * (length(x) - length(regexp_replace(x, '[#*$%&|<>]+|[!?]{{2,}}', '', 'g'))) <= 5 * length(x)
       AND NOT regexp_matches(x, '^(?i)[\x20\x09-\x0D]*({_MENU})([\x20\x09-\x0D]*[|>/·.]*[\x20\x09-\x0D]*({_MENU}))*[\x20\x09-\x0D.|>/·]*\z')
-      AND NOT regexp_matches(x, '(?i)({_PHRASES})')) AS gs
+      AND NOT ({_PHRASES})) AS gs
   FROM w
 ), win AS (
   SELECT r, i, ws[i:i + 4] AS g FROM w, unnest(range(1, len(ws) - 3)) AS u(i)
