@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from dqgate.llm import text_queries  # noqa: F401
+from dqgate.llm import dedup_queries, text_queries  # noqa: F401
 from dqgate.llm.registry import ORACLE, QUERIES  # noqa: F401
