@@ -28,8 +28,8 @@ K = 20
 SCALE = 64
 QUERY_STEP = 20
 # Rows of a block of candidates and of queries, and dimensions scored at a time.
-CANDIDATES = 4096
-QUERIES = 512
+CANDIDATES = 2048
+QUERIES = 1024
 DIMS = 16
 _EXACT = 1 << 53
 
@@ -37,7 +37,9 @@ _EXACT = 1 << 53
 def valid(vectors: DataFrame) -> DataFrame:
     """`(vec_id, v)`: components as whole numbers, floor(64 * x), in doubles."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    scaled = F.transform("embedding", lambda x: F.rint(F.floor(SCALE * x.cast("double")).cast("double")))
+    # From 2 ** 53 on every double is whole.
+    whole = lambda y: F.when(F.abs(y) < _EXACT, F.floor(y).cast("double")).otherwise(y)
+    scaled = F.transform("embedding", lambda x: whole(SCALE * x.cast("double")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
     return rows.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding")).select(
         "vec_id", scaled.alias("v")
@@ -54,31 +56,32 @@ def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
     return out
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates of a partition as blocks: ids, and components in vertical layout."""
+def _block(part: pa.Table) -> pa.Table:
+    """The vectors of one block as one row: ascending ids, and components in vertical layout."""
+    ids, rows = part.column("vec_id").to_numpy(), _matrix(part.column("v").combine_chunks())
+    order = np.argsort(ids, kind="stable")
+    small = np.abs(rows).max(initial=0) < 1 << 15
+    columns = np.ascontiguousarray(rows[order].T).astype("<i2" if small else "<f8")
+    return pa.table(
+        {
+            "block": part.column("block").slice(0, 1),
+            "ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
+            "columns": pa.array([columns.tobytes()], pa.binary()),
+            "width": pa.array([rows.shape[1]], pa.int32()),
+        }
+    )
 
-    def block(part: pa.Table) -> pa.RecordBatch:
-        ids, rows = part.column("vec_id").to_numpy(), _matrix(part.column("v").combine_chunks())
-        order = np.argsort(ids, kind="stable")
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
-                pa.array([np.ascontiguousarray(rows[order].T).astype("<f8").tobytes()], pa.binary()),
-                pa.array([rows.shape[1]], pa.int32()),
-            ],
-            names=["ids", "columns", "width"],
-        )
 
-    held, n = [], 0
-    for batch in batches:
-        held.append(pa.Table.from_batches([batch.select(["vec_id", "v"])]))
-        n += batch.num_rows
-        while n >= CANDIDATES:
-            whole = pa.concat_tables(held)
-            yield block(whole.slice(0, CANDIDATES))
-            held, n = [whole.slice(CANDIDATES)], n - CANDIDATES
-    if n:
-        yield block(pa.concat_tables(held))
+def _read(ids: bytes, columns: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, "<i8")
+    kind = "<i2" if len(columns) == 2 * len(ids) * width else "<f8"
+    return ids, np.frombuffer(columns, kind).astype(float).reshape(width, len(ids))
+
+
+def in_blocks(rows: DataFrame, n: int) -> DataFrame:
+    """`(block, ids, columns, width)`: the rows dealt by hash to n blocks."""
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
+    return dealt.groupBy("block").applyInArrow(_block, "block long, ids binary, columns binary, width int")
 
 
 def _exact_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -135,46 +138,33 @@ def _top(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 def _score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
-            c = np.frombuffer(row["columns"], "<f8").reshape(row["width"], -1)
-            q = np.frombuffer(row["q_columns"], "<f8").reshape(row["q_width"], -1).T
-            cid, qid = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
-            if not row["width"]:
-                c = np.zeros((0, len(cid)))
-            if not row["q_width"]:
-                q = np.zeros((len(qid), 0))
-            for at in range(0, len(qid), QUERIES):
-                found = best(qid[at : at + QUERIES], q[at : at + QUERIES], cid, c)
-                counts = [len(ids) for ids, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(qid[at : at + QUERIES], counts)),
-                        pa.array(np.concatenate([ids for ids, _ in found])),
-                        pa.array(np.concatenate([scores for _, scores in found])),
-                    ],
-                    names=["query_id", "vec_id", "score"],
-                )
-
-
-def top_k(vectors: DataFrame, k: int = K, step: int = QUERY_STEP) -> DataFrame:
-    """`(query_id, rank, vec_id, score)`: the k best other rows of every row whose id is divisible by `step`."""
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            cid, c = _read(row["ids"], row["columns"], row["width"])
+            qid, q = _read(row["q_ids"], row["q_columns"], row["q_width"])
+            found = best(qid, q.T, cid, c)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(qid, [len(ids) for ids, _ in found])),
+                    pa.array(np.concatenate([ids for ids, _ in found])),
+                    pa.array(np.concatenate([scores for _, scores in found])),
+                ],
+                names=["query_id", "vec_id", "score"],
+            )
+
+
+def top_k(vectors: DataFrame, step: int = QUERY_STEP) -> DataFrame:
+    """`(query_id, rank, vec_id, score)`: the best `K` other rows of every row whose id is divisible by `step`."""
     rows = written(valid(vectors), "vectors")
-    schema = "ids binary, columns binary, width int"
-    n = rows.count()
-    tasks = max(1, -(-n // CANDIDATES))
-    spread = lambda df, count: df.repartition(count, F.xxhash64("vec_id"))
-    blocks = written(spread(rows, tasks).mapInArrow(_blocks, schema), "blocks")
-    asked = spread(rows.where(F.col("vec_id") % step == 0), max(1, -(-tasks // step))).mapInArrow(_blocks, schema)
-    asked = written(asked.select(F.expr("uuid()").alias("q"), F.struct("*").alias("asked")), "queries")
-    # A block of queries meets every block of candidates: the stated set against all rows, in blocks.
-    names = [r.q for r in asked.select("q").collect()] if tasks <= CANDIDATES else None
-    keyed = asked.select("q", *[F.col(f"asked.{c}").alias(f"q_{c}") for c in ("ids", "columns", "width")])
-    if names is None:
-        pairs = blocks.join(asked.select("q"))
-    else:
-        pairs = blocks.withColumn("q", F.explode(F.array(*[F.lit(x) for x in names]).cast("array<string>")))
-    met = pairs.join(keyed, "q").drop("q")
-    scored = met.mapInArrow(_score, "query_id long, vec_id long, score long")
+    asked = rows.where(F.col("vec_id") % step == 0)
+    n, n_asked = max(1, -(-rows.count() // CANDIDATES)), max(1, -(-asked.count() // QUERIES))
+    blocks = in_blocks(rows, n)
+    # Each block of queries goes to every block of candidates: the stated set against all rows.
+    questions = in_blocks(asked, n_asked).select(
+        *[F.col(c).alias(f"q_{c}") for c in ("ids", "columns", "width")],
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"),
+    )
+    scored = blocks.join(questions, "block").mapInArrow(_score, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= K)
     return ranked.select("query_id", "rank", "vec_id", "score")
