@@ -1,4 +1,4 @@
-"""Chat formatting by a grammar round trip.
+r"""Chat formatting by a grammar round trip.
 
     conversation := turn*
     turn         := "### " role ":" mark " " body "</turn>\n"

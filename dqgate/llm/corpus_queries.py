@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dqgate.llm import mixing
+from dqgate.llm import mixing, packing
 from dqgate.llm.common import table
 from dqgate.llm.registry import query
 
@@ -10,3 +10,8 @@ from dqgate.llm.registry import query
 @query("op8_source_mix")
 def op8_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_bestfit_packing")
+def op9_bestfit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
