@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dqgate.llm import quality_rules
+from dqgate.llm import quality_rules, secret_scan
 from dqgate.llm.common import table
 from dqgate.llm.registry import query
 
@@ -51,3 +51,9 @@ FROM c
 @query("op1_quality_rules", _QUALITY_SQL)
 def op1_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "word_index", "value", "probability", "is_secret")
