@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dqgate.llm import quality_rules, secret_scan
+from dqgate.llm import quality_rules, secret_scan, surrogates
 from dqgate.llm.common import table
 from dqgate.llm.registry import query
 
@@ -57,3 +57,9 @@ def op1_quality_rules(spark, sf_dir):
 def op3_secret_scan(spark, sf_dir):
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "word_index", "value", "probability", "is_secret")
+
+
+@query("op7_pii_surrogates")
+def op7_pii_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs)
