@@ -66,21 +66,10 @@ def first_value(df: DataFrame, column: str, order_by: str) -> DataFrame:
     return df.agg(F.min_by(quoted(column), quoted(order_by)).alias(column))
 
 
-def column_list(
-    df: DataFrame, column: str, order_by: str, max_items: int = 100_000
-) -> DataFrame:
-    """All values of a small column as one array in the stated order.
+def column_list(df: DataFrame, column: str, order_by: str) -> DataFrame:
+    """All values of a column as rows `(position, value)`, in the order of another column.
 
-    Meant for configuration-sized input. Each task collects at most
-    `max_items + 1` rows; a longer column raises instead of being cut.
+    The rows stay distributed: a list of any length has no single holder.
     """
-    bounded = df.select(
-        quoted(order_by).alias("pos"), quoted(column).alias("item")
-    ).limit(max_items + 1)
-    collected = F.array_sort(F.collect_list(F.struct("pos", "item")))
-    too_long = F.raise_error(F.lit(f"column_list: more than {max_items} rows"))
-    return bounded.agg(
-        F.when(F.count(F.lit(1)) > max_items, too_long)
-        .otherwise(F.transform(collected, lambda x: x["item"]))
-        .alias(column)
-    )
+    listed = df.select(quoted(order_by).alias("position"), quoted(column).alias("value"))
+    return listed.orderBy("position", "value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,7 @@ from pyspark.sql import functions as F
 from dqgate.functions import sizes
 from dqgate.functions.columns import quoted
 from dqgate.functions.sizes import row_bytes
-
-# A partitioned upsert names the touched partitions in its scan up to this many;
-# beyond it the whole table is merged.
-MAX_TOUCHED_PARTITIONS = 1000
-
+from dqgate.session import scratch_dir
 
 # Fixed value: lets Delta tables have column names with any characters.
 _DELTA_OPTIONS = {"delta.columnMapping.mode": "name"}
@@ -134,21 +130,30 @@ def merged(
     )
 
 
-def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> Column | None:
-    """Filter on the partitions the source touches; None when there are too many to name."""
+def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> Column:
+    """Filter on the partitions the source touches.
+
+    It names partition values only, as many as there are: the driver holds those of the
+    whole table anyway to list its files.
+    """
     columns = [quoted(c).cast(target.schema[c].dataType).alias(c) for c in partition_by]
-    values = source.select(*columns).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(values) > MAX_TOUCHED_PARTITIONS:
-        return None
-    if len(partition_by) == 1:
-        known = [v[0] for v in values if v[0] is not None]
-        column = quoted(partition_by[0])
-        listed = column.isin(known) if known else F.lit(False)
-        return listed | column.isNull() if len(known) < len(values) else listed
-    each = [
-        reduce(and_, [quoted(c).eqNullSafe(F.lit(v[c])) for c in partition_by]) for v in values
-    ]
-    return reduce(or_, each, F.lit(False))
+    named = source.select(F.to_json(F.struct(*columns)).alias("part")).distinct().collect()
+    if not named:
+        return F.lit(False)
+    return F.to_json(F.struct(*[quoted(c) for c in partition_by])).isin([r["part"] for r in named])
+
+
+def partition_columns(spark: SparkSession, location: str) -> list[str]:
+    """The columns whose values name the folders of a table."""
+    fs, path = _file_system(spark, location)
+    found: list[str] = []
+    while True:
+        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+        level = next((x for x in names if "=" in x and not x.startswith(("_", "."))), None)
+        if level is None:
+            return found
+        found.append(level.split("=", 1)[0])
+        path = spark._jvm.org.apache.hadoop.fs.Path(path, level)
 
 
 def upsert(
@@ -165,20 +170,44 @@ def upsert(
     copy beside the table, which then takes its place: readers see the old or
     the new table, and a failed job leaves the old one untouched. A table
     partitioned by part of its primary key is only read and rewritten in the
-    partitions the source touches.
+    partitions the source touches. The table keeps its partition columns; `partition_by`
+    need only be given to change them.
+
+    The source is computed once, into the shared folder, so that what is checked is what is
+    merged.
     """
+    kept = scratch_dir(spark, "upsert-source")
+    source.write.parquet(kept)
+    source = spark.read.schema(source.schema).parquet(kept)
+    try:
+        _upsert(spark, source, location, primary_keys, fmt, partition_by)
+    finally:
+        remove_path(spark, kept)
+
+
+def _upsert(
+    spark: SparkSession,
+    source: DataFrame,
+    location: str,
+    primary_keys: Sequence[str],
+    fmt: str,
+    partition_by: Sequence[str],
+) -> None:
     small = check_upsert_source(source, primary_keys) <= sizes.BROADCAST_BYTES
     if fmt == "delta":
         _delta_merge(spark, source, location, primary_keys)
         return
     target = spark.read.format(fmt).load(location)
+    layout = partition_columns(spark, location)
+    same_layout = not partition_by or list(partition_by) == layout
+    partition_by = partition_by or layout
     stage = f"{location.rstrip('/')}__merge_{uuid.uuid4().hex}"
     touched = None
-    if partition_by and set(partition_by) <= set(primary_keys):
+    if partition_by and same_layout and set(partition_by) <= set(primary_keys):
         touched = _touched(target, source, partition_by)
     if touched is None:
         overwrite(merged(target, source, primary_keys, small), stage, fmt, partition_by)
-        _take_place(spark, stage, location)
+        take_place(spark, stage, location)
         return
     overwrite(merged(target.where(touched), source, primary_keys, small), stage, fmt, partition_by)
     (
@@ -204,7 +233,7 @@ def _delta_merge(
         .alias("t")
         .merge(source.alias("s"), condition)
         .whenMatchedUpdate(set=changed)
-        .whenNotMatchedInsertAll()
+        .whenNotMatchedInsert(values={f"`{c}`": f"s.`{c}`" for c in source.columns})
         .execute()
     )
 
@@ -225,11 +254,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def _take_place(spark: SparkSession, stage: str, location: str) -> None:
+def take_place(spark: SparkSession, stage: str, location: str) -> None:
     """Put the finished copy where the table was: two renames, no data is moved."""
     fs, new = _file_system(spark, stage)
     _, current = _file_system(spark, location)
-    _, old = _file_system(spark, f"{location.rstrip('/')}__old_{uuid.uuid4().hex}")
+    # Hidden from readers of the folder above.
+    parent, _, name = location.rstrip("/").rpartition("/")
+    _, old = _file_system(spark, f"{parent}/_old_{name}_{uuid.uuid4().hex}")
     if not fs.rename(current, old):
         raise OSError(f"cannot set {location} aside; the merged table is at {stage}")
     if not fs.rename(new, current):

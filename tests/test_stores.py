@@ -152,20 +152,18 @@ def test_a_failed_upsert_leaves_the_table(spark, place):
 PARTED = "p string, k int, v string"
 
 
-@pytest.mark.parametrize("most", [layers.MAX_TOUCHED_PARTITIONS, 0])
-def test_partitioned_upsert_rewrites_only_what_it_touches(spark, place, monkeypatch, most):
-    monkeypatch.setattr(layers, "MAX_TOUCHED_PARTITIONS", most)
+@pytest.mark.parametrize("partition_by", [["p"], []])
+def test_partitioned_upsert_rewrites_only_what_it_touches(spark, place, partition_by):
     old = [("a", 1, "x"), ("b", 1, "x"), ("c", 1, "x"), (None, 1, "x")]
     layers.overwrite(spark.createDataFrame(old, PARTED), place, partition_by=["p"])
     before = {f: os.listdir(f"{place}/{f}") for f in ("p=a", "p=c")}
     source = spark.createDataFrame([("b", 1, "new"), ("b", 2, "added"), ("d", 1, "added"), (None, 1, "added")], PARTED)
-    layers.upsert(spark, source, place, ["p", "k"], partition_by=["p"])
+    layers.upsert(spark, source, place, ["p", "k"], partition_by=partition_by)
     assert rows(read_path(spark, place).select("p", "k", "v")) == sorted(
         [("a", 1, "x"), ("b", 1, "new"), ("b", 2, "added"), ("c", 1, "x"), ("d", 1, "added"),
          (None, 1, "x"), (None, 1, "added")], key=repr,
     )
-    if most:
-        assert before == {f: os.listdir(f"{place}/{f}") for f in ("p=a", "p=c")}
+    assert before == {f: os.listdir(f"{place}/{f}") for f in ("p=a", "p=c")}
     assert folders(place) == ["table"]
 
 
@@ -312,3 +310,27 @@ def test_view_names_have_one_part(spark):
 def test_scratch_folders_are_in_the_shared_folder(spark):
     a, b = scratch_dir(spark), scratch_dir(spark)
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_upsert_computes_its_source_once(spark, place):
+    layers.overwrite(spark.createDataFrame([(1, "x")], "k int, v string"), place)
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(v):
+        seen.add(1)
+        return v
+
+    source = spark.range(1, 4).select(F.col("id").cast("int").alias("k"), F.udf(noted)(F.lit("new")).alias("v"))
+    layers.upsert(spark, source, place, ["k"])
+    assert rows(read_path(spark, place)) == [(1, "new"), (2, "new"), (3, "new")]
+    assert seen.value == 3
+
+
+def test_upsert_touches_more_partitions_than_a_list_should_hold(spark, place):
+    n = 1500
+    table = spark.range(n).select(F.col("id").alias("p"), F.lit(1).alias("k"), F.lit("old").alias("v"))
+    layers.overwrite(table.coalesce(1), place, partition_by=["p"])
+    source = spark.range(n).select(F.col("id").alias("p"), F.lit(1).alias("k"), F.lit("new").alias("v"))
+    layers.upsert(spark, source, place, ["p", "k"], partition_by=["p"])
+    got = read_path(spark, place)
+    assert got.count() == n and got.where("v <> 'new'").isEmpty()

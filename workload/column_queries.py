@@ -21,16 +21,14 @@ def first_value(spark, sf_dir):
 
 @query(
     "column_list",
-    "SELECT string_agg(CAST(n_orders AS VARCHAR), ',' ORDER BY o_orderpriority) AS n_orders "
-    "FROM (SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY o_orderpriority)",
+    "SELECT o_orderpriority AS position, CAST(count(*) AS VARCHAR) AS value FROM orders GROUP BY o_orderpriority",
 )
 def column_list(spark, sf_dir):
-    """Orders per priority, as one list in the order of the priorities."""
+    """Orders per priority, as a list in the order of the priorities."""
     counted = demo.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).cast("string").alias("n_orders")
     )
-    listed = columns.column_list(counted, "n_orders", "o_orderpriority", max_items=1000)
-    return listed.select(F.array_join("n_orders", ",").alias("n_orders"))
+    return columns.column_list(counted, "n_orders", "o_orderpriority")
 
 
 @query(

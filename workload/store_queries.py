@@ -236,4 +236,24 @@ def jdbc_truncate_load(spark, sf_dir):
 def kpi_jdbc_pushdown(spark, sf_dir):
     name = _stored_customer(spark, sf_dir)
     query_text = f'SELECT SUM(CAST("c_nationkey" AS BIGINT)) AS TOTAL FROM {name}'
-    return plain(kpi_warehouse(spark, WAREHOUSE, query_text))
+    return plain(kpi_warehouse(spark, WAREHOUSE, query_text).select("value"))
+
+
+@query(
+    "upsert_keeps_layout",
+    "SELECT o_orderstatus, 'o_orderstatus' AS layout, count(*) AS n_rows, "
+    "count(*) FILTER (WHERE o_orderkey % 3 = 0) AS n_changed FROM orders GROUP BY o_orderstatus",
+)
+def upsert_keeps_layout(spark, sf_dir):
+    """An upsert by a key outside the partition columns leaves the table partitioned as it was."""
+    orders = demo.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.lit(0).alias("version"))
+    location = scratch_dir(spark, "layout")
+    layers.overwrite(orders, location, partition_by=["o_orderstatus"])
+    changes = orders.where("o_orderkey % 3 = 0").withColumn("version", F.lit(1))
+    layers.upsert(spark, changes, location, ["o_orderkey"])
+    layout = ",".join(layers.partition_columns(spark, location))
+    return spark.read.parquet(location).groupBy("o_orderstatus").agg(
+        F.lit(layout).alias("layout"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("version") == 1).alias("n_changed"),
+    )
