@@ -157,3 +157,13 @@ def test_runs_and_slices(spark):
     df = config(spark, {}, {"StageName": n.STAGE_GOLD}, {"StageName": n.STAGE_GOLD}, {"Check_Status": "no", "PipelineName": "Q"})
     assert sorted(map(tuple, checks.runs_of(df).collect())) == [("P", n.STAGE_BRONZE), ("P", n.STAGE_GOLD)]
     assert checks.slice_of(df, StageName=n.STAGE_GOLD, PipelineName="P").count() == 2
+
+
+def test_config_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "named.csv"
+    path.write_text("Extra,validationcheck,Check_Status,StageName,PipelineName\n1,RowCount,yes,S,P\n")
+    row = read_check_config(spark, str(path)).first()
+    assert (row.PipelineName, row.ValidationCheck, row.UniqueID) == ("P", "RowCount", None)
+    (tmp_path / "short.csv").write_text("StageName\nS\n")
+    with pytest.raises(ValueError, match="PipelineName"):
+        read_check_config(spark, str(tmp_path / "short.csv"))

@@ -70,9 +70,13 @@ def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived configuration, written as CSV and read back."""
+    """The derived configuration, written as CSV in another column order, without one optional
+    column and with one too many, and read back."""
     folder = scratch_dir(spark, "config")
-    _derived(spark, sf_dir).write.options(header=True, escape='"', quote='"').csv(folder)
+    derived = _derived(spark, sf_dir)
+    unused = next(c for c in CONFIG_COLUMNS if c not in _DERIVED)
+    shuffled = derived.select(F.lit("x").alias("Remark"), *[c for c in reversed(CONFIG_COLUMNS) if c != unused])
+    shuffled.write.options(header=True, escape='"', quote='"').csv(folder)
     return read_check_config(spark, folder)
 
 
