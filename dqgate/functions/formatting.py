@@ -28,7 +28,7 @@ def plain_number(text: Column) -> Column:
 def number_text(value: Column) -> Column:
     """Thousands separators, keeping a fraction only where there is one.
 
-    Works on decimal(38,6): trailing zeros of the fraction are dropped.
+    Works on decimals: trailing zeros of the fraction are dropped.
     """
     fraction = F.regexp_extract(value.cast("string"), r"\.(\d*?)0*$", 1)
     sign = F.when((value < 0) & (value > -1), "-").otherwise("")

@@ -1,8 +1,10 @@
 """The change rule between a previous and a current result.
 
 A change passes while it stays within +20 % and -5 %, after the percentage has
-been truncated toward zero: +20.9 % and -5.9 % still pass. All functions take
-the names of the two result columns, or SQL expressions for them.
+been truncated toward zero: +20.9 % and -5.9 % still pass. Source and destination
+results lose their fractions before they are compared; results of two runs keep
+them, so that shares and rates are compared too. All functions take the names of the
+two result columns, or SQL expressions for them.
 """
 
 from __future__ import annotations
@@ -22,19 +24,22 @@ def whole(value: Column) -> Column:
     return F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value))
 
 
-def _raw_pct(previous: str, current: str) -> str:
+def _raw_pct(previous: str, current: str, exact: bool) -> str:
+    if exact:
+        # One rounding only: 10 to 12.9 is 29 %, not 28.999.
+        return f"try_divide(double({current} - {previous}) * 100, double({previous}))"
     prev, cur = whole_sql(previous), whole_sql(current)
     return f"(try_divide(double({cur} - {prev}), double({prev})) * 100)"
 
 
-def pct_change_sql(previous: str, current: str) -> str:
-    return f"try_cast({_raw_pct(previous, current)} AS bigint)"
+def pct_change_sql(previous: str, current: str, exact: bool = False) -> str:
+    return f"try_cast({_raw_pct(previous, current, exact)} AS bigint)"
 
 
-def _within_limits(previous: str, current: str) -> str:
+def _within_limits(previous: str, current: str, exact: bool) -> str:
     # Truncation toward zero makes "more than 20" mean 21 or above. Comparing
     # the double avoids overflow of very large ratios.
-    pct = _raw_pct(previous, current)
+    pct = _raw_pct(previous, current, exact)
     return (
         f"CASE WHEN {pct} >= {UPPER_LIMIT_PCT + 1} OR {pct} <= -{LOWER_LIMIT_PCT + 1} "
         f"THEN '{FAIL}' ELSE '{PASS}' END"
@@ -42,10 +47,10 @@ def _within_limits(previous: str, current: str) -> str:
 
 
 def rerun_status_sql(previous: str, current: str) -> str:
-    first_run = f"({previous} IS NULL OR {whole_sql(previous)} = 0)"
+    first_run = f"({previous} IS NULL OR {previous} = 0)"
     return (
         f"CASE WHEN {current} IS NULL OR ({first_run} AND {current} = 0) THEN '{FAIL}' "
-        f"WHEN {first_run} THEN '{PASS}' ELSE {_within_limits(previous, current)} END"
+        f"WHEN {first_run} THEN '{PASS}' ELSE {_within_limits(previous, current, True)} END"
     )
 
 
@@ -54,13 +59,13 @@ def pair_status_sql(source: str, destination: str) -> str:
         f"CASE WHEN {source} IS NULL OR {destination} IS NULL THEN '{FAIL}' "
         f"WHEN {whole_sql(source)} = 0 AND {whole_sql(destination)} = 0 THEN '{PASS}' "
         f"WHEN {whole_sql(source)} = 0 THEN '{FAIL}' "
-        f"ELSE {_within_limits(source, destination)} END"
+        f"ELSE {_within_limits(source, destination, False)} END"
     )
 
 
-def pct_change(previous: str, current: str) -> Column:
+def pct_change(previous: str, current: str, exact: bool = False) -> Column:
     """Whole percent of change; null when there is no previous result or it is 0."""
-    return F.expr(pct_change_sql(previous, current))
+    return F.expr(pct_change_sql(previous, current, exact))
 
 
 def rerun_status(previous: str, current: str) -> Column:

@@ -15,7 +15,7 @@ def compared(df: DataFrame, previous: str, current: str, rule: str) -> DataFrame
     """Adds `pct_change` and `status`; `rule` is `pair` or `rerun`."""
     status = {"pair": pair_status, "rerun": rerun_status}[rule]
     return df.withColumns(
-        {"pct_change": pct_change(previous, current), "status": status(previous, current)}
+        {"pct_change": pct_change(previous, current, rule == "rerun"), "status": status(previous, current)}
     )
 
 

@@ -10,13 +10,14 @@ from dqgate.sources.jdbc import Warehouse, query_warehouse
 
 
 def kpi_agg(df: DataFrame, function: str, column: str) -> DataFrame:
-    """One row with the aggregate as decimal(38,6) in `value`."""
-    return df.agg(as_result(kpi_value(df, function, column)).alias("value"))
+    """One row with the aggregate as a decimal in `value` and as text in `value_text`."""
+    found = kpi_value(df, function, column)
+    return df.agg(as_result(found).alias("value"), found.cast("string").alias("value_text"))
 
 
 def _first_value(result: DataFrame) -> DataFrame:
     first = quoted(result.columns[0])
-    return result.select(as_result(first).alias("value")).limit(1)
+    return result.select(as_result(first).alias("value"), first.cast("string").alias("value_text")).limit(1)
 
 
 def kpi_sql(spark: SparkSession, query: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,16 +49,21 @@ def in_list_count(df: DataFrame, column: str, values: Sequence[str]) -> Column:
 
 
 def kpi_value(df: DataFrame, function: str, column: str) -> Column:
-    """A configured aggregate; only listed aggregate names are accepted.
+    """A configured aggregate of a column, or of an expression over the table's columns.
 
-    Text that is no number counts as missing in a numeric aggregate, and sums of
-    whole numbers are taken as decimals, so that no value can stop the job.
+    Text that is no number counts as missing in a numeric aggregate of a column, and sums of
+    whole numbers are taken as decimals, so that no value can stop the job. Any other
+    aggregate function, `DISTINCT x`, and expressions are taken as Spark reads them.
+    Raises when that gives no aggregate.
     """
     name = function.strip().lower()
-    if name not in KPI_AGGREGATES:
-        raise ValueError(f"aggregate {function!r} is not one of {KPI_AGGREGATES}")
+    if not re.fullmatch("[a-z_][a-z0-9_]*", name):
+        raise ValueError(f"{function!r} is no name of an aggregate")
+    known = [c for c in df.columns if c.lower() == column.strip().lower()]
+    if column.strip() != "*" and (name not in KPI_AGGREGATES or not known):
+        return _expression(df, name, column)
     if column.strip() == "*":
-        return getattr(F, name)(F.lit(1))
+        return getattr(F, name)(F.lit(1)) if name in KPI_AGGREGATES else _expression(df, name, "1")
     column = resolve(df, column)
     data_type, target = df.schema[column].dataType, quoted(column)
     if name in ("sum", "avg", "stddev", "variance"):
@@ -69,15 +76,32 @@ def kpi_value(df: DataFrame, function: str, column: str) -> Column:
     return getattr(F, name)(target)
 
 
+def _expression(df: DataFrame, name: str, argument: str) -> Column:
+    """`name(argument)`; both the argument alone and the whole must be what they claim."""
+    distinct, rest = re.fullmatch(r"(?is)\s*(distinct\s+)?(.*)", argument).groups()
+    try:
+        F.expr(f"struct({rest})")  # a complete list of expressions by itself
+        if name == "count_distinct":
+            name, distinct = "count", "DISTINCT "
+        value = F.expr(f"{name}({'DISTINCT ' if distinct else ''}{rest})")
+        df.agg(value)  # an aggregate over columns of this table
+    except (ParseException, AnalysisException) as problem:
+        told = str(problem).split("\n")[0]
+        raise ValueError(f"{name}({argument}) is no aggregate of this table: {told}") from None
+    return value
+
+
 def as_result(value: Column) -> Column:
-    """Any aggregate as decimal(38,6); what has no such value becomes null."""
+    """Any aggregate as a decimal; what has no such value becomes null and is left to its text form."""
     return value.cast("string").try_cast(RESULT_TYPE)
 
 
 def _needs_own_pass(metric: Metric) -> bool:
     # An exact distinct count multiplies the rows of every aggregate it shares a
     # plan with, so it is planned by itself.
-    return (metric.function or "").strip().lower() == "count_distinct"
+    return (metric.function or "").strip().lower() == "count_distinct" or bool(
+        re.match(r"\s*distinct\s", metric.column or "", re.I) and metric.kind == "aggregate"
+    )
 
 
 def metric_column(df: DataFrame, metric: Metric) -> Column | None:
@@ -94,7 +118,7 @@ def metric_column(df: DataFrame, metric: Metric) -> Column | None:
     if metric.kind == "latest":
         return F.max(quoted(resolve(df, metric.column)).try_cast("timestamp"))
     if metric.kind == "aggregate":
-        return as_result(kpi_value(df, metric.function, metric.column))
+        return kpi_value(df, metric.function, metric.column).cast("string")
     raise ValueError(f"unknown metric kind {metric.kind!r}")
 
 
@@ -143,6 +167,8 @@ def one_pass(df: DataFrame, metrics: Sequence[Planned]) -> DataFrame:
         known = {"total_rows": "total_rows"}
         if _FIELD_OF[metric.kind]:
             known[_FIELD_OF[metric.kind]] = f"m{i}"
+        if metric.kind == "aggregate":
+            known |= {"value": f"try_cast(m{i} AS {RESULT_TYPE.simpleString()})", "value_text": f"m{i}"}
         rows.append(metric_row_sql(metric.check_id, metric.side, known))
     return measured.selectExpr(f"inline(array({', '.join(rows)}))")
 

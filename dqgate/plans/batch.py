@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqgate import names as n
-from dqgate.plans.checks import active_checks, runs_of
+from dqgate.plans.checks import active_checks, flag_sql, runs_of
 from dqgate.plans.results import (
     DETAIL_COLUMNS,
     audit_history,
@@ -19,7 +19,6 @@ from dqgate.plans.results import (
     summary_by_layer,
 )
 from dqgate.plans.run import (
-    MAX_CHECKS,
     Frame,
     PlannedRun,
     RunContext,
@@ -31,7 +30,7 @@ from dqgate.plans.run import (
 from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA
 from dqgate.session import scratch_dir
 from dqgate.sinks.history import append_history, append_history_table
-from dqgate.sinks.layers import overwrite
+from dqgate.sinks.layers import overwrite, remove_path
 from dqgate.sinks.state import read_state, save_state, state_of
 from dqgate.sources.jdbc import Warehouse
 from dqgate.sources.locations import Locations
@@ -119,7 +118,7 @@ def _failed_run(
     """One `Error` row that stands for a stage whose job failed."""
     flagged = (
         active_checks(config, pipeline, stage)
-        .agg(F.max(F.col("IsStageDependency").try_cast("int")).alias("flag"))
+        .agg(F.max(F.coalesce(F.expr(flag_sql("IsStageDependency")), F.lit(1))).alias("flag"))
         .select(F.coalesce("flag", F.lit(0)).alias("flag"))
     )
     known = {
@@ -175,33 +174,50 @@ def run_and_save(
     The result of a stage is written before anything is derived from it, so no
     checked table is read twice. A check whose table cannot be read becomes an
     `Error` row; a stage that cannot be run at all is recorded as one, and the
-    others still run.
+    others still run. A stage whose results cannot be recorded blocks in the gate. A run
+    repeated under its `run_id` replaces its own audit rows, in the history's folder.
     """
     active = active_checks(config, pipeline, stage)
-    runs = runs_of(active).orderBy("PipelineName", "StageName").limit(MAX_CHECKS + 1).collect()
+    runs = runs_of(active).orderBy("PipelineName", "StageName").collect()
     if not runs:
         raise ValueError(f"no active checks for pipeline {pipeline!r} and stage {stage!r}")
-    if len(runs) > MAX_CHECKS:
-        raise ValueError(f"more than {MAX_CHECKS} pipelines and stages in one batch")
     gates = []
     for pipeline, stage in runs:
-        folder = output.stage(pipeline, stage)
-        stored = f"{folder}/check_result"
         try:
-            planned = prepare_run(spark, config, locations, pipeline, stage)
-            metrics, failed = compute(planned, scratch_dir(spark, "metrics"))
-            result = planned.judge(metrics, ctx, read_state(spark, output.state), failed)
-            overwrite(result.coalesce(1), stored)
+            result = _run_stage(spark, config, locations, ctx, output, pipeline, stage)
         except Exception as problem:  # one stage must not stop the others
-            problem_rows = _failed_run(spark, config, ctx, pipeline, stage, message_of(problem))
-            overwrite(problem_rows, stored)
-        result = spark.read.schema(RESULT_SCHEMA).parquet(stored)
-        write_projections(result, folder, locations)
-        audit = audit_history(result)
-        append_history(audit, output.history)
-        if output.audit_warehouse and output.audit_table:
-            append_history_table(audit, output.audit_warehouse, output.audit_table)
-        if stage in (n.STAGE_PRE_POST, n.STAGE_KPI):
-            save_state(spark, state_of(result), output.state)
+            told = f"the stage could not be run or recorded: {message_of(problem)}"
+            result = _failed_run(spark, config, ctx, pipeline, stage, told).withColumn("on_stage_depend", F.lit(1))
         gates.append(stage_gate(result))
     return union_all(gates)
+
+
+def _run_stage(
+    spark: SparkSession,
+    config: DataFrame,
+    locations: Locations,
+    ctx: RunContext,
+    output: Output,
+    pipeline: str,
+    stage: str,
+) -> DataFrame:
+    """The stored result of one stage, with everything derived from it stored too."""
+    folder = output.stage(pipeline, stage)
+    stored, metrics_folder = f"{folder}/check_result", scratch_dir(spark, "metrics")
+    try:
+        planned = prepare_run(spark, config, locations, pipeline, stage)
+        metrics, failed = compute(planned, metrics_folder)
+        result = planned.judge(metrics, ctx, read_state(spark, output.state), failed)
+        overwrite(result.coalesce(1), stored)
+    except Exception as problem:
+        overwrite(_failed_run(spark, config, ctx, pipeline, stage, message_of(problem)), stored)
+    remove_path(spark, metrics_folder)
+    result = spark.read.schema(RESULT_SCHEMA).parquet(stored)
+    write_projections(result, folder, locations)
+    audit = audit_history(result)
+    append_history(audit, output.history, f"{ctx.run_id}-{pipeline}-{stage}")
+    if output.audit_warehouse and output.audit_table:
+        append_history_table(audit, output.audit_warehouse, output.audit_table)
+    if stage in (n.STAGE_PRE_POST, n.STAGE_KPI):
+        save_state(spark, state_of(result), output.state)
+    return result

@@ -141,8 +141,19 @@ def _differ(*lists: str) -> str:
     return " OR ".join(f"{sizes[0]} <> {other}" for other in sizes[1:])
 
 
+def flag_sql(column: str) -> str:
+    """A yes/no setting as 1 or 0; null where it is neither. Nothing said means no."""
+    text = f"lower(trim({column}))"
+    return (
+        f"CASE WHEN {column} IS NULL OR {text} IN ('', '0', 'no', 'n', 'false') THEN 0 "
+        f"WHEN {text} IN ('yes', 'y', 'true') OR try_cast({text} AS int) <> 0 THEN 1 END"
+    )
+
+
 _ERROR = f"""
-    CASE WHEN category IS NULL THEN concat('unknown check: ', coalesce(ValidationCheck, '(none)'))
+    CASE WHEN {flag_sql("IsStageDependency")} IS NULL
+         THEN concat('IsStageDependency is neither yes nor no: ', IsStageDependency)
+         WHEN category IS NULL THEN concat('unknown check: ', coalesce(ValidationCheck, '(none)'))
          WHEN {_NEEDS_COLUMNS} AND columns_list IS NULL THEN 'columns_list is empty'
          WHEN {_NEEDS_COLUMNS} AND _key_sets IS NULL THEN 'columns_list is not readable'
          WHEN {_IS_UNEXPECTED} AND ({_differ("_columns", "_values")})
@@ -173,7 +184,8 @@ _ITEM = {
     "family": "family",
     "check_type": f"CASE WHEN family = '{n.FAMILY_PRE_POST}' THEN '{n.PRE_POST}' ELSE ValidationCheck END",
     "category": "category",
-    "on_stage_depend": "coalesce(try_cast(IsStageDependency AS int), 0)",
+    # What cannot be read might be meant to block, so it does.
+    "on_stage_depend": f"coalesce({flag_sql('IsStageDependency')}, 1)",
     "item_pos": "item_pos",
     "layer": "DestinationLayer",
     "src_layer": "SourceLayer",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from dqgate import names as n
 from dqgate.functions.formatting import heading, number_text, thousands, validated_on
 from dqgate.functions.sizes import broadcast_if_small
 from dqgate.functions.threshold import whole
+from dqgate.plans.checks import active_checks, check_items
 from dqgate.schemas import AUDIT_SCHEMA, RESULT_SCHEMA
 from dqgate.sources.locations import LayerStore
 
@@ -110,7 +111,7 @@ DETAIL_COLUMNS: dict[str, dict] = {
         "Query": _col("dest_query"),
         "Aggregate_Function": _col("agg_function"),
         **_ON,
-        "KPI_Result": _value("current_result"),
+        "KPI_Result": lambda: F.coalesce(number_text(F.col("current_result")), F.col("result_text")),
     },
 }
 
@@ -213,17 +214,19 @@ def summary_all(result: DataFrame, stores: Mapping[str, LayerStore]) -> DataFram
 
 
 def stage_dep_overlay(rows: DataFrame, config: DataFrame) -> DataFrame:
-    """Sets `ON_STG_DPND` from the configuration by table and check; 0 where it has none.
+    """Sets `ON_STG_DPND` from the active checks by table and check; 0 where there is none.
 
     One join, however many configured checks there are. Only flagged checks take
     part in it; they are broadcast if they measure small, so that the history
     stays where it is.
     """
     flags = (
-        config.select(
-            F.col("DestinationTableName").alias("TBL_NM"),
-            F.col("ValidationCheck").alias("VLDTN_CHCK_TYP"),
-            F.col("IsStageDependency").try_cast("int").alias("_dep"),
+        check_items(active_checks(config))
+        .select(
+            # As the history names it: a foreign key by its fact table.
+            F.when(F.col("category") == n.CAT_FOREIGN_KEY, F.col("src_table")).otherwise(F.col("table_name")).alias("TBL_NM"),
+            F.col("check_type").alias("VLDTN_CHCK_TYP"),
+            F.col("on_stage_depend").alias("_dep"),
         )
         .where("_dep <> 0")
         .groupBy("TBL_NM", "VLDTN_CHCK_TYP")
@@ -253,7 +256,7 @@ def audit_typed(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.LongType) and isinstance(
             df.schema[field.name].dataType, T.StringType
         ):
-            col = whole(col.try_cast("decimal(38,6)"))
+            col = whole(col.try_cast("decimal(38,12)"))
         return col.try_cast(field.dataType).alias(field.name)
 
     return df.select(*[typed(f) for f in AUDIT_SCHEMA.fields])
@@ -304,7 +307,7 @@ def stage_gate(result: DataFrame) -> DataFrame:
 
     A check that failed or could not be run blocks when it is flagged.
     """
-    stops = F.col("status").isin(n.FAIL, n.ERROR) & (F.col("on_stage_depend") == 1)
+    stops = F.col("status").isin(n.FAIL, n.ERROR) & (F.col("on_stage_depend") != 0)
     place = F.coalesce("table_name", F.concat_ws("->", "src_table", "dest_table"))
     reason = F.concat_ws(" ", F.coalesce("category", "check_type", "error"), place, "column_name")
     return result.groupBy("pipeline", "stage").agg(
@@ -314,14 +317,25 @@ def stage_gate(result: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows numbered within their pipeline and stage, under readable headings."""
+    order = Window.partitionBy("pipeline", "stage").orderBy(*columns)
+    number = F.row_number().over(order).cast("bigint")
+    shown = ["pipeline", "stage", *columns]
+    return rows.select(number.alias("#"), *[F.col(c).alias(heading(c[:1].upper() + c[1:])) for c in shown])
+
+
 def report_rows(result: DataFrame, category: str) -> DataFrame:
-    """Numbered detail rows of a category under readable headings."""
+    """Detail rows of a category, numbered for the report of each pipeline and stage."""
     columns = DETAIL_COLUMNS[category]
-    rows = detail(result, category).withColumn("_category", F.lit(category))
-    order = Window.partitionBy("_category").orderBy(*columns)
-    return rows.select(
-        F.row_number().over(order).cast("bigint").alias("#"), *[F.col(c).alias(heading(c)) for c in columns]
-    )
+    chosen = result.where(F.col("category") == category)
+    rows = chosen.select("pipeline", "stage", *[make().alias(name) for name, make in columns.items()])
+    return _numbered(rows, list(columns))
+
+
+def report_summary(result: DataFrame, stores: Mapping[str, LayerStore]) -> DataFrame:
+    """Rows of all summaries, numbered for the report of each pipeline and stage."""
+    return _numbered(summary_all(result, stores), ["Scope", "Total_Tables", "Passed", "Failed"])
 
 
 def error_rows(result: DataFrame) -> DataFrame:

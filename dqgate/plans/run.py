@@ -28,14 +28,10 @@ from dqgate.operators.metrics import (
 from dqgate.operators.referential import foreign_key_stats
 from dqgate.operators.uniqueness import uniqueness_stats
 from dqgate.plans.checks import ITEM_COLUMNS, active_checks, check_items
-from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA, STATE_KEYS, STATE_SCHEMA
-from dqgate.sinks.state import latest_state
+from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA, RESULT_TYPE, STATE_KEYS, STATE_SCHEMA
+from dqgate.sinks.state import STATE_KEY_SQL, latest_state
 from dqgate.sources.locations import STAGE_LAYERS, Locations, load_table
 
-# The check list shapes the plan, so it is the one thing read by the driver. A
-# configuration beyond this many items is refused, never cut.
-MAX_CHECKS = 20_000
-
 _ITEM_SCHEMA = f"check_id int, {ITEM_COLUMNS}"
 
 
@@ -51,13 +47,14 @@ class RunContext:
 
 
 def collect_items(config: DataFrame) -> list[Row]:
-    """The active check items, in a stated order."""
+    """The active check items, in a stated order.
+
+    The check list shapes the plan, so it is the one thing read by the driver: page by
+    page, whatever its length.
+    """
     items = check_items(config)
     ordered = items.orderBy(*[c for c in items.columns if c != "error"])
-    rows = ordered.limit(MAX_CHECKS + 1).collect()
-    if len(rows) > MAX_CHECKS:
-        raise ValueError(f"more than {MAX_CHECKS} check items in one run")
-    return rows
+    return list(ordered.toLocalIterator())
 
 
 class _Tables:
@@ -256,6 +253,9 @@ _PER_CHECK = {
     "main_value": _of_side("value", "main"),
     "src_value": _of_side("value", "src"),
     "dest_value": _of_side("value", "dest"),
+    "main_text": _of_side("value_text", "main"),
+    "src_text": _of_side("value_text", "src"),
+    "dest_text": _of_side("value_text", "dest"),
     "latest": "max(as_of_max)",
     "error": "max(error)",
 }
@@ -276,16 +276,28 @@ _PAIRS = _category_in(n.CAT_SOURCE_DESTINATION, n.CAT_KPI_SOURCE_DESTINATION)
 _RERUNS = _category_in(n.CAT_PRE_POST, n.CAT_KPI_PRE_POST)
 _FOREIGN_KEY = f"category = '{n.CAT_FOREIGN_KEY}'"
 
+_NUMBER = RESULT_TYPE.simpleString()
 _PREVIOUS = f"""
-    CASE WHEN category = '{n.CAT_SOURCE_DESTINATION}' THEN CAST(src_rows AS decimal(38,6))
+    CASE WHEN category = '{n.CAT_SOURCE_DESTINATION}' THEN CAST(src_rows AS {_NUMBER})
          WHEN category = '{n.CAT_KPI_SOURCE_DESTINATION}' THEN src_value
          WHEN {_RERUNS} THEN stored_result END"""
 _CURRENT = f"""
-    CASE WHEN {_category_in(n.CAT_ROW_COUNT, n.CAT_PRE_POST)} THEN CAST(main_rows AS decimal(38,6))
-         WHEN category = '{n.CAT_SOURCE_DESTINATION}' THEN CAST(dest_rows AS decimal(38,6))
+    CASE WHEN {_category_in(n.CAT_ROW_COUNT, n.CAT_PRE_POST)} THEN CAST(main_rows AS {_NUMBER})
+         WHEN category = '{n.CAT_SOURCE_DESTINATION}' THEN CAST(dest_rows AS {_NUMBER})
          WHEN category = '{n.CAT_KPI_SOURCE_DESTINATION}' THEN dest_value
-         WHEN category = '{n.CAT_SLA}' THEN CAST(hours AS decimal(38,6))
+         WHEN category = '{n.CAT_SLA}' THEN CAST(hours AS {_NUMBER})
          ELSE main_value END"""
+_RESULT_TEXT = f"""
+    CASE WHEN category = '{n.CAT_KPI_SOURCE_DESTINATION}' THEN dest_text
+         WHEN {_category_in(n.CAT_KPI_PRE_POST, n.CAT_KPI_RESULT)} THEN main_text END"""
+# A comparison needs numbers; what was measured but is none is reported, not passed over.
+_NOT_A_NUMBER = f"""
+    CASE WHEN category = '{n.CAT_KPI_PRE_POST}' AND main_value IS NULL
+         THEN concat('result cannot be compared as a number: ', main_text)
+         WHEN category = '{n.CAT_KPI_SOURCE_DESTINATION}'
+         THEN concat('result cannot be compared as a number: ',
+              coalesce(CASE WHEN src_value IS NULL THEN src_text END, CASE WHEN dest_value IS NULL THEN dest_text END))
+         END"""
 _STATUS = f"""
     CASE WHEN error IS NOT NULL THEN '{n.ERROR}'
          WHEN category = '{n.CAT_KPI_RESULT}' THEN NULL
@@ -302,8 +314,9 @@ _RESULT = {
     "src_table": f"CASE WHEN {_PAIRS} OR {_FOREIGN_KEY} THEN src_table END",
     "dest_table": f"CASE WHEN {_PAIRS} OR {_FOREIGN_KEY} THEN table_name END",
     "total_rows": "coalesce(main_rows, dest_rows)",
-    "pct_change": f"CASE WHEN {_PAIRS} OR {_RERUNS} "
-    f"THEN {pct_change_sql('previous_result', 'current_result')} END",
+    "result_text": _RESULT_TEXT,
+    "pct_change": f"CASE WHEN {_PAIRS} THEN {pct_change_sql('previous_result', 'current_result')} "
+    f"WHEN {_RERUNS} THEN {pct_change_sql('previous_result', 'current_result', True)} END",
     "status": _STATUS,
 }
 
@@ -313,9 +326,8 @@ def _judged(measured: DataFrame, items: DataFrame, state: DataFrame, ctx: RunCon
     joined = measured.join(F.broadcast(items.drop("error")), "check_id").withColumns(
         {
             "hours": hours_since(F.col("latest"), as_of),
-            "state_key": F.expr(
-                f"coalesce(CASE WHEN category = '{n.CAT_KPI_PRE_POST}' THEN unique_id END, table_name)"
-            ),
+            "state_key": F.expr(STATE_KEY_SQL),
+            "error": F.expr(f"coalesce(error, {_NOT_A_NUMBER})"),
         }
     )
     stored = latest_state(state).selectExpr(
@@ -372,7 +384,7 @@ class PlannedRun:
         """
         errors = {**(late_errors or {}), **self.errors}
         every_check = self.spark.createDataFrame(
-            [(i, "main", *[None] * 5, errors.get(i)) for i in range(len(self.items))],
+            [(i, "main", *[None] * 6, errors.get(i)) for i in range(len(self.items))],
             METRIC_SCHEMA,
         )
         listed = []

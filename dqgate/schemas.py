@@ -33,18 +33,19 @@ CONFIG_COLUMNS = (
 
 CONFIG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CONFIG_COLUMNS])
 
-RESULT_TYPE = T.DecimalType(38, 6)
+# Numbers are kept with twelve decimals; the text form beside them keeps what does not fit.
+RESULT_TYPE = T.DecimalType(38, 12)
 
 # One metric of one check, before it is judged. `side` tells the two halves of
 # a comparison apart.
 METRIC_SCHEMA = (
     "check_id int, side string, total_rows bigint, unexpected_rows bigint, "
-    "unexpected_keys bigint, value decimal(38,6), as_of_max timestamp, error string"
+    "unexpected_keys bigint, value decimal(38,12), value_text string, as_of_max timestamp, error string"
 )
 
 STATE_SCHEMA = (
     "pipeline string, stage string, check_type string, layer string, state_key string, "
-    "result decimal(38,6), run_ts timestamp"
+    "result decimal(38,12), run_ts timestamp"
 )
 STATE_KEYS = ["pipeline", "stage", "check_type", "layer", "state_key"]
 
@@ -78,6 +79,8 @@ RESULT_SCHEMA = T.StructType(
         T.StructField("unexpected_keys", T.LongType()),
         T.StructField("previous_result", RESULT_TYPE),
         T.StructField("current_result", RESULT_TYPE),
+        # A KPI as the engine prints it: also dates, texts and numbers beyond the decimal.
+        T.StructField("result_text", T.StringType()),
         T.StructField("pct_change", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("error", T.StringType()),

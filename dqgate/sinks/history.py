@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +15,31 @@ from dqgate.functions.formatting import session_time
 from dqgate.names import RETENTION_DAYS
 from dqgate.schemas import AUDIT_SCHEMA
 from dqgate.sinks.jdbc import append_table
-from dqgate.sinks.layers import append, overwrite, remove_path
+from dqgate.sinks.layers import overwrite, remove_path, take_place
 from dqgate.sources.jdbc import Warehouse, read_warehouse
 
 DAY_COLUMN = "crtd_day"
-_STORED_SCHEMA = T.StructType([*AUDIT_SCHEMA.fields, T.StructField(DAY_COLUMN, T.DateType())])
+WRITE_COLUMN = "written_by"
+_STORED_SCHEMA = T.StructType(
+    [*AUDIT_SCHEMA.fields, T.StructField(DAY_COLUMN, T.DateType()), T.StructField(WRITE_COLUMN, T.StringType())]
+)
 
 
-def append_history(audit: DataFrame, location: str) -> None:
-    """Append audit rows as parquet, one folder per day of creation."""
-    append(
-        audit.withColumn(DAY_COLUMN, F.to_date("CRTD_TM")), location, partition_by=[DAY_COLUMN]
+def append_history(audit: DataFrame, location: str, written_by: str | None = None) -> None:
+    """Append audit rows as parquet, in a folder per day of creation and write.
+
+    Rows that an earlier write of the same name left for the same days are replaced, so
+    that a repeated run does not double them. A write without a name adds to all others.
+    """
+    name = re.sub("[^0-9A-Za-z_-]", "_", written_by)[:80] + f"-{zlib.crc32(written_by.encode()):08x}" if written_by else uuid.uuid4().hex
+    folders = [DAY_COLUMN, WRITE_COLUMN]
+    named = audit.withColumns({DAY_COLUMN: F.to_date("CRTD_TM"), WRITE_COLUMN: F.lit(name)})
+    (
+        named.hint("rebalance", DAY_COLUMN)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders)
+        .parquet(location)
     )
 
 
@@ -63,9 +80,7 @@ def purge_history(
     if expired:
         kept = boundary.where(F.col("CRTD_TM") >= session_time(limit))
         stage = f"{location.rstrip('/')}__purge_{day:%Y%m%d}"
-        overwrite(kept.drop(DAY_COLUMN), stage)
-        target = f"{location.rstrip('/')}/{DAY_COLUMN}={day.isoformat()}"
-        spark.read.schema(AUDIT_SCHEMA).parquet(stage).write.mode("overwrite").parquet(target)
-        remove_path(spark, stage)
+        overwrite(kept.drop(DAY_COLUMN), stage, partition_by=[WRITE_COLUMN])
+        take_place(spark, stage, f"{location.rstrip('/')}/{DAY_COLUMN}={day.isoformat()}")
     for old in old_days:
         remove_path(spark, f"{location.rstrip('/')}/{DAY_COLUMN}={old.isoformat()}")

@@ -10,6 +10,13 @@ from dqgate.schemas import STATE_KEYS, STATE_SCHEMA
 from dqgate.sinks.layers import merged, overwrite, path_exists, upsert
 
 
+# What a stored result belongs to, besides its pipeline, stage, check and layer: KPIs have
+# their own id, row counts their table. Used for writing and for looking up.
+STATE_KEY_SQL = (
+    f"CASE WHEN category = '{CAT_KPI_PRE_POST}' THEN coalesce(unique_id, table_name) ELSE table_name END"
+)
+
+
 def read_state(spark: SparkSession, location: str) -> DataFrame:
     """Stored results; empty before the first run."""
     if not path_exists(spark, location):
@@ -38,7 +45,7 @@ def state_of(check_result: DataFrame) -> DataFrame:
             "stage",
             "check_type",
             F.coalesce("layer", F.lit("")).alias("layer"),
-            F.coalesce("unique_id", "table_name").alias("state_key"),
+            F.expr(STATE_KEY_SQL).alias("state_key"),
             F.col("current_result").alias("result"),
             F.col("created_at").alias("run_ts"),
         )

@@ -33,7 +33,7 @@ def test_overlay_is_one_join_however_many_checks(spark):
         spark,
         *[on(f"t{i}", n.NULL, IsStageDependency="1") for i in range(2, 60)],
         on("t1", n.UNIQUE, IsStageDependency="1"),
-        on("t2", n.NULL, IsStageDependency="x"),
+        on("t2", n.NULL, IsStageDependency="no"),
     )
     got = results.stage_dep_overlay(audit.withColumn("ON_STG_DPND", F.lit(9)), cfg)
     assert {r.TBL_NM: r.ON_STG_DPND for r in got.collect()} == {"t1": 0, "t2": 1, None: 0}
@@ -50,8 +50,8 @@ def test_report_numbers_rows_and_names_columns(spark):
         RunContext(as_of=dt.datetime(2024, 1, 31, 6)),
     )
     report = results.report_rows(df, n.CAT_NULL)
-    assert report.columns == ["#", "Tables Name", "Validated On", "Column Name", "Validation Result"]
-    assert [tuple(r)[:2] for r in report.orderBy("#").collect()] == [(1, "alpha"), (2, "zeta")]
+    assert report.columns == ["#", "Pipeline", "Stage", "Tables Name", "Validated On", "Column Name", "Validation Result"]
+    assert [(r[0], r[3]) for r in report.orderBy("#").collect()] == [(1, "alpha"), (2, "zeta")]
 
 
 def test_summary_adds_up(spark):

@@ -208,8 +208,27 @@ def kpi(uid, query, check=n.PRE_POST, **more):
 def test_stored_decimals_are_kept_and_truncated_only_for_the_rule(spark, people):
     state = state_of(spark, (n.STAGE_KPI, "Gold", "u", "100.900000"))
     (row,) = run(spark, kpi("u", "SELECT 120.9"), state=state)
-    assert (str(row.previous_result), str(row.current_result)) == ("100.900000", "120.900000")
-    assert (row.pct_change, row.status) == (20, "Pass")
+    assert (float(row.previous_result), float(row.current_result)) == (100.9, 120.9)
+    assert (row.pct_change, row.status) == (19, "Pass")
+
+
+@pytest.mark.parametrize(
+    ("stored", "query", "pct", "status"),
+    [
+        ("10", "SELECT 12.9", 29, "Fail"),
+        ("0.9", "SELECT 0.1", -88, "Fail"),
+        ("0.0000004", "SELECT 0.0000004", 0, "Pass"),
+        ("1", "SELECT DATE'2024-01-01'", None, "Error"),
+    ],
+)
+def test_kpis_of_two_runs_are_compared_with_their_decimals(spark, people, stored, query, pct, status):
+    (row,) = run(spark, kpi("u", query), state=state_of(spark, (n.STAGE_KPI, "Gold", "u", stored)))
+    assert (row.pct_change, row.status) == (pct, status)
+
+
+def test_a_kpi_that_is_no_number_is_kept_as_text(spark, people):
+    (row,) = run(spark, kpi("u", "SELECT DATE'2024-01-01'", check=n.KPI_RESULT))
+    assert (row.current_result, row.result_text, row.error) == (None, "2024-01-01", None)
 
 
 def test_a_missing_kpi_value_fails_the_comparison(spark, people):
@@ -326,13 +345,47 @@ def test_each_table_is_scanned_once_for_its_fused_checks(spark, tmp_path):
     assert {r.unexpected_rows for r in df.collect()} == {None, 0, 1}
 
 
-def test_a_configuration_too_large_is_refused(spark, monkeypatch):
-    import dqgate.plans.run as run_module
+def test_a_large_configuration_is_read_whole(spark):
+    one = config(spark, on("people", n.NULL, columns_list="a"))
+    many = one.crossJoin(spark.range(25_000)).withColumn("columns_list", F.concat(F.lit("c"), "id")).drop("id")
+    items = collect_items(many)
+    assert len({i.columns[0] for i in items}) == len(items) == 25_000
+
+
+def test_a_row_count_with_an_id_is_compared_with_its_previous_run(spark, people):
+    from dqgate.sinks.state import state_of as stored_state
+
+    entry = on("people", n.PRE_POST, StageName=n.STAGE_PRE_POST, DestinationLayer="Bronze", UniqueID="U")
+    first = plan_run(spark, config(spark, entry), NOWHERE, CTX)
+    (row,) = run(spark, entry, state=stored_state(first))
+    assert (row.previous_result, row.current_result, row.status) == (3, 3, "Pass")
 
-    monkeypatch.setattr(run_module, "MAX_CHECKS", 2)
-    df = config(spark, *[on("people", n.NULL, columns_list=c) for c in ("a", "b", "c")])
-    with pytest.raises(ValueError, match="more than 2"):
-        collect_items(df)
+
+def test_an_unreadable_flag_is_an_error_and_blocks(spark, people):
+    df = plan_run(spark, config(spark, on("people", n.ROW_COUNT, IsStageDependency="perhaps")), NOWHERE, CTX)
+    assert [(r.status, "perhaps" in r.error) for r in df.collect()] == [("Error", True)]
+    assert results.stage_gate(df).first().blocked
+    (row,) = run(spark, on("people", n.ROW_COUNT, IsStageDependency="Yes"))
+    assert row.on_stage_depend == 1
+
+
+def test_a_stage_that_cannot_be_recorded_blocks_and_the_others_run(spark, people, tmp_path, monkeypatch):
+    real, calls = batch.append_history, []
+
+    def breaks_once(audit, *more):
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("disk full")
+        real(audit, *more)
+
+    monkeypatch.setattr(batch, "append_history", breaks_once)
+    cfg = config(spark, on("people", n.ROW_COUNT), on("people", n.ROW_COUNT, StageName=n.STAGE_SILVER))
+    output = Output(str(tmp_path / "out"))
+    for blocked in ({n.STAGE_BRONZE: True, n.STAGE_SILVER: False}, {n.STAGE_BRONZE: False, n.STAGE_SILVER: False}):
+        gate = {r.stage: r.blocked for r in run_and_save(spark, cfg, NOWHERE, CTX, output).collect()}
+        assert gate == blocked
+    # The second run has the id of the first: each stage stands in the history once.
+    assert read_history(spark, output.history).count() == 2
 
 
 # ---- batches ---------------------------------------------------------------

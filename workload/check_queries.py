@@ -18,6 +18,7 @@ from dqgate.operators.compare import (
 )
 from dqgate.operators.metrics import Metric, hours_since, table_metrics
 from dqgate.plans.run import union_all
+from dqgate.sources.files import register_view
 from workload import demo
 from workload.expected import HOURS, change_status, with_views
 from workload.registry import plain, query
@@ -397,10 +398,11 @@ def prev_state_lookup(spark, sf_dir):
 )
 def view_sql(spark, sf_dir):
     demo.register(spark, sf_dir)
+    register_view(demo.table(spark, sf_dir, "orders"), "viewed_orders")
     return plain(
         spark.sql(
             "SELECT o_orderpriority, count(*) AS n_orders, "
-            "sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue FROM orders GROUP BY o_orderpriority"
+            "sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue FROM viewed_orders GROUP BY o_orderpriority"
         )
     )
 
@@ -411,7 +413,7 @@ def view_sql(spark, sf_dir):
 )
 def kpi_sql(spark, sf_dir):
     demo.register(spark, sf_dir)
-    return plain(kpi.kpi_sql(spark, demo.PRICE_QUERY))
+    return plain(kpi.kpi_sql(spark, demo.PRICE_QUERY).select("value"))
 
 
 _AGGREGATES = (
@@ -420,6 +422,10 @@ _AGGREGATES = (
     ("min", "o_totalprice", "min(o_totalprice)"),
     ("max", "o_totalprice", "max(o_totalprice)"),
     ("count_distinct", "o_custkey", "count(DISTINCT o_custkey)"),
+    ("median", "o_custkey", "median(o_custkey)"),
+    ("sum", "o_custkey * 2", "sum(o_custkey * 2)"),
+    ("sum", "DISTINCT o_custkey", "sum(DISTINCT o_custkey)"),
+    ("var_pop", "o_custkey % 7", "round(var_pop(o_custkey % 7), 9)"),
 )
 
 
@@ -443,6 +449,6 @@ def kpi_agg(spark, sf_dir):
         measured.select(
             name[F.col("check_id")].alias("agg_function"),
             column[F.col("check_id")].alias("column_name"),
-            "value",
+            F.round("value", 9).alias("value"),
         )
     )

@@ -203,7 +203,7 @@ def state(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(n.STAGE_PRE_POST).alias("stage"),
                 F.lit(layer).alias("layer"),
                 F.col("table_name").alias("state_key"),
-                F.col("row_count").cast("decimal(38,6)").alias("result"),
+                F.col("row_count").cast("decimal(38,12)").alias("result"),
             )
             for key, (layer, place) in counted.items()
         ]

@@ -30,8 +30,8 @@ _COLUMNS = {
     "total_rows": "BIGINT",
     "unexpected_rows": "BIGINT",
     "unexpected_keys": "BIGINT",
-    "previous_result": "DECIMAL(38,6)",
-    "current_result": "DECIMAL(38,6)",
+    "previous_result": "DECIMAL(38,12)",
+    "current_result": "DECIMAL(38,12)",
     "hours": "DOUBLE",
     "sla": "DOUBLE",
     "on_stage_depend": "INTEGER",
@@ -255,6 +255,7 @@ _RAW_PCT = (
     "(trunc(current_result) - trunc(previous_result))::DOUBLE"
     " / nullif(trunc(previous_result)::DOUBLE, 0) * 100"
 )
+_EXACT_PCT = "(current_result - previous_result)::DOUBLE * 100 / nullif(previous_result::DOUBLE, 0)"
 _IS_PAIR = "category IN ('Source Destination Row Count', 'Source Destination')"
 _IS_RERUN = "category IN ('Pre Post Runs', 'Pre-Post Run')"
 
@@ -265,7 +266,7 @@ def change_status(previous: str, current: str, pct: str, first_run: bool) -> str
     if first_run:
         return (
             f"CASE WHEN {current} IS NULL THEN 'Fail' "
-            f"WHEN {previous} IS NULL OR trunc({previous}) = 0 THEN "
+            f"WHEN {previous} IS NULL OR {previous} = 0 THEN "
             f"CASE WHEN {current} = 0 THEN 'Fail' ELSE 'Pass' END ELSE {limits} END"
         )
     return (
@@ -278,7 +279,7 @@ def change_status(previous: str, current: str, pct: str, first_run: bool) -> str
 _ALL_ROWS = "\nUNION ALL ".join(ROWS)
 RESULT_CTES = f"""{VIEW_CTES},
 raw AS ({_ALL_ROWS}),
-changed AS (SELECT *, trunc({_RAW_PCT}) AS pct FROM raw),
+changed AS (SELECT *, trunc(CASE WHEN {_IS_RERUN} THEN {_EXACT_PCT} ELSE {_RAW_PCT} END) AS pct FROM raw),
 check_result AS (
   SELECT *, 'PL_DEMO' AS pipeline,
          CASE WHEN {_IS_PAIR} OR {_IS_RERUN} THEN CAST(pct AS BIGINT) END AS pct_change,

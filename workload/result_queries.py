@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from dqgate import names as n
 from dqgate.functions.formatting import session_time
 from dqgate.plans import results
+from dqgate.plans.batch import Output, run_and_save
+from dqgate.plans.run import RunContext, plan_run
+from dqgate.schemas import CONFIG_COLUMNS
 from dqgate.session import scratch_dir
 from dqgate.sinks import history as history_store
 from dqgate.sinks.layers import overwrite
 from dqgate.sinks import state as state_store
+from dqgate.sources.locations import Locations
 from workload import demo
 from workload.expected import over_result, shown_count, shown_number
 from workload.registry import plain, query
@@ -328,11 +332,16 @@ def read_history(spark, sf_dir):
     "ON h.\"TSK_ID\" = c.c_custkey AND c.c_mktsegment = 'BUILDING'",
 )
 def stage_dep_overlay(spark, sf_dir):
-    """Every customer is a configured table; those of one segment are flagged."""
+    """Every customer is a table with a configured row count; those of one segment are flagged."""
+    given = {
+        "StageName": F.lit(n.STAGE_BRONZE),
+        "Check_Status": F.lit("yes"),
+        "RowCountTableName": F.concat(F.lit("T"), "c_custkey"),
+        "ValidationCheck": F.lit(n.ROW_COUNT),
+        "IsStageDependency": F.when(F.col("c_mktsegment") == "BUILDING", "yes").otherwise("no"),
+    }
     configured = demo.table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("T"), "c_custkey").alias("DestinationTableName"),
-        F.lit(n.ROW_COUNT).alias("ValidationCheck"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "1").otherwise("0").alias("IsStageDependency"),
+        *[given.get(c, F.lit(None)).cast("string").alias(c) for c in CONFIG_COLUMNS]
     )
     return results.stage_dep_overlay(event_history(spark, sf_dir), configured)
 
@@ -355,8 +364,8 @@ def stage_gate(spark, sf_dir):
 @query(
     "report_rows",
     over_result(
-        'SELECT row_number() OVER (ORDER BY table_name, column_name, status) AS "#", '
-        'table_name AS "Tables Name", \'01-31-2024 06:00\' AS "Validated On", column_name AS "Column Name", '
+        'SELECT row_number() OVER (PARTITION BY pipeline, stage ORDER BY table_name, column_name, status) AS "#", '
+        'pipeline AS "Pipeline", stage AS "Stage", table_name AS "Tables Name", \'01-31-2024 06:00\' AS "Validated On", column_name AS "Column Name", '
         'status AS "Validation Result" FROM check_result WHERE category = \'Null Column Validation\''
     ),
 )
@@ -364,6 +373,24 @@ def report_rows(spark, sf_dir):
     return results.report_rows(demo.result(spark, sf_dir, [n.NULL], _LAYERED), n.CAT_NULL)
 
 
+@query(
+    "report_summary",
+    over_result(
+        'SELECT row_number() OVER (PARTITION BY pipeline, stage ORDER BY "Scope") AS "#", pipeline AS "Pipeline", '
+        'stage AS "Stage", "Scope", "Total_Tables" AS "Total Tables", "Passed", "Failed" FROM ('
+        'SELECT pipeline, stage, "Validation_Category" AS "Scope", "Total_Tables", "Passed", "Failed" '
+        f"FROM ({_BY_CATEGORY}) UNION ALL "
+        f"SELECT pipeline, '{n.STAGE_PRE_POST}', \"Layer\", \"Total_Tables\", \"Passed\", \"Failed\" "
+        f"FROM ({_BY_LAYER}) UNION ALL "
+        f"SELECT pipeline, '{n.STAGE_KPI}', \"Validation_Checks\", NULL, NULL, NULL FROM ({_KPI_KINDS}))"
+    ),
+)
+def report_summary(spark, sf_dir):
+    stored = scratch_dir(spark, "summary")
+    overwrite(demo.result(spark, sf_dir), stored)
+    return results.report_summary(spark.read.parquet(stored), demo.locations(sf_dir).layers)
+
+
 _ALL_COLUMNS = (
     "pipeline, stage, family, category, check_type, layer, src_layer, table_name, src_table, dest_table, "
     "column_name, unexpected_value, unique_id, kpi_name, agg_function, total_rows, unexpected_rows, "
@@ -411,7 +438,7 @@ def save_state(spark, sf_dir):
         F.lit(n.PRE_POST).alias("check_type"),
         F.lit(n.BRONZE).alias("layer"),
         F.lit("retired_table").alias("state_key"),
-        F.col("c").cast("decimal(38,6)").alias("result"),
+        F.col("c").cast("decimal(38,12)").alias("result"),
         session_time(demo.PREVIOUS_RUN).alias("run_ts"),
     )
     state_store.save_state(spark, old.unionByName(retired), location)
@@ -419,3 +446,118 @@ def save_state(spark, sf_dir):
     state_store.save_state(spark, state_store.state_of(result), location)
     stored = state_store.read_state(spark, location)
     return plain(stored.select("stage", "layer", "state_key", "result", "run_ts"))
+
+
+# ---- results of repeated runs ----------------------------------------------
+
+
+def _second_run(spark, entries, first_tables, second_tables):
+    """The result of a second run, compared with the state that a first run of the same checks stored."""
+    location = scratch_dir(spark, "state")
+    cfg, store = demo.config(spark, entries), Locations(layers={})
+    for name, df in first_tables.items():
+        df.createOrReplaceTempView(name)
+    before = RunContext(as_of=demo.PREVIOUS_RUN, run_id="first")
+    state_store.save_state(spark, state_store.state_of(plan_run(spark, cfg, store, before)), location)
+    for name, df in second_tables.items():
+        df.createOrReplaceTempView(name)
+    return plan_run(spark, cfg, store, demo.CONTEXT, state_store.read_state(spark, location))
+
+
+@query(
+    "pre_post_second_run",
+    """SELECT 'run_orders' AS table_name, CAST(p AS DOUBLE) AS previous_result, CAST(c AS DOUBLE) AS current_result,
+              CAST(trunc((c - p) * 100.0 / p) AS BIGINT) AS pct_change, 'Fail' AS status
+       FROM (SELECT count(*) AS p, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS c FROM orders)""",
+)
+def pre_post_second_run(spark, sf_dir):
+    """A row count with a `UniqueID` finds its own previous result: a tenth of the rows is left."""
+    orders = demo.table(spark, sf_dir, "orders")
+    entry = {
+        "PipelineName": demo.PIPELINE, "StageName": n.STAGE_PRE_POST, "Check_Status": "yes",
+        "ValidationCheck": n.PRE_POST, "UniqueID": "U1", "RowCountTableName": "run_orders",
+        "RowCountTableLocation": "run_orders", "DestinationLocationType": n.LOCATION_CATALOG,
+        "DestinationLayer": n.BRONZE,
+    }
+    tables = ({"run_orders": orders}, {"run_orders": orders.where("o_orderkey % 10 = 0")})
+    result = _second_run(spark, [entry], *tables)
+    return plain(result.select("table_name", "previous_result", "current_result", "pct_change", "status"))
+
+
+_SHARES = {"S1": "SELECT avg(CASE WHEN o_orderstatus = 'F' THEN 1.0D ELSE 0.0D END) FROM run_orders",
+           "S2": "SELECT CAST(count(*) AS DOUBLE) / 1000000000 FROM run_orders"}
+
+
+def _share_entry(uid: str, query_text: str, check: str = n.PRE_POST) -> dict[str, str]:
+    return {
+        "PipelineName": demo.PIPELINE, "StageName": n.STAGE_KPI, "Check_Status": "yes", "ValidationCheck": check,
+        "UniqueID": uid, "KPIName": uid, "DestinationTableName": "run_orders", "DestinationTableLocation": "run_orders",
+        "DestinationLocationType": n.LOCATION_CATALOG, "DestinationLayer": n.GOLD, "DestinationQuery": query_text,
+    }
+
+
+@query(
+    "kpi_pre_post_fraction",
+    """WITH k AS (
+         SELECT 'S1' AS unique_id, 1.0 AS p, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS c FROM orders
+         UNION ALL SELECT 'S2', count(*) FILTER (WHERE o_orderstatus = 'F') / 1e9, count(*) / 1e9 FROM orders)
+       SELECT unique_id, round(p, 9) AS previous_result, round(c, 9) AS current_result,
+              CAST(trunc((c - p) * 100 / p) AS BIGINT) AS pct_change,
+              CASE WHEN trunc((c - p) * 100 / p) > 20 OR trunc((c - p) * 100 / p) < -5 THEN 'Fail' ELSE 'Pass' END AS status
+       FROM k""",
+)
+def kpi_pre_post_fraction(spark, sf_dir):
+    """Shares and rates below 1 are compared with all their decimals."""
+    orders = demo.table(spark, sf_dir, "orders")
+    entries = [_share_entry(u, q) for u, q in _SHARES.items()]
+    tables = ({"run_orders": orders.where("o_orderstatus = 'F'")}, {"run_orders": orders})
+    result = _second_run(spark, entries, *tables)
+    return result.select(
+        "unique_id", *[F.round(F.col(c).cast("double"), 9).alias(c) for c in ("previous_result", "current_result")], "pct_change", "status"
+    )
+
+
+_TYPES = {
+    "T1": "SELECT max(o_orderdate) FROM run_orders",
+    "T2": "SELECT min(o_orderpriority) FROM run_orders",
+    "T3": "SELECT count(*) / 1e10D FROM run_orders",
+}
+
+
+@query(
+    "kpi_result_types",
+    """SELECT 'T1' AS unique_id, CAST(NULL AS DOUBLE) AS current_result,
+              strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS result_text FROM orders
+       UNION ALL SELECT 'T2', NULL, min(o_orderpriority) FROM orders
+       UNION ALL SELECT 'T3', count(*) / 1e10, NULL FROM orders""",
+)
+def kpi_result_types(spark, sf_dir):
+    """KPIs that are dates or texts are kept as text; small numbers keep their decimals."""
+    demo.table(spark, sf_dir, "orders").createOrReplaceTempView("run_orders")
+    cfg = demo.config(spark, [_share_entry(u, q, n.KPI_RESULT) for u, q in _TYPES.items()])
+    result = plan_run(spark, cfg, Locations(layers={}), demo.CONTEXT)
+    number = F.col("current_result").cast("double")
+    return result.select("unique_id", number.alias("current_result"), F.when(number.isNull(), F.col("result_text")).alias("result_text"))
+
+
+@query(
+    "run_saved",
+    over_result(
+        "SELECT stage, check_type, CAST(2 AS BIGINT) AS n_runs, count(*) AS n_audit, "
+        "count(*) FILTER (WHERE status = 'Pass') AS n_pass FROM check_result "
+        "WHERE stage IN ('Silver data check', 'Gold data check') GROUP BY stage, check_type"
+    ),
+)
+def run_saved(spark, sf_dir):
+    """Two stages run and stored twice under one run id: the history holds each audit row once."""
+    demo.register(spark, sf_dir)
+    output = Output(scratch_dir(spark, "saved"))
+    rows = [r for r in demo.ROWS if r["StageName"] in (n.STAGE_SILVER, n.STAGE_GOLD)]
+    for _ in range(2):
+        run_and_save(spark, demo.config(spark, rows), demo.locations(sf_dir), demo.CONTEXT, output)
+    history = history_store.read_history(spark, output.history)
+    return history.groupBy(F.col("STG_NM").alias("stage"), F.col("VLDTN_CHCK_TYP").alias("check_type")).agg(
+        F.lit(2).cast("long").alias("n_runs"),
+        F.count(F.lit(1)).alias("n_audit"),
+        F.count_if(F.col("VLDTN_RSLT") == n.PASS).alias("n_pass"),
+    )
