@@ -3,8 +3,8 @@
 Documents are dealt by hash to groups of about `GROUP` rows, each packed by one task, so the
 work is spread whatever the data. Within a group pieces are placed longest first into the
 open bin that they leave the least room in. A piece that fits nowhere opens a bin: of the
-permitted lengths that hold it, the one that costs least per token if filled as far as
-the rest of the group allows. At the end each bin shrinks to the shortest permitted
+permitted lengths that hold it, the one that costs least per token when filled with
+what is left of the group, longest first. At the end each bin shrinks to the shortest permitted
 length that holds its contents. A sequence costs a fixed part, its length, and a part
 that grows with the square of its length, as attention does.
 
@@ -50,19 +50,28 @@ def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, cost: Cost = Cost
     place: list[tuple[int, int]] = [(-1, 0)] * len(sizes)
     used: list[int] = []
     room: list[tuple[int, int]] = []  # (room left, bin), ascending
-    left = sum(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    falling = [-sizes[i] for i in order]
+
+    def filled(at: int, length: int) -> int:
+        """Contents of a bin of this length that takes the piece at `at` and then, longest first, what fits."""
+        free, at = length + falling[at], at + 1
+        while free > 0 and (at := bisect_left(falling, -free, at)) < len(falling):
+            free += falling[at]
+            at += 1
+        return length - free
+
+    for k, i in enumerate(order):
         size = sizes[i]
         at = bisect_left(room, (size, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
-            free = min((n for n in lengths if n >= size), key=lambda n: (cost.of(n) / min(n, left), n))
+            free = min((n for n in lengths if n >= size), key=lambda n: (cost.of(n) / filled(k, n), n))
             b = len(used)
             used.append(0)
         place[i] = (b, used[b])
         used[b] += size
-        left -= size
         if free > size:
             insort(room, (free - size, b))
     return place, [(n, next(x for x in lengths if x >= n)) for n in used]

@@ -1,0 +1,151 @@
+"""Quality rules, secrets, surrogates: hand-made cases and brute force."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from dqgate.llm import quality_rules, secret_scan, surrogates
+from dqgate.llm.common import table, words
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def documents(spark, *texts, **more):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], SCHEMA)
+
+
+def prose(n, seed=0):
+    return " ".join(f"word{(seed * 31 + i) % 97}x{i}" for i in range(n)) + "."
+
+
+# ---- quality rules -----------------------------------------------------------
+
+
+def base(text):
+    w = SPLIT.findall(text or "")
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    inside = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if SPLIT.search(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside)
+
+
+def test_base_counts_agree_with_brute_force(spark):
+    texts = [
+        None, "", " \n\t", "a", "a b c d e a b c d e", "a b c d e f a b c d e a b c d e f g", "x\ny\nx\n\nx\r",
+        "é\u00a0ü # *x* \x0bv\x0cw", "😀 😀 😀 😀 😀 😀 😀", prose(400), prose(30) + "\n" + prose(30),
+    ]
+    texts += [f.text for f in table(spark, "/root/testdata/sf0.001", "documents").limit(60).collect()]
+    got = {r.doc_id: r for r in quality_rules.judge(documents(spark, *texts)).collect()}
+    for i, text in enumerate(texts):
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base(text), text
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.base_failed and r.kept)
+
+
+def test_failing_lines_go_and_documents_that_lose_too_much(spark):
+    good = prose(12) + "\n" + prose(14, 3)
+    mixed = "Home | Login | Contact\n" + good + "\nAll rights reserved.\nno end here"
+    bad = "Cookie policy.\n" * 2 + " ".join(["junk###", "more$$$", "yet%%%"] * 10) + ".\n" + prose(1)
+    docs = documents(spark, good, mixed, bad, prose(12) + "\r")
+    kept = {r.doc_id: (r.text, r.n_chars) for r in quality_rules.clean(docs).collect()}
+    assert kept == {0: (good, len(good)), 1: (good, len(good)), 3: (prose(12) + "\r", len(prose(12)) + 1)}
+
+
+def test_rules_bear_clashing_names_repeated_rows_and_empty_tables(spark):
+    docs = documents(spark, prose(12), None).withColumns({"kept": F.lit("mine"), "n_words": F.lit(None).cast("int")})
+    twice = docs.unionByName(docs)
+    got = quality_rules.clean(twice)
+    assert got.columns == docs.columns
+    assert [(r.doc_id, r.kept) for r in got.collect()] == [(0, "mine"), (0, "mine")]
+    assert quality_rules.clean(docs.limit(0)).count() == 0 == quality_rules.judge(docs.limit(0)).count()
+    nothing = spark.createDataFrame([(None, None, None, None, None)], SCHEMA)
+    assert [(r.doc_id, r.kept) for r in quality_rules.judge(nothing).collect()] == [(None, False)]
+
+
+# ---- secrets -----------------------------------------------------------------
+
+KEY = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+def test_secrets_are_masked_and_other_long_words_stay(spark):
+    texts = [
+        f'{prose(20)} token = "{KEY}" and so on', f"again {KEY} without its name", "card 4111111111111111 here",
+        "incomprehensibilities internationalization", None, "", f'password = "{KEY[::-1]}" ' + "long " * 20_000,
+    ]
+    docs = documents(spark, *texts).withColumn("is_secret", F.lit("mine"))
+    got = {r.doc_id: r for r in secret_scan.redact(docs.unionByName(docs)).collect()}
+    assert len(got) == len(texts) and all(r.is_secret == "mine" for r in got.values())
+    assert KEY not in got[0].text and got[0].text.count(secret_scan.MASK) == 1
+    assert got[0].n_chars == len(got[0].text)
+    assert KEY[::-1] not in got[6].text
+    assert [got[i].text for i in (2, 3, 4, 5)] == texts[2:6]
+    found = secret_scan.scan(docs)
+    assert {r.value for r in found.where("is_secret AND doc_id = 0").collect()} == {KEY}
+    assert secret_scan.scan(docs.limit(0)).count() == 0 == secret_scan.redact(docs.limit(0)).count()
+
+
+def test_forest_agrees_with_held_out_findings(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    found = secret_scan.weak_labels(secret_scan.candidates(docs)).where("label IS NOT NULL")
+    held = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    model, known = secret_scan.train(docs, found.where(~held))
+    judged = secret_scan.classify(found.where(held), model, known).collect()
+    right = sum(r.is_secret == (r.label == 1.0) for r in judged)
+    assert len(judged) >= 5 and right >= 0.95 * len(judged)
+
+
+# ---- surrogates --------------------------------------------------------------
+
+
+def replaced(spark, *texts):
+    got = surrogates.replace_entities(documents(spark, *texts)).collect()
+    return {r.doc_id: r for r in got}
+
+
+def test_mentions_of_one_entity_agree_and_others_differ(spark):
+    text = "Mrs. Smith (+1 (017) 555-7713, ann@mail.example.com) met Herr Jung and Mrs. SMITH: +1-017-555-7713, ANN@mail.example.com."
+    got = replaced(spark, text, "Mrs. Smith has 4111 1111 1111 1111 at 10.1.2.3", "nothing here", None, "")
+    new = got[0].text
+    for gone in ("Smith", "SMITH", "Jung", "555-7713", "ann@", "ANN@"):
+        assert gone not in new
+    first, again = re.search(r"Mrs\. (\w+) \(", new)[1], re.search(r"and Mrs\. (\w+):", new)[1]
+    assert first.upper() == again and first[:1].isupper() and first.endswith("lia")
+    phones = re.findall(r"\+1[ (\d)-]+\d", new)
+    assert len(phones) == 2 and len({re.sub(r"\D", "", p) for p in phones}) == 1 and phones[0][:4] == "+1 ("
+    mails = re.findall(r"\S+@[\w.]+com", new)
+    assert mails[0].strip("(,").lower() == mails[1].lower() and mails[1][0].isupper()
+    assert f"Mrs. {first}" in got[1].text
+    card = re.search(r"\d{4} \d{4} \d{4} \d{4}", got[1].text)[0].replace(" ", "")
+    digits = [int(c) for c in reversed(card)]
+    assert sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0
+    assert [got[i].text for i in (2, 3, 4)] == ["nothing here", None, ""]
+    assert [got[i].n_entities for i in range(5)] == [7, 3, 0, 0, 0]
+
+
+def test_colliding_surrogates_are_drawn_again(spark):
+    found = spark.createDataFrame([("ip", str(i)) for i in range(40)], "type string, canon string")
+    # A draw from 97 values in which most first draws meet another entity or its surrogate.
+    draw = F.pmod(F.xxhash64("canon", "attempt"), F.lit(97)).cast("string")
+    got = [r.surrogate for r in surrogates.surrogate_table(found, draw).collect()]
+    assert len(set(got)) == 40 and not set(got) & {str(i) for i in range(40)}
+
+
+def test_surrogates_bear_repeated_rows_long_texts_and_clashing_names(spark):
+    long = "filler " * 30_000 + "10.1.2.3 end"
+    docs = documents(spark, long, "10.1.2.3").withColumns({"n": F.lit(7), "digest": F.lit("mine")})
+    got = surrogates.replace_entities(docs.unionByName(docs)).collect()
+    assert len(got) == 4 and {(r.n, r.digest) for r in got} == {(7, "mine")}
+    assert len({r.text[-20:].split()[-1 if r.doc_id else -2] for r in got}) == 1
+    assert all("10.1.2.3" not in r.text and r.n_chars == len(r.text) for r in got)
+    assert surrogates.replace_entities(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", [None, "", " \x0b\x0c\r\n\t ", "a\u00a0b c", "é è"])
+def test_words_are_split_at_six_blanks_only(spark, text):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(words(F.col("text"))).first()[0] == SPLIT.findall(text or "")
