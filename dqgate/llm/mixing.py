@@ -32,6 +32,9 @@ SHARE = 1.5
 MOST = 2
 BLOCK = 64
 SHARDS = 64
+# Slots that one row stands for until they are made, and most tasks that make them.
+RUN = 1 << 12
+_MOST_TASKS = 20_000
 SEED = 20_240_131
 
 
@@ -137,10 +140,11 @@ def permuted(j: Column, n: Column, *key: Column) -> Column:
 # ---- slots and blocks --------------------------------------------------------
 
 
-def slots(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
+def slots(targets: DataFrame, n_tasks: int, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
     """`(source, shard, pass, slot, block, take)`: which words of which block the mix takes, in order.
 
     Full blocks are permuted; the short block at the end of a stream comes last in a pass.
+    Runs of `RUN` slots are dealt to `n_tasks` tasks before they are made.
     """
     size, full = F.col("source_size"), F.col("n_full")
     per_pass = (
@@ -152,11 +156,10 @@ def slots(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataF
         .withColumn("n_full", F.floor(size / block).cast("long"))
     )
     n_slots = F.floor((F.col("left") + block - 1) / block).cast("long")
-    # A hot source has many slots: runs of them are dealt out before they are made.
-    run = 1 << 14
+    run = RUN
     runs = per_pass.withColumn(
         "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_slots - 1) / run).cast("long")))
-    ).repartition("source", "pass", "run")
+    ).repartition(n_tasks, "source", "pass", "run")
     each = runs.withColumn(
         "slot",
         F.explode(F.sequence(F.col("run") * run, F.least(F.col("run") * run + run, n_slots) - 1)),
@@ -199,7 +202,11 @@ def drawn(positions: DataFrame, targets: DataFrame) -> DataFrame:
     `(source, at)` names a document: no two with words begin at one place.
     """
     part = pieces(positions)
-    slot = slots(targets).withColumnsRenamed({"source": "s", "block": "b"})
+    words_taken = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    n_tasks = min(_MOST_TASKS, 1 + int(words_taken) // (BLOCK * RUN))
+    # The rows that slots are made from are few and small, which says nothing about the slots:
+    # without the hint they would be broadcast.
+    slot = slots(targets, n_tasks).withColumnsRenamed({"source": "s", "block": "b"}).hint("merge")
     same = part["source"].eqNullSafe(slot["s"]) & (part["block"] == slot["b"])
     return part.withColumnRenamed("n", "has").join(slot, same).select(
         "source", "at", "shard", "pass", "slot", "first", F.least("has", F.col("take") - F.col("start")).alias("n")
