@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,10 @@ class Locations:
     fmt: str = "parquet"
     warehouse: Warehouse | None = None
     registry: dict[str, RegisteredTable] = field(default_factory=dict)
+    # Path pattern per layer, for tables that are not registered one by one.
+    patterns: dict[str, str] = field(default_factory=dict)
+    # Warehouse tables read by several tasks: the column to divide them by, and into how many.
+    warehouse_partitions: dict[str, tuple[str, int]] = field(default_factory=dict)
 
     def store(self, layer: str) -> LayerStore:
         for name, store in self.layers.items():
@@ -79,17 +84,21 @@ class Locations:
             raise ValueError(f"table {table!r} is not registered for layer {layer!r}")
         return self.store(layer).base_uri + entry.paths[layer.lower()]
 
-    def area_path(
-        self, table: str, layer: str, parent: str = "", sub_area: str = ""
-    ) -> str:
-        """Bronze tables by registry; silver and gold tables by parent directory,
-        sub-area and upper-case table name."""
-        name = table.upper()
-        if layer.lower() == BRONZE.lower():
-            return self.registered_path(name, layer)
-        folder = {"core": "/Core", "derived": "/Derived"}.get(parent, parent)
-        area = f"/{sub_area}" if sub_area else ""
-        return f"{self.store(layer).base_uri}{folder}{area}/{name}"
+    def area_path(self, table: str, layer: str, **parts: str) -> str:
+        """Where a layer keeps a table that is not registered: its base URI and its pattern.
+
+        A pattern is given by the deployment and may name `{table}`, `{TABLE}` and any of
+        `parts`; parts that are not given are left out with the slash before them.
+        """
+        pattern = next((p for name, p in self.patterns.items() if name.lower() == layer.lower()), None)
+        if pattern is None:
+            return self.registered_path(table.upper(), layer)
+        known = {"table": table, "TABLE": table.upper(), **{k: v for k, v in parts.items() if v}}
+        fields = [name for _, name, _, _ in Formatter().parse(pattern) if name]
+        for name in fields:
+            if name not in known:
+                pattern = pattern.replace(f"/{{{name}}}", "")
+        return self.store(layer).base_uri + pattern.format(**known)
 
 
 def load_table(
@@ -107,5 +116,6 @@ def load_table(
     if location_type == LOCATION_WAREHOUSE:
         if locations.warehouse is None:
             raise ValueError("a warehouse location needs a configured warehouse")
-        return read_warehouse(spark, locations.warehouse, location)
+        column, n = locations.warehouse_partitions.get(location, (None, 1))
+        return read_warehouse(spark, locations.warehouse, location, column, n)
     raise ValueError(f"unknown location type {location_type!r}")

@@ -289,17 +289,29 @@ def test_unknown_location_type_raises(spark):
         load_table(spark, n.LOCATION_WAREHOUSE, "x", NOWHERE)
 
 
+def test_a_large_warehouse_table_is_read_by_several_tasks(spark, monkeypatch):
+    import dqgate.sources.locations as module
+
+    asked = []
+    monkeypatch.setattr(module, "read_warehouse", lambda *a: asked.append(a[2:]))
+    places = Locations(warehouse=Warehouse("jdbc:none"), warehouse_partitions={"BIG": ("ID", 8)})
+    load_table(spark, n.LOCATION_WAREHOUSE, "BIG", places)
+    load_table(spark, n.LOCATION_WAREHOUSE, "SMALL", places)
+    assert asked == [("BIG", "ID", 8), ("SMALL", None, 1)]
+
+
 def test_paths_of_layers_and_registered_tables():
     places = Locations(
         layers={"Bronze": abfss_store("raw", "acct"), "Silver": LayerStore("/silver")},
         registry={"CUST": RegisteredTable(("ID",), {"bronze": "/b/cust", "silver": "/s/cust"})},
+        patterns={"Silver": "/{parent}/{sub_area}/{TABLE}"},
     )
     assert places.path("/x", "bronze") == "abfss://raw@acct.dfs.core.windows.net/x"
     assert places.path("s3://b/x", "Bronze") == "s3://b/x"
     assert places.registered_path("CUST", "Silver") == "/silver/s/cust"
     assert places.area_path("cust", "Bronze") == "abfss://raw@acct.dfs.core.windows.net/b/cust"
-    assert places.area_path("cust", "silver", "core", "sales") == "/silver/Core/sales/CUST"
-    assert places.area_path("cust", "silver", "derived") == "/silver/Derived/CUST"
+    assert places.area_path("cust", "silver", parent="Core", sub_area="sales") == "/silver/Core/sales/CUST"
+    assert places.area_path("cust", "silver", parent="Derived") == "/silver/Derived/CUST"
     with pytest.raises(ValueError, match="not registered"):
         places.registered_path("CUST", "Gold")
 
