@@ -217,6 +217,12 @@ def _row(docs: DataFrame) -> Column:
     return F.struct(F.col("doc_id"), F.xxhash64("text").alias("digest"))
 
 
+def _name(row: str = "row") -> Column:
+    """Row and source as one text that is never null: rows alike in both can stand for each other."""
+    parts = (f"{row}.doc_id", f"{row}.digest", "source")
+    return F.to_json(F.struct(*[F.col(p).cast("string").alias(f"k{i}") for i, p in enumerate(parts)]))
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """`(row, source, size)` per document; the text isn't carried along."""
     return docs.select(
@@ -259,21 +265,26 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     run = F.struct("first", "n")
     passes = drawn(positions, targets).groupBy("source", "at", "pass").agg(F.sort_array(F.collect_list(run)).alias("runs"))
     texts = passes.groupBy("source", "at").agg(F.collect_list("runs").alias("passes"))
-    # Rows alike in id, text and source can stand for each other; they are numbered on both sides.
-    copy = F.row_number().over(Window.partitionBy("row", "source").orderBy("at")).alias("copy")
-    wanted = _to_document(positions.select("*", copy), texts, "inner").select(
-        F.col("row").alias("r"), F.col("source").alias("s"), F.col("copy").alias("c"), "size", "passes"
+    wanted = written(
+        _to_document(positions, texts, "left").select(
+            _name().alias("name"), "at", "size", F.coalesce("passes", F.array()).alias("passes")
+        ),
+        "wanted",
     )
-    own = F.row_number().over(Window.partitionBy("row", "source").orderBy("row")).alias("copy")
     packed = docs.select(
         F.struct("*").alias("doc"), _row(docs).alias("row"), F.col("source").cast("string").alias("source")
-    ).select("*", own)
-    same = (
-        packed["row"].eqNullSafe(wanted["r"])
-        & packed["source"].eqNullSafe(wanted["s"])
-        & (packed["copy"] == wanted["c"])
-    )
-    each = packed.join(wanted, same).select("doc", "size", F.explode("passes").alias("runs"))
+    ).select("doc", _name().alias("name"))
+    several = written(wanted.groupBy("name").count().where("count > 1").select("name"), "several")
+    if several.isEmpty():
+        wanted = wanted.where("size(passes) > 0")
+        both = packed.join(wanted.withColumnRenamed("name", "n").hint("merge"), F.col("name") == F.col("n"))
+    else:
+        # Repeated rows are numbered on both sides.
+        number = lambda by: F.row_number().over(Window.partitionBy("name").orderBy(by))
+        mine, theirs = packed.withColumn("copy", number("name")), wanted.withColumn("c", number("at"))
+        theirs = theirs.withColumnRenamed("name", "n")
+        both = mine.join(theirs.hint("merge"), (F.col("name") == F.col("n")) & (F.col("copy") == F.col("c")))
+    each = both.select("doc", "size", F.explode("passes").alias("runs"))
     whole = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["n"]) == F.col("size")
     tokens = F.regexp_extract_all(F.col("doc.text"), F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0))
     part = let(

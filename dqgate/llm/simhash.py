@@ -221,7 +221,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs)
     winners = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"))
-    ids = written(winners.distinct(), "winners")
+    # A merge at every size, so that the plan that large inputs need is the one that always runs.
+    ids = written(winners.distinct(), "winners").hint("merge")
     own = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("own")
     packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), own)
     kept = packed.join(ids, packed["id"].eqNullSafe(ids["id"]), "left_semi")
