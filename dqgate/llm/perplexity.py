@@ -5,8 +5,8 @@ covered by one set of counts. It is trained on all trusted text but a tenth of t
 documents, which set the thresholds: per language the quantile `QUANTILE` of their
 perplexities. Documents above their language's threshold are not kept.
 
-Counts are tables sharded by n-gram. Documents that are read together make blocks of about
-`BLOCK_CHARS` characters; a block asks for the probabilities of the distinct n-grams it holds, so the
+Counts are tables sharded by n-gram. Documents are dealt to blocks of about `BLOCK_CHARS`
+characters; a block asks for the probabilities of the distinct n-grams it holds, so the
 joins see each n-gram once per block and not once per occurrence, and the texts move once.
 
 Text is taken in lower case, digits as 0, blanks as single spaces. Characters are folded to
@@ -184,14 +184,13 @@ def _scored(key: tuple, texts: pa.Table, model: pa.Table) -> pa.Table:
 
 def score(docs: DataFrame, tables: dict[int, DataFrame]) -> DataFrame:
     """`(doc_id, lang, trusted, n_predicted, bits)` per row of `docs (doc_id, lang, text, trusted)`."""
-    n_docs, n_chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    rows = max(1, BLOCK_CHARS * n_docs // max(1, n_chars))
-    # Documents that are read together make a block, so a task meets few blocks. As a table the
-    # numbering holds for both uses below.
-    number = F.expr(f"monotonically_increasing_id() div {rows}")
-    dealt = written(docs.withColumn("block", number), "dealt")
-    asked = written(dealt.select("block", "text").mapInArrow(_block_batches, "block long, g long").distinct(), "asked")
-    known = written(log_probabilities(asked.select("g").distinct(), tables), "model")
+    n_chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-n_chars // BLOCK_CHARS))
+    # Both uses of the dealt texts are in one query and take all their columns, so Spark moves
+    # the texts once for both.
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition("block")
+    asked = dealt.mapInArrow(_block_batches, "block long, g long").distinct()
+    known = log_probabilities(asked.select("g").distinct(), tables)
     told = asked.join(known, "g")
     return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         _scored, "doc_id long, lang string, trusted boolean, n_predicted long, bits double"
