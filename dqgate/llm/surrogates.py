@@ -6,7 +6,7 @@ one keyed surrogate of the same type: digits for digits, letters for letters, a
 number where the original is valid, a name of the same gender and script. So all mentions
 of an entity stay recognizable as one. Entities whose surrogates collide with each
 other, or with an entity that really occurs, draw again until none does: different
-entities stay different. A mention takes the surrogate in its own notation.
+entities stay different. Names and addresses get longer with each draw. A mention takes the surrogate in its own notation.
 
 Defined results: a null or empty text has no entities and stays as it is. Documents without
 entities pass unchanged. Repeated rows are treated alike. Only `doc_id` and `text` are read
@@ -151,9 +151,10 @@ def _person(canon: Column, rnd: Column) -> Column:
         syllables = F.array(*map(F.lit, _SYLLABLES[script]))
         female, male = _ENDS[script]
         end = F.when(F.substring(canon, 1, 1) == "f", female).when(F.substring(canon, 1, 1) == "m", male).otherwise("")
-        word = lambda i: F.concat(
-            *[F.get(syllables, F.pmod(F.get(rnd, F.pmod(i * 4 + k, F.size(rnd))), F.lit(16))) for k in range(4)]
-        )
+        # A draw has a syllable more than the one before, so there are more names than entities at last.
+        n_each = F.col("attempt") + 4
+        syllable = lambda i, k: F.get(syllables, F.pmod(F.get(rnd, F.pmod(i * n_each + k, F.size(rnd))), F.lit(16)))
+        word = lambda i: F.array_join(F.transform(F.sequence(F.lit(0), n_each - 1), lambda k: syllable(i, k)), "")
         n = F.size(F.split(name, " "))
         return F.array_join(
             F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(word(i), F.when(i == 0, end).otherwise(""))), " "
@@ -173,8 +174,12 @@ def _surrogate() -> Column:
         hexed = F.array_join(
             F.transform(_chars(canon), lambda c, i: F.substring(F.lit("0123456789abcdef"), F.pmod(F.get(rnd, i), F.lit(16)) + 1, F.lit(1))), ""
         )
+        # Like a name, an address gets longer with each draw.
+        letter = lambda k: F.substring(F.lit(_LOWER), F.pmod(F.get(rnd, F.pmod(-k, F.size(rnd))), F.lit(26)) + 1, F.lit(1))
+        more = F.filter(F.sequence(F.lit(0), F.col("attempt")), lambda k: k > 0)
+        longer = F.array_join(F.transform(more, letter), "")
         return (
-            F.when(kind == "email", F.concat(_redrawn(front, rnd), tld))
+            F.when(kind == "email", F.concat(longer, _redrawn(front, rnd), tld))
             .when(kind == "ip", F.concat_ws(".", *[octet(k) for k in range(4)]))
             .when(kind == "card", _card(canon, rnd))
             .when(kind.isin("phone", "ssn"), _redrawn(canon, rnd, keep_first=1))

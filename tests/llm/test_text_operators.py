@@ -151,6 +151,15 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(set(got)) == 40 and not set(got) & {str(i) for i in range(40)}
 
 
+def test_more_names_than_the_first_draw_holds(spark, monkeypatch):
+    monkeypatch.setitem(surrogates._SYLLABLES, "latin", ("ba", "de") * 8)
+    names = [("person", f"f|{chr(97 + i % 26)}name{chr(97 + i // 26)}") for i in range(40)]
+    mails = [("email", f"{i}@{k}.co") for i in range(10) for k in range(10)]
+    found = spark.createDataFrame(names + mails, "type string, canon string")
+    got = [(r.type, r.surrogate) for r in surrogates.surrogate_table(found).collect()]
+    assert len(set(got)) == 140 and not set(got) & set(names + mails)
+
+
 def test_surrogates_bear_repeated_rows_long_texts_and_clashing_names(spark):
     long = "filler " * 30_000 + "10.1.2.3 end"
     docs = documents(spark, long, "10.1.2.3").withColumns({"n": F.lit(7), "digest": F.lit("mine")})
