@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dqgate.llm import chat_format
+from dqgate.llm import chat_format, prefix_trie
 from dqgate.llm.common import table
 from dqgate.llm.registry import query
 
@@ -59,3 +59,50 @@ def op6_chat_format(spark, sf_dir):
         F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+# Conversations rebuilt from their group's first, and the trie of their prefixes; the checksum is taken bit by bit.
+_TRIE_SQL = """
+WITH o AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT c, turns, xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(
+      range(1, length(c::VARCHAR) + 1), lambda i: [ascii(substring(c::VARCHAR, i::INT, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, y: CASE WHEN y >= 0 THEN xor(a, y) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 6 AS h
+  FROM o
+), s AS (
+  SELECT h.c, list_concat(CASE WHEN b.c IS NULL THEN [] ELSE b.turns[1:h.h] END, h.turns[h.h + 1:]) AS seq
+  FROM h LEFT JOIN o b ON b.c = h.c - h.c % 100
+), m AS (
+  SELECT c, seq, d FROM (SELECT c, seq, unnest(range(0, len(seq) + 1)) AS d FROM s)
+), n AS (
+  SELECT d, seq[1:d] AS p, min(c) AS conv_id, count(*) AS n_convs, coalesce(max(length(seq[d].x)), 0) AS size,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(seq) = d), '') AS ends
+  FROM m GROUP BY 1, 2
+), k AS (
+  SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1, 2
+), w AS (
+  SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN k ON n.d = k.d AND n.p = k.p
+), u AS (
+  SELECT p[1:e] AS p, e AS d, sum((kids = 0)::INT) AS n_leaves, sum(CASE WHEN d > 0 THEN (n_convs - 1) * size ELSE 0 END) AS saved_tokens
+  FROM (SELECT w.*, unnest(range(0, d + 1)) AS e FROM w) GROUP BY 1, 2
+)
+SELECT w.conv_id, w.d::BIGINT AS depth, q.conv_id AS parent_conv_id, w.n_convs::BIGINT AS n_convs, w.kids::BIGINT AS n_children,
+  u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM w JOIN u ON u.d = w.d AND u.p = w.p LEFT JOIN w q ON q.d = w.d - 1 AND q.p = w.p[1:w.d - 1]
+"""
+
+
+@query("op12_prefix_trie", _TRIE_SQL)
+def op12_prefix_trie(spark, sf_dir):
+    own = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    group = lambda c: c - c % 100
+    heads = own.where(F.col("conv_id") == group(F.col("conv_id"))).select(F.col("conv_id").alias("head"), F.slice("turns", 1, 5).alias("lent"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 6).cast("int")
+    lent = F.when(h > 0, F.slice("lent", F.lit(1), h))
+    kept = F.when(h < F.size("turns"), F.slice("turns", h + 1, F.size("turns")))
+    none = F.slice("turns", 1, 0)
+    rebuilt = F.concat(F.coalesce(lent, none), F.coalesce(kept, none))
+    joined = own.join(heads, group(F.col("conv_id")) == F.col("head"), "left")
+    return prefix_trie.prefix_trie(joined.select("conv_id", rebuilt.alias("turns")))
