@@ -1,13 +1,11 @@
-"""Near copies: brute force over all pairs by Jaccard similarity."""
+"""The stage that keeps one of each group of near copies: brute force over all pairs by Jaccard similarity."""
 
 from __future__ import annotations
 
 import random
 
-import pytest
-
 import corpus_pipeline
-from dqgate.llm import near_copies, simhash
+from dqgate.llm import jaccard_join, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -18,7 +16,7 @@ def documents(spark, rows):
 
 def grams(text):
     w = (text or "").lower().split()
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w) or text or ''}
 
 
 def jaccard(a, b):
@@ -66,11 +64,10 @@ def kept_by_brute_force(texts):
     return {i for i in range(len(texts)) if find(i) == i}
 
 
-@pytest.mark.parametrize("hot_from", [2, near_copies.HOT])
-def test_groups_are_those_of_all_pairs(spark, hot_from):
+def test_groups_are_those_of_all_pairs(spark):
     texts = corpus()
     docs = documents(spark, list(enumerate(texts))).repartition(3)
-    got = {r.doc_id for r in near_copies.keep_one(docs, hot_from).collect()}
+    got = {r.doc_id for r in jaccard_join.keep_one(docs).collect()}
     assert got == kept_by_brute_force(texts)
 
 
@@ -87,6 +84,6 @@ def test_stage_finds_near_copies_whose_fingerprints_are_far(spark):
 
 def test_rows_with_one_id_and_unlike_texts_both_stay(spark):
     rows = [(1, "one text of its own here"), (1, "and one quite unlike it today"), (1, "one text of its own here"), (None, "x y"), (None, "x y")]
-    kept = near_copies.keep_one(documents(spark, rows))
+    kept = jaccard_join.keep_one(documents(spark, rows))
     assert sorted(r.text for r in kept.collect()) == ["and one quite unlike it today", "one text of its own here", "x y"]
-    assert near_copies.keep_one(documents(spark, rows).limit(0)).count() == 0
+    assert jaccard_join.keep_one(documents(spark, rows).limit(0)).count() == 0
