@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import zlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +33,8 @@ from dqgate.plans.run import (
     union_all,
 )
 from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA
-from dqgate.session import scratch_dir
 from dqgate.sinks.history import append_history, append_history_table
-from dqgate.sinks.layers import overwrite, remove_path
+from dqgate.sinks.layers import overwrite, path_exists, remove_path
 from dqgate.sinks.state import read_state, save_state, state_of
 from dqgate.sources.jdbc import Warehouse
 from dqgate.sources.locations import Locations
@@ -38,6 +42,8 @@ from dqgate.sources.locations import Locations
 
 # Tables and keys computed by one job; see `compute`.
 FRAMES_PER_JOB = 64
+# Tables and keys of one job of a run that can be resumed: what is lost when it is cut off.
+FRAMES_PER_UNIT = 16
 
 
 @dataclass(frozen=True)
@@ -57,6 +63,10 @@ class Output:
     def history(self) -> str:
         return f"{self.base}/history"
 
+    def run(self, run_id: str) -> str:
+        """Where an unfinished run keeps its metrics."""
+        return f"{self.base}/_runs/{re.sub('[^0-9A-Za-z_-]', '_', run_id)}-{zlib.crc32(run_id.encode()):08x}"
+
     def stage(self, pipeline: str, stage: str) -> str:
         return f"{self.base}/results/{pipeline}/{stage}"
 
@@ -75,12 +85,19 @@ def run_all(
     return plan_run(spark, config, locations, ctx, state)
 
 
-def _computed(frames: list[Frame], folder: str) -> tuple[list[str], dict[int, str]]:
+def _done(spark: SparkSession, folder: str) -> bool:
+    return path_exists(spark, f"{folder}/_SUCCESS")
+
+
+def _computed(spark: SparkSession, frames: list[Frame], folder: str) -> tuple[list[str], dict[int, str]]:
     """Write the metric rows of frames; returns the folders written and what failed.
 
     The frames of one job run side by side. When a job fails, its frames are
-    tried one by one, so that only the checks of a broken table are lost.
+    tried one by one, so that only the checks of a broken table are lost. What an earlier
+    attempt has finished in the same folder is taken as it is.
     """
+    if _done(spark, folder):
+        return [folder], {}
     try:
         overwrite(union_all([f.rows for f in frames]), folder)
         return [folder], {}
@@ -89,24 +106,30 @@ def _computed(frames: list[Frame], folder: str) -> tuple[list[str], dict[int, st
             return [], dict.fromkeys(frames[0].check_ids, message_of(problem))
     written, failed = [], {}
     for i, frame in enumerate(frames):
-        paths, errors = _computed([frame], f"{folder}-{i}")
+        paths, errors = _computed(spark, [frame], f"{folder}-{i}")
         written += paths
         failed.update(errors)
     return written, failed
 
 
-def compute(planned: PlannedRun, folder: str) -> tuple[list[DataFrame], dict[int, str]]:
+def compute(
+    planned: PlannedRun, folder: str, per_job: int | None = None, at_once: int = 1
+) -> tuple[list[DataFrame], dict[int, str]]:
     """Metric rows of a planned run, stored under `folder`, and errors by check.
 
     A job takes `FRAMES_PER_JOB` frames: enough to keep a cluster busy, few
     enough that re-planning the job as its stages finish stays cheap, however
-    many tables are configured.
+    many tables are configured. `at_once` jobs run side by side, so the short last stages of one
+    leave no executor idle.
     """
-    written, failed = [], {}
-    for i in range(0, len(planned.frames), FRAMES_PER_JOB):
-        paths, errors = _computed(planned.frames[i : i + FRAMES_PER_JOB], f"{folder}/{i:06d}")
-        written += paths
-        failed.update(errors)
+    per_job = per_job or FRAMES_PER_JOB
+    jobs = [planned.frames[i : i + per_job] for i in range(0, len(planned.frames), per_job)]
+    folders = [f"{folder}/{i:06d}" for i in range(len(jobs))]
+    with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
+        run = inheritable_thread_target(planned.spark)(lambda frames, path: _computed(planned.spark, frames, path))
+        done = list(pool.map(run, jobs, folders))
+    written = [path for paths, _ in done for path in paths]
+    failed = {check: told for _, errors in done for check, told in errors.items()}
     if not written:
         return [], failed
     return [planned.spark.read.schema(METRIC_SCHEMA).parquet(*written)], failed
@@ -168,11 +191,13 @@ def run_and_save(
     output: Output,
     pipeline: str | None = None,
     stage: str | None = None,
+    at_once: int = 4,
 ) -> DataFrame:
     """Run every pipeline and stage, or the given one, keep the results, and return the gate.
 
-    The result of a stage is written before anything is derived from it, so no
-    checked table is read twice. A check whose table cannot be read becomes an
+    All stages are planned together and a table is scanned once for all of them, by `at_once`
+    jobs side by side. The result of a stage is written before anything is derived from it. A
+    run that was cut off goes on where it was when it is started under its `run_id` again. A check whose table cannot be read becomes an
     `Error` row; a stage that cannot be run at all is recorded as one, and the
     others still run. A stage whose results cannot be recorded blocks in the gate. A run
     repeated under its `run_id` replaces its own audit rows, in the history's folder.
@@ -181,17 +206,61 @@ def run_and_save(
     runs = runs_of(active).orderBy("PipelineName", "StageName").collect()
     if not runs:
         raise ValueError(f"no active checks for pipeline {pipeline!r} and stage {stage!r}")
+    shared = _SharedRun(spark, config, locations, ctx, output, pipeline, stage, at_once)
     gates = []
     for pipeline, stage in runs:
         try:
-            result = _run_stage(spark, config, locations, ctx, output, pipeline, stage)
+            result = _run_stage(spark, config, locations, ctx, output, pipeline, stage, shared)
         except Exception as problem:  # one stage must not stop the others
             told = f"the stage could not be run or recorded: {message_of(problem)}"
             result = _failed_run(spark, config, ctx, pipeline, stage, told).withColumn("on_stage_depend", F.lit(1))
         gates.append(stage_gate(result))
+    shared.finish()
     return union_all(gates)
 
 
+class _SharedRun:
+    """The metrics of all stages of a run: planned together, so a table that several stages check
+    is scanned once, and computed when the first stage asks for them.
+
+    They are kept under the run's name until all stages are recorded. A run that is killed and
+    started again under its `run_id` finds there what it had finished. The folder also names
+    the plan, so that a changed configuration computes anew.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        config: DataFrame,
+        locations: Locations,
+        ctx: RunContext,
+        output: Output,
+        pipeline: str | None,
+        stage: str | None,
+        at_once: int,
+    ) -> None:
+        self.spark, self.ctx, self.at_once = spark, ctx, at_once
+        self.of_run = output.run(ctx.run_id)
+        self.asked = (config, locations, pipeline, stage)
+        self.planned: PlannedRun | None = None
+        self.metrics: list[DataFrame] = []
+        self.failed: dict[int, str] = {}
+
+    def result(self, pipeline: str, stage: str, state: DataFrame) -> DataFrame:
+        """The long result of one stage."""
+        if self.planned is None:
+            config, locations, *which = self.asked
+            planned = prepare_run(self.spark, config, locations, *which)
+            told = repr([(item, self.ctx.as_of) for item in planned.items]) + repr([f.check_ids for f in planned.frames])
+            folder = f"{self.of_run}/{hashlib.sha256(told.encode()).hexdigest()[:16]}"
+            self.metrics, self.failed = compute(planned, folder, FRAMES_PER_UNIT, self.at_once)
+            self.planned = planned
+        return self.planned.of_stage(pipeline, stage).judge(self.metrics, self.ctx, state, self.failed)
+
+    def finish(self) -> None:
+        remove_path(self.spark, self.of_run)
+
+
 def _run_stage(
     spark: SparkSession,
     config: DataFrame,
@@ -200,18 +269,16 @@ def _run_stage(
     output: Output,
     pipeline: str,
     stage: str,
+    shared: _SharedRun,
 ) -> DataFrame:
     """The stored result of one stage, with everything derived from it stored too."""
     folder = output.stage(pipeline, stage)
-    stored, metrics_folder = f"{folder}/check_result", scratch_dir(spark, "metrics")
+    stored = f"{folder}/check_result"
     try:
-        planned = prepare_run(spark, config, locations, pipeline, stage)
-        metrics, failed = compute(planned, metrics_folder)
-        result = planned.judge(metrics, ctx, read_state(spark, output.state), failed)
+        result = shared.result(pipeline, stage, read_state(spark, output.state))
         overwrite(result.coalesce(1), stored)
     except Exception as problem:
         overwrite(_failed_run(spark, config, ctx, pipeline, stage, message_of(problem)), stored)
-    remove_path(spark, metrics_folder)
     result = spark.read.schema(RESULT_SCHEMA).parquet(stored)
     write_projections(result, folder, locations)
     audit = audit_history(result)

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from dqgate.operators.metrics import (
 )
 from dqgate.operators.referential import foreign_key_stats
 from dqgate.operators.uniqueness import uniqueness_stats
+from dqgate.operators.warehouse_metrics import pushable, warehouse_passes
 from dqgate.plans.checks import ITEM_COLUMNS, active_checks, check_items
 from dqgate.schemas import METRIC_SCHEMA, RESULT_SCHEMA, RESULT_TYPE, STATE_KEYS, STATE_SCHEMA
 from dqgate.sinks.state import STATE_KEY_SQL, latest_state
@@ -212,6 +213,12 @@ class _Plan:
         fused = []
         for place, metrics in self.metrics.items():
             table = self.tables.loaded[place]
+            if place[0] == n.LOCATION_WAREHOUSE:
+                # What the warehouse can count itself is not transferred.
+                sent = [m for m, _ in metrics if pushable(table.schema, m)]
+                for taken, rows in warehouse_passes(self.spark, self.locations.warehouse, table, place[1], sent):
+                    fused.append(Frame(tuple(dict.fromkeys(m.check_id for m in taken)), rows))
+                metrics = [planned for planned in metrics if not pushable(table.schema, planned[0])]
             for taken in metric_passes(metrics):
                 ids = tuple(dict.fromkeys(m.check_id for m, _ in taken))
                 fused.append(Frame(ids, one_pass(table, taken)))
@@ -370,6 +377,12 @@ class PlannedRun:
     queries: dict[int, dict[str, str]]
     errors: dict[int, str]
     frames: list[Frame]
+    ids: list[int] | None = None  # of the items, if they are not all of the plan's
+
+    def of_stage(self, pipeline: str, stage: str) -> PlannedRun:
+        """The part of a plan that judges one stage; metrics keep the ids of the whole plan."""
+        ids = [i for i, item in enumerate(self.items) if (item.pipeline, item.stage) == (pipeline, stage)]
+        return replace(self, items=[self.items[i] for i in ids], ids=ids)
 
     def judge(
         self,
@@ -383,12 +396,13 @@ class PlannedRun:
         `late_errors` are checks whose metrics could not be computed.
         """
         errors = {**(late_errors or {}), **self.errors}
+        ids = range(len(self.items)) if self.ids is None else self.ids
         every_check = self.spark.createDataFrame(
-            [(i, "main", *[None] * 6, errors.get(i)) for i in range(len(self.items))],
+            [(i, "main", *[None] * 6, errors.get(i)) for i in ids],
             METRIC_SCHEMA,
         )
         listed = []
-        for check_id, item in enumerate(self.items):
+        for check_id, item in zip(ids, self.items, strict=True):
             shown = self.queries.get(check_id, {})
             values = item.asDict()
             values["src_query"] = shown.get("src", item.src_query)
