@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -170,7 +171,11 @@ def upsert(
     copy beside the table, which then takes its place: readers see the old or
     the new table, and a failed job leaves the old one untouched. A table
     partitioned by part of its primary key is only read and rewritten in the
-    partitions the source touches. The table keeps its partition columns; `partition_by`
+    partitions the source touches. Where matched keys lie in few of the files, only these are
+    rewritten: the new files are finished first and listed in a journal, then they are moved in
+    and the old ones removed. A merge that is cut off in that last step is finished by the next
+    one (or by `finish_merges`); until then, and for the moment the step takes, readers may
+    see a changed row twice. The table keeps its partition columns; `partition_by`
     need only be given to change them.
 
     The source is computed once, into the shared folder, so that what is checked is what is
@@ -194,6 +199,8 @@ def _upsert(
     partition_by: Sequence[str],
 ) -> None:
     small = check_upsert_source(source, primary_keys) <= sizes.BROADCAST_BYTES
+    if fmt != "delta":
+        finish_merges(spark, location)
     if fmt == "delta":
         _delta_merge(spark, source, location, primary_keys)
         return
@@ -206,6 +213,10 @@ def _upsert(
     if partition_by and same_layout and set(partition_by) <= set(primary_keys):
         touched = _touched(target, source, partition_by)
     if touched is None:
+        files = _files_to_rewrite(spark, source, location, primary_keys, fmt, small) if same_layout else None
+        if files is not None:
+            _merge_files(spark, source, target, location, files, primary_keys, fmt, partition_by, stage, small)
+            return
         overwrite(merged(target, source, primary_keys, small), stage, fmt, partition_by)
         take_place(spark, stage, location)
         return
@@ -221,6 +232,112 @@ def _upsert(
     remove_path(spark, stage)
 
 
+# A merge rewrites single files if it leaves at least this share of them alone.
+SPARED_SHARE = 0.5
+_JOURNAL = "_merges"
+
+
+def _is_plain(path: str) -> bool:
+    return not any(c in path for c in "*?[]{}\\")
+
+
+def _data_files(spark: SparkSession, location: str) -> int:
+    """Files of a table that hold rows; hidden ones aside."""
+    fs, root = _file_system(spark, location)
+    found, folders = 0, [root]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            if status.getPath().getName().startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                folders.append(status.getPath())
+            else:
+                found += 1
+    return found
+
+
+def _files_to_rewrite(
+    spark: SparkSession, source: DataFrame, location: str, primary_keys: Sequence[str], fmt: str, small: bool
+) -> list[str] | None:
+    """The files that hold a key of the source; None if they are too many to be worth it.
+
+    Only the key columns are read. The driver gets file names, of which it lists all anyway.
+    """
+    if not _is_plain(location):
+        return None
+    target = spark.read.format(fmt).load(location)
+    keys = [quoted(k).cast(target.schema[k].dataType).alias(k) for k in primary_keys]
+    named = target.select(*[quoted(k) for k in primary_keys], F.col("_metadata.file_path").alias("_file"))
+    wanted = source.select(*keys)
+    found = named.join(F.broadcast(wanted) if small else wanted, list(primary_keys), "left_semi").select("_file").distinct()
+    jvm = spark._jvm
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["_file"])).toString() for r in found.collect()]
+    if len(files) > (1 - SPARED_SHARE) * _data_files(spark, location) or not all(map(_is_plain, files)):
+        return None
+    return files
+
+
+def _merge_files(
+    spark: SparkSession,
+    source: DataFrame,
+    target: DataFrame,
+    location: str,
+    files: list[str],
+    primary_keys: Sequence[str],
+    fmt: str,
+    partition_by: Sequence[str],
+    stage: str,
+    small: bool,
+) -> None:
+    """Merge into the files that hold the source's keys, and leave all others as they are."""
+    if files:
+        held = spark.read.schema(target.schema).format(fmt).option("basePath", location).load(files)
+    else:
+        held = target.where("false")
+    overwrite(merged(held, source, primary_keys, small), stage, fmt, partition_by)
+    fs, journal = _file_system(spark, f"{location.rstrip('/')}/{_JOURNAL}/{stage.rpartition('__merge_')[2]}.json")
+    out = fs.create(journal, False)
+    try:
+        out.write(bytearray(json.dumps({"stage": stage, "remove": files}).encode()))
+    finally:
+        out.close()
+    finish_merges(spark, location)
+
+
+def finish_merges(spark: SparkSession, location: str) -> int:
+    """Finish merges of single files whose new files are complete; gives their number.
+
+    Each step can be repeated: files that have been moved or removed are passed over.
+    """
+    fs, folder = _file_system(spark, f"{location.rstrip('/')}/{_JOURNAL}")
+    if not fs.exists(folder):
+        return 0
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    journals = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json")]
+    for journal in journals:
+        told = json.loads(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(fs.open(journal)).decode())
+        stage = path(told["stage"])
+        folders = [(stage, path(location))] if fs.exists(stage) else []
+        while folders:
+            here, there = folders.pop()
+            fs.mkdirs(there)
+            for status in fs.listStatus(here):
+                name = status.getPath().getName()
+                if name.startswith(("_", ".")):
+                    continue
+                if status.isDirectory():
+                    folders.append((status.getPath(), path(there, name)))
+                elif not fs.rename(status.getPath(), path(there, name)):
+                    raise OSError(f"cannot move {status.getPath()} into {there}; the merge is listed in {journal}")
+        for old in told["remove"]:
+            fs.delete(path(old), False)
+        fs.delete(stage, True)
+        fs.delete(journal, False)
+    fs.delete(folder, True)
+    spark.catalog.refreshByPath(location)
+    return len(journals)
+
+
 def _delta_merge(
     spark: SparkSession, source: DataFrame, location: str, primary_keys: Sequence[str]
 ) -> None:
