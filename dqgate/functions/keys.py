@@ -10,11 +10,6 @@ from dqgate.functions.columns import quoted
 
 _DIGEST_BYTES = 32
 
-# A key counts as hot from this share of all rows on, so there can never be more
-# than 1 / HOT_SHARE hot keys: their list is bounded whatever the data.
-HOT_SHARE = 1 / 5000
-_TRACKED_KEYS = 40_000
-
 
 def compact_key(df: DataFrame, column: str) -> Column:
     """The column as a grouping key of at most 32 bytes where it is text.
@@ -29,27 +24,3 @@ def compact_key(df: DataFrame, column: str) -> Column:
             F.octet_length(col) < _DIGEST_BYTES, col.cast("binary")
         ).otherwise(F.unhex(F.sha2(col.cast("binary"), 256)))
     return col
-
-
-def can_be_sketched(df: DataFrame, key: str) -> bool:
-    """Whether `hot_keys` knows the column's type."""
-    known = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    return isinstance(df.schema[key].dataType, known)
-
-
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys that hold at least `HOT_SHARE` of the rows, as column `key`.
-
-    One mergeable sketch over the key column, no shuffle of rows. The result is
-    only used to choose between two ways of doing the same join, so a missed or
-    extra key costs time but cannot change a result.
-    """
-    top = df.where(quoted(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(`{key}`, {int(1 / HOT_SHARE)}, {_TRACKED_KEYS})").alias("top"),
-    )
-    return (
-        top.select("n", F.explode("top").alias("t"))
-        .where(F.col("t.count") >= F.col("n") * HOT_SHARE)
-        .select(F.col("t.item").alias(key))
-    )

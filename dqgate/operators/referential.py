@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from dqgate.functions import sizes
 from dqgate.functions.columns import quoted, resolve
-from dqgate.functions.keys import can_be_sketched, hot_keys
 
 _KEY = "_fk"
 
@@ -66,19 +65,21 @@ def _match_rows(
     left, right = _key_columns(fact, fact_key, dim, dim_key)
     dim_keys = _keys(dim, right)
     rows = fact.withColumn(_KEY, left).where(F.col(_KEY).isNotNull())
+    small = _small_keys(dim_keys)
+    if small is not None:
+        return rows.join(F.broadcast(small), _KEY, how).drop(_KEY)
+    # One pass over the fact. A partition that a hot key fills is split by the adaptive skew
+    # join: it can be, as semi and anti joins stream the fact, and as nothing stands
+    # between the shuffles and the join.
+    return rows.join(dim_keys.hint("merge"), _KEY, how).drop(_KEY).select(*fact.columns)
+
+
+def _small_keys(dim_keys: DataFrame) -> DataFrame | None:
+    """The dimension's keys if they may be broadcast, without repeats where that is what makes them fit."""
     if sizes.measured_bytes(dim_keys) <= sizes.BROADCAST_BYTES:
-        return rows.join(F.broadcast(dim_keys), _KEY, how).drop(_KEY)
-    if not can_be_sketched(rows, _KEY):
-        return rows.join(dim_keys, _KEY, how).drop(_KEY)
-    # A large dimension: rows of hot keys (a bounded list) are decided without a
-    # shuffle, all other rows by a shuffled join that no longer has a hot key.
-    hot = hot_keys(rows.select(_KEY), _KEY)
-    hot_in_dim = dim_keys.join(F.broadcast(hot), _KEY, "left_semi").distinct()
-    hot_rows = rows.join(F.broadcast(hot), _KEY, "left_semi").join(
-        F.broadcast(hot_in_dim), _KEY, how
-    )
-    cold_rows = rows.join(F.broadcast(hot), _KEY, "left_anti").join(dim_keys, _KEY, how)
-    return hot_rows.unionByName(cold_rows).drop(_KEY).select(*fact.columns)
+        return dim_keys
+    distinct = dim_keys.distinct()
+    return distinct if sizes.measured_bytes(distinct) <= sizes.BROADCAST_BYTES else None
 
 
 def orphan_rows(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:

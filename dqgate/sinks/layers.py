@@ -20,11 +20,11 @@ from dqgate.session import scratch_dir
 _DELTA_OPTIONS = {"delta.columnMapping.mode": "name"}
 
 
-def _options(fmt: str, **delta_only: str) -> dict[str, str]:
+def write_options(fmt: str, **delta_only: str) -> dict[str, str]:
     return {**_DELTA_OPTIONS, **delta_only} if fmt == "delta" else {}
 
 
-def _by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one partition folder brought together, so that it gets few files;
     a folder with very many rows is split over several tasks."""
     return df.hint("rebalance", *partition_by) if partition_by else df
@@ -38,16 +38,16 @@ def overwrite(
     The number of files follows the plan's partitions; nothing is squeezed into
     one file.
     """
-    writer = _by_folder(df, partition_by).write.format(fmt).mode("overwrite")
-    options = _options(fmt, overwriteSchema="true")
+    writer = by_folder(df, partition_by).write.format(fmt).mode("overwrite")
+    options = write_options(fmt, overwriteSchema="true")
     writer.options(**options).partitionBy(*partition_by).save(location)
 
 
 def append(
     df: DataFrame, location: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    writer = _by_folder(df, partition_by).write.format(fmt).mode("append")
-    writer.options(**_options(fmt)).partitionBy(*partition_by).save(location)
+    writer = by_folder(df, partition_by).write.format(fmt).mode("append")
+    writer.options(**write_options(fmt)).partitionBy(*partition_by).save(location)
 
 
 def _all_set(columns: Sequence[Column]) -> Column:
@@ -222,7 +222,7 @@ def _upsert(
         return
     overwrite(merged(target.where(touched), source, primary_keys, small), stage, fmt, partition_by)
     (
-        _by_folder(spark.read.schema(target.schema).format(fmt).load(stage), partition_by)
+        by_folder(spark.read.schema(target.schema).format(fmt).load(stage), partition_by)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -385,3 +385,9 @@ def take_place(spark: SparkSession, stage: str, location: str) -> None:
         raise OSError(f"cannot replace {location}; the merged table is at {stage}")
     fs.delete(old, True)
     spark.catalog.refreshByPath(location)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Leave an empty file that says that something is done."""
+    fs, target = _file_system(spark, path)
+    fs.create(target, True).close()

@@ -176,7 +176,35 @@ def test_large_dimension_path_gives_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
     assert rows(referential.orphan_rows(fact, "k", dim, "d")) == plain_bad
     assert rows(referential.valid_rows(fact, "k", dim, "d")) == plain_good
-    assert {r[0] for r in keys.hot_keys(fact, "k").collect()} >= {7, -1}
+
+
+def test_the_fact_is_scanned_once_and_its_hot_key_split(spark, monkeypatch, tmp_path):
+    spark.range(0, 300_000, numPartitions=4).selectExpr("id", "if(id % 3 > 0, 7, id) AS k").write.parquet(f"{tmp_path}/fact")
+    spark.range(0, 100_000).selectExpr("id AS d").write.parquet(f"{tmp_path}/dim")
+    fact, dim = spark.read.parquet(f"{tmp_path}/fact"), spark.read.parquet(f"{tmp_path}/dim")
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
+    settings = {"advisoryPartitionSizeInBytes": "64k", "skewJoin.skewedPartitionThresholdInBytes": "64k", "coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(f"spark.sql.adaptive.{key}", value)
+    try:
+        for how, n in ((referential.orphan_rows, 66_666), (referential.valid_rows, 233_334)):
+            found = how(fact, "k", dim, "d")
+            assert found.columns == ["id", "k"] and found.count() == n
+            found.collect()
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            final = plan[: plan.index("Initial Plan")]
+            assert "skew=true" in final and final.count("/fact]") == 1
+    finally:
+        for key in settings:
+            spark.conf.unset(f"spark.sql.adaptive.{key}")
+
+
+def test_a_dimension_is_broadcast_by_its_distinct_keys(spark, monkeypatch):
+    dim = spark.range(0, 5000).selectExpr("id % 10 AS d")
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 1000)
+    got = referential.valid_rows(spark.range(5, 15).selectExpr("id AS k"), "k", dim, "d")
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == [(i,) for i in range(5, 10)]
 
 
 def test_large_dimension_path_with_text_keys(spark, monkeypatch):

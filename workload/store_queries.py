@@ -11,11 +11,14 @@ from dqgate import names as n
 from dqgate.operators.kpi import kpi_warehouse
 from dqgate.session import scratch_dir
 from dqgate.sinks import jdbc as warehouse_sink
+from dqgate.operators.metrics import Metric
 from dqgate.sinks import layers
+from dqgate.sinks.observed import overwrite_observed
 from dqgate.sources import incremental, jdbc
 from dqgate.sources.files import read_path, read_table
 from dqgate.sources.locations import load_table
 from dqgate.streaming.incremental import append_available, stream_path
+from dqgate.streaming.upserts import upsert_available
 from workload import demo
 from workload.registry import plain, query
 
@@ -179,6 +182,60 @@ def upsert_partitioned(spark, sf_dir):
     return read_path(spark, location)
 
 
+@query(
+    "upsert_files",
+    "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 < 20 THEN 'changed' ELSE o_orderstatus END AS o_orderstatus "
+    "FROM orders UNION ALL SELECT -1 - o_orderkey, o_custkey, 'added' FROM orders WHERE o_orderkey % 1000 < 10",
+)
+def upsert_files(spark, sf_dir):
+    """The orders lie in files by the end of their key, so the changes concern few of them: the others stay."""
+    orders = demo.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    end = F.col("o_orderkey") % 1000
+    location = scratch_dir(spark, "orders")
+    layers.overwrite(orders.repartitionByRange(16, end), location)
+    changed = orders.where(end < 20).withColumn("o_orderstatus", F.lit("changed"))
+    added = orders.where(end < 10).select((-1 - F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", F.lit("added").alias("o_orderstatus"))
+    layers.upsert(spark, changed.unionByName(added), location, ["o_orderkey"])
+    return read_path(spark, location)
+
+
+@query(
+    "write_measured",
+    "SELECT 0 AS check_id, count(*) AS total_rows, NULL::BIGINT AS unexpected_rows, NULL::TIMESTAMP AS as_of_max FROM events "
+    "UNION ALL SELECT 1, count(*), count(*) FILTER (value IS NULL), NULL FROM events "
+    "UNION ALL SELECT 2, count(*), count(*) FILTER (event_type IN ('click', 'view')), NULL FROM events "
+    "UNION ALL SELECT 3, count(*), NULL, max(ts) FROM events",
+)
+def write_measured(spark, sf_dir):
+    """A table's row count, nulls, unexpected values and latest time, taken while it is written."""
+    metrics = [
+        Metric(0, "rows"),
+        Metric(1, "nulls", "value"),
+        Metric(2, "in_list", "event_type", ("click", "view")),
+        Metric(3, "latest", "ts"),
+    ]
+    found = overwrite_observed(demo.table(spark, sf_dir, "events"), scratch_dir(spark, "events"), metrics, partition_by=["event_type"])
+    return plain(found.select("check_id", "total_rows", "unexpected_rows", F.col("as_of_max").cast("timestamp_ntz").alias("as_of_max")))
+
+
+@query(
+    "incremental_upsert_stream",
+    "SELECT event_id, ts, user_id, CASE WHEN ts > TIMESTAMP '2024-01-10 00:00:00' THEN value END AS value FROM events",
+)
+def incremental_upsert_stream(spark, sf_dir):
+    """A target whose values are lost catches up from a stream; the second call finds nothing new."""
+    events = demo.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    location, checkpoint = scratch_dir(spark, "events"), scratch_dir(spark, "progress")
+    old = events.where("ts <= timestamp_ntz '2024-01-15 00:00:00'")
+    layers.overwrite(old.withColumn("value", F.lit(None).cast(events.schema["value"].dataType)), location)
+    schema = demo.table(spark, sf_dir, "events").schema
+    arriving = stream_path(spark, sf_dir, schema, pathGlobFilter="events.parquet").select(*events.columns)
+    new = arriving.where("ts > timestamp_ntz '2024-01-10 00:00:00'")
+    for _ in range(2):
+        upsert_available(new, location, checkpoint, ["event_id"], "ts").awaitTermination()
+    return read_path(spark, location)
+
+
 # ---- warehouse -------------------------------------------------------------
 #
 # The warehouse is an embedded in-memory database that only the Spark process
