@@ -8,8 +8,8 @@ the k-th best certain score are dropped and the others moved together. Each pair
 blocks is one bounded task row; only its k best per query are shuffled on.
 
 Defined results: vectors that are null or hold a null or a value that isn't finite take
-no part, nor do rows without `vec_id`. Of several rows with one `vec_id` the one with
-the smallest vector counts. A shorter vector has zeros where the other has components.
+no part, nor do rows without `vec_id`. Rows with one `vec_id` are all candidates of other
+ids, each with its own score; as queries they have one ranking together. A shorter vector has zeros where the other has components.
 Scores beyond 64 bits are held at the largest or smallest long.
 """
 
@@ -35,15 +35,13 @@ _EXACT = 1 << 53
 
 
 def valid(vectors: DataFrame) -> DataFrame:
-    """`(vec_id, v)`: components as whole numbers, floor(64 * x), in doubles."""
+    """`(vec_id, v, row)`: components as whole numbers, floor(64 * x), in doubles; `row` tells rows apart."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     # From 2 ** 53 on every double is whole.
     whole = lambda y: F.when(F.abs(y) < _EXACT, F.floor(y).cast("double")).otherwise(y)
     scaled = F.transform("embedding", lambda x: whole(SCALE * x.cast("double")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-    return rows.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding")).select(
-        "vec_id", scaled.alias("v")
-    )
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"), F.monotonically_increasing_id().alias("row"))
 
 
 def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
@@ -80,7 +78,7 @@ def _read(ids: bytes, columns: bytes, width: int) -> tuple[np.ndarray, np.ndarra
 
 def in_blocks(rows: DataFrame, n: int) -> DataFrame:
     """`(block, ids, columns, width)`: the rows dealt by hash to n blocks."""
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n)))
     return dealt.groupBy("block").applyInArrow(_block, "block long, ids binary, columns binary, width int")
 
 

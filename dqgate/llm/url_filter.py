@@ -97,14 +97,12 @@ def _places(key: Column, level: int, n_bits: int) -> list[Column]:
 def _filter(keys: DataFrame, level: int, n_bits: int) -> DataFrame:
     """One row with the level's bits as an array of 64-bit words."""
     places = keys.select(F.explode(F.array(*_places(F.col("key"), level, n_bits))).alias("bit"))
-    word = F.floor(F.col("bit") / 64).cast("int").alias("word")
     bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(bit % 64 AS INT))")
-    used = places.groupBy(word).agg(F.bit_or(bit).alias("bits"))
-    return used.agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m")).select(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(n_bits // 64 - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0))
-        ).alias("words")
-    )
+    used = places.select(F.floor(F.col("bit") / 64).alias("word"), bit.alias("bits"))
+    # Words without a bit are rows like the others, so the array is one sorted collect.
+    every = keys.sparkSession.range(n_bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    whole = used.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words"))
 
 
 def _passes(key: Column, level: int, n_bits: int, words: Column) -> Column:

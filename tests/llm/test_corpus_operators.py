@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -280,15 +281,21 @@ def test_top_k_agrees_with_brute_force(spark, monkeypatch):
     rows += [(200, None), (220, [float("nan")] * 40), (240, [None] + [1.0] * 39), (260, [float("inf")] * 40), (None, [1.0] * 40),
              (280, []), (300, [1.0, 2.0]), rows[0]]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("mine"))
-    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     wanted = []
-    for q in (q for q in whole if q % 20 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)  # noqa: B905
+    for q in sorted({i for i, _ in whole if i % 20 == 0}):
+        asked = [v for i, v in whole if i == q]
+        scored = sorted((-sum(a * b for a, b in zip(w, v)), i) for w in asked for i, v in whole if i != q)  # noqa: B905
         wanted += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:20])]
     assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(wanted)
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_keeps_every_row_of_an_id(spark):
+    df = spark.createDataFrame([(20, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [4.0, -2.0]), (1, [4.0, -2.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df).collect())) == [(20, 1, 1, 8192), (20, 2, 1, 8192), (20, 3, 1, 8192)]
+
+
 def test_large_numbers_are_scored_exactly():
     q, c = np.array([[2.0**60, 1.0]]), np.array([[3.0, 2.0**40], [1.0, 5.0]])
     ((ids, scores),) = topk.best(np.array([9]), q, np.array([1, 2]), c)
@@ -319,6 +326,20 @@ def test_url_verdicts(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_a_filter_is_built_in_proportion_to_its_keys(spark):
+    def seconds(n):
+        keys = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"))
+        found = []
+        for _ in range(2):
+            start = time.perf_counter()
+            words = url_filter._filter(keys, 0, 10 * n // 64 * 64).first()["words"]
+            found.append(time.perf_counter() - start)
+        assert len(words) == 10 * n // 64
+        return min(found)
+
+    assert seconds(256_000) < 12 * max(seconds(32_000), 0.5)
+
+
 @pytest.mark.parametrize("bits", [3, 10])
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch, bits):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", bits)  # few bits: many false positives, many levels

@@ -118,6 +118,13 @@ def test_every_run_of_a_word_is_seen(spark):
 # ---- surrogates --------------------------------------------------------------
 
 
+def test_a_value_is_not_masked_inside_longer_words(spark):
+    text = "pwd=hunter2x; the hunter2x2000 model, 9hunter2x and (hunter2x)"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = secret_scan.redact(docs).collect()
+    assert row.text == "pwd=[SECRET]; the hunter2x2000 model, 9hunter2x and ([SECRET])"
+
+
 def replaced(spark, *texts):
     got = surrogates.replace_entities(documents(spark, *texts)).collect()
     return {r.doc_id: r for r in got}
