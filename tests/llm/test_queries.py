@@ -1,4 +1,4 @@
-"""Queries of the subpackage against their SQL; those without SQL have tests by brute force."""
+"""Queries of the subpackage against their SQL; the tests of those without SQL are beside this file."""
 
 from __future__ import annotations
 
