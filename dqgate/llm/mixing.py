@@ -1,18 +1,25 @@
 """Mixing sources to target weights by drawing fixed-length blocks.
 
 The words of each source, document after document, form a stream that is cut into blocks
-of `BLOCK` words. A source's target is a number of words; it is drawn in passes over the
-source's blocks. Slot j of a pass takes the block that a pseudorandom permutation of the
-source's block indices gives for j, so no block is taken twice within a pass, and the last
-slot is cut to the words still wanted. Each slot is dealt to an output shard by a keyed
-hash: a source's counts over the shards are one multinomial draw with its target as total.
+of `BLOCK` words. A source's target, a number of words, gives its number of slots, each to
+be filled with one block. The mix is dealt to output shards of about `SHARD_SLOTS` slots: a
+source's counts over the shards are one multinomial draw with its slots as total, so a
+shard's mixture differs from the weights by chance only and each target is still met. With
+the counts the source's slots are numbered through, shard after shard. Slot j takes the
+block that a pseudorandom permutation of the source's block indices gives for j, one
+permutation per pass over the source: no block is taken twice within a pass, and the last
+slot is cut to the words still wanted. Blocks are joined to their slots by index.
 
-The stream position of a document is a running sum over its source, made in two steps
-over hash buckets so that a hot source is spread over many tasks.
+`mix` counts what is taken of each document, `mixed_blocks` gives the shards with their
+texts, `mixed_documents` sets what is taken back into documents.
+
+Running sums over a source are made in two steps over buckets, so that a hot source is
+spread over many tasks.
 
 Defined results: a null text has size 0. Targets of sources without words are 0.
 Repeated rows are documents of their own. Documents of size 0 are never taken. A null
-`doc_id` or source is a value like any other, the null source being the last.
+`doc_id` or source is a value like any other, the null source being the last. Long texts
+fill as many blocks as they need. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,9 +38,12 @@ SHARE = 1.5
 # Most times that a source, and with it any document, is taken.
 MOST = 2
 BLOCK = 64
-SHARDS = 64
-# Slots that one row stands for until they are made, and most tasks that make them.
-RUN = 1 << 12
+# Slots of an output shard on average; more slots make more shards.
+SHARD_SLOTS = 1 << 12
+# Slots that one row stands for until they are dealt, and shards summed up together.
+RUN = 1 << 16
+SHARD_BUCKET = 1 << 12
+# Most tasks that make slots.
 _MOST_TASKS = 20_000
 SEED = 20_240_131
 
@@ -68,15 +78,42 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     known = [r.source_size for r in rows]
     weights = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))]
     targets = shares(known, weights, SHARE * sum(known))
-    return sizes.sparkSession.createDataFrame(
-        [(r.source, s, t) for r, s, t in zip(rows, known, targets, strict=True)],
-        "source string, source_size long, target double",
-    )
+    spark = sizes.sparkSession
+    if not rows:
+        return spark.range(0).select(
+            F.lit(None).cast("string").alias("source"), F.col("id").alias("source_size"), F.lit(0.0).alias("target")
+        )
+    each = [
+        F.struct(
+            F.lit(r.source).cast("string").alias("source"),
+            F.lit(n).cast("long").alias("source_size"),
+            F.lit(t).alias("target"),
+        )
+        for r, n, t in zip(rows, known, targets, strict=True)
+    ]
+    return spark.range(1).select(F.inline(F.array(*each)))
 
 
 # ---- stream positions --------------------------------------------------------
 
 
+def _running(keyed: DataFrame, amount: str, *order: str) -> DataFrame:
+    """`keyed (source, bucket, ...)` with `before`: what precedes a row in its source.
+
+    Buckets follow each other in order, and rows of a bucket by `order`.
+    """
+    so_far = lambda w: F.coalesce(F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = keyed.groupBy("source", "bucket").agg(F.sum(amount).alias(amount))
+    starts = totals.select(
+        F.col("source").alias("s"),
+        F.col("bucket").alias("b"),
+        so_far(Window.partitionBy("source").orderBy("bucket")).alias("start"),
+    )
+    within = keyed.withColumn("inner", so_far(Window.partitionBy("source", "bucket").orderBy(*order)))
+    same = within["source"].eqNullSafe(starts["s"]) & (within["bucket"] == starts["b"])
+    return within.join(starts, same).withColumn("before", F.col("start") + F.col("inner")).drop("inner", "start", "s", "b")
+
+
 def placed(docs: DataFrame, n_docs: int) -> DataFrame:
     """`docs (row, source, size)` with `at`, the words of the source before the document.
 
@@ -86,19 +123,7 @@ def placed(docs: DataFrame, n_docs: int) -> DataFrame:
     buckets = max(1, math.isqrt(n_docs))
     order = F.xxhash64(F.lit(SEED), "row", "size")
     keyed = docs.withColumn("h", order).withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("h", "row").rowsBetween(Window.unboundedPreceding, -1)
-    totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        F.col("source").alias("s"),
-        F.col("bucket").alias("b"),
-        F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"),
-    )
-    within = keyed.withColumn("inner", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
-    same = within["source"].eqNullSafe(starts["s"]) & (within["bucket"] == starts["b"])
-    return within.join(starts, same).withColumn("at", F.col("start") + F.col("inner")).drop(
-        "h", "bucket", "inner", "start", "s", "b"
-    )
+    return _running(keyed, "size", "h", "row").withColumnRenamed("before", "at").drop("h", "bucket")
 
 
 # ---- permutations ------------------------------------------------------------
@@ -137,41 +162,79 @@ def permuted(j: Column, n: Column, *key: Column) -> Column:
     return let(grid, inside)
 
 
-# ---- slots and blocks --------------------------------------------------------
+# ---- shards, slots and blocks ------------------------------------------------
 
 
-def slots(targets: DataFrame, n_tasks: int, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """`(source, shard, pass, slot, block, take)`: which words of which block the mix takes, in order.
+def wanted(targets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Sources that are taken of: `(source, source_size, wanted, per_pass, n_slots)`.
 
-    Full blocks are permuted; the short block at the end of a stream comes last in a pass.
-    Runs of `RUN` slots are dealt to `n_tasks` tasks before they are made.
+    `wanted` is in words, `per_pass` the slots of a pass over the whole source.
     """
-    size, full = F.col("source_size"), F.col("n_full")
-    per_pass = (
-        targets.where("source_size > 0 AND target > 0")
-        .withColumn("wanted", F.round("target").cast("long"))
-        .withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
-        .withColumn("left", F.least(F.col("wanted") - F.col("pass") * size, size))
-        .where("left > 0")
-        .withColumn("n_full", F.floor(size / block).cast("long"))
+    up = lambda n: F.floor((n + block - 1) / block).cast("long")
+    size, all_ = F.col("source_size"), F.round("target").cast("long")
+    return targets.where("source_size > 0 AND target > 0").select(
+        "source",
+        "source_size",
+        all_.alias("wanted"),
+        up(size).alias("per_pass"),
+        (F.floor(all_ / size).cast("long") * up(size) + up(F.pmod(all_, size))).alias("n_slots"),
     )
-    n_slots = F.floor((F.col("left") + block - 1) / block).cast("long")
-    run = RUN
-    runs = per_pass.withColumn(
-        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_slots - 1) / run).cast("long")))
-    ).repartition(n_tasks, "source", "pass", "run")
-    each = runs.withColumn(
-        "slot",
-        F.explode(F.sequence(F.col("run") * run, F.least(F.col("run") * run + run, n_slots) - 1)),
+
+
+def shard_counts(per_source: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """`per_source` by shard, with `n`, how many slots the shard gets of the source, and `first`.
+
+    Each slot falls to a shard by a keyed hash, so the counts of a source are a multinomial
+    draw. They are summed before they are shuffled. `first` numbers the source's slots
+    through its shards.
+    """
+    total = per_source.agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
+    n_shards = max(1, -(-total // shard_slots))
+    runs = per_source.withColumn(
+        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / RUN).cast("long")))
+    ).repartition(_tasks(total, RUN), "source", "run")
+    ball = runs.withColumn(
+        "ball", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, F.col("n_slots")) - 1))
     )
-    taken_block = F.when(F.col("slot") < full, permuted(F.col("slot"), full, F.col("pass"), F.col("source"))).otherwise(full)
-    return each.select(
+    shard = F.pmod(F.xxhash64(F.lit(SEED), F.col("ball"), F.col("source")), F.lit(n_shards))
+    counts = ball.withColumn("shard", shard).groupBy(*per_source.columns, "shard").agg(F.count("*").alias("n"))
+    keyed = written(counts.withColumn("bucket", F.floor(F.col("shard") / SHARD_BUCKET)), "shards")
+    return _running(keyed, "n", "shard").withColumnRenamed("before", "first").drop("bucket")
+
+
+def _tasks(slots: int, each: int) -> int:
+    return min(_MOST_TASKS, 1 + slots // each)
+
+
+def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """`(source, shard, pass, slot, block, take)`: which words of which block a shard takes.
+
+    Full blocks are permuted; the short block at the end of a stream comes last in a pass.
+    """
+    per_source = wanted(targets, block)
+    n_slots = per_source.agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
+    counts = shard_counts(per_source, shard_slots).repartition(_tasks(n_slots, shard_slots), "source", "shard")
+    each = counts.withColumn("j", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
+    size, n_full = F.col("source_size"), F.floor(F.col("source_size") / block).cast("long")
+    numbered = each.select(
         "source",
-        F.pmod(F.xxhash64(F.lit(SEED), F.col("source"), F.col("pass"), F.col("slot")), F.lit(shards)).alias("shard"),
+        "shard",
+        F.floor(F.col("j") / F.col("per_pass")).cast("int").alias("pass"),
+        F.pmod("j", "per_pass").alias("slot"),
+        size,
+        "wanted",
+        n_full.alias("n_full"),
+    )
+    left = F.least(F.col("wanted") - F.col("pass") * size, size)
+    full = F.col("n_full")
+    block_of = F.when(F.col("slot") < full, permuted(F.col("slot"), full, F.col("pass"), F.col("source"))).otherwise(full)
+    return numbered.select(
+        "source",
+        "shard",
         "pass",
         "slot",
-        taken_block.alias("block"),
-        F.least(F.lit(block), F.col("left") - F.col("slot") * block).alias("take"),
+        block_of.alias("block"),
+        F.least(F.lit(block), left - F.col("slot") * block).alias("take"),
     )
 
 
@@ -197,20 +260,18 @@ def pieces(positions: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def drawn(positions: DataFrame, targets: DataFrame) -> DataFrame:
-    """`(source, at, shard, pass, slot, first, n)`: every run of a document's words that the mix takes.
+    """`(source, at, shard, pass, slot, block, start, first, n)`: every run of a document's words
+    that the mix takes, with its shard and its place in the block.
 
     `(source, at)` names a document: no two with words begin at one place.
     """
-    part = pieces(positions)
-    words_taken = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
-    n_tasks = min(_MOST_TASKS, 1 + int(words_taken) // (BLOCK * RUN))
+    part = pieces(positions).withColumnRenamed("n", "has")
     # The rows that slots are made from are few and small, which says nothing about the slots:
     # without the hint they would be broadcast.
-    slot = slots(targets, n_tasks).withColumnsRenamed({"source": "s", "block": "b"}).hint("merge")
+    slot = slots(targets).withColumnsRenamed({"source": "s", "block": "b"}).hint("merge")
     same = part["source"].eqNullSafe(slot["s"]) & (part["block"] == slot["b"])
-    return part.withColumnRenamed("n", "has").join(slot, same).select(
-        "source", "at", "shard", "pass", "slot", "first", F.least("has", F.col("take") - F.col("start")).alias("n")
-    ).where("n > 0")
+    n = F.least("has", F.col("take") - F.col("start")).alias("n")
+    return part.join(slot, same).select("source", "at", "shard", "pass", "slot", "block", "start", "first", n).where("n > 0")
 
 
 def _row(docs: DataFrame) -> Column:
@@ -245,58 +306,94 @@ def _to_document(positions: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """`(doc_id, size, source, source_size, target, taken)` per row of `docs`."""
+    """`(doc_id, size, source, source_size, target, taken, first_shard, last_shard)` per row of `docs`.
+
+    The shards are the lowest and the highest that hold words of the document, null if none does.
+    """
     positions, targets = _plan(docs)
-    taken = drawn(positions, targets).groupBy("source", "at").agg(F.sum("n").alias("taken"))
+    taken = drawn(positions, targets).groupBy("source", "at").agg(
+        F.sum("n").alias("taken"), F.min("shard").alias("first_shard"), F.max("shard").alias("last_shard")
+    )
     small = broadcast_if_small(targets.withColumnRenamed("source", "s"))
     return (
         _to_document(positions, taken, "left")
         .join(small, F.col("source").eqNullSafe(F.col("s")))
-        .select("row.doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        .select(
+            "row.doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+            "first_shard", "last_shard",
+        )
     )
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents, columns as given: one row per document and pass that takes words of it.
-
-    A document taken whole keeps its text. Of others the text is what is taken, in order.
-    """
-    positions, targets = _plan(docs)
-    run = F.struct("first", "n")
-    passes = drawn(positions, targets).groupBy("source", "at", "pass").agg(F.sort_array(F.collect_list(run)).alias("runs"))
-    texts = passes.groupBy("source", "at").agg(F.collect_list("runs").alias("passes"))
-    wanted = written(
-        _to_document(positions, texts, "left").select(
-            _name().alias("name"), "at", "size", F.coalesce("passes", F.array()).alias("passes")
-        ),
-        "wanted",
-    )
+def _with_texts(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """`(doc, size, taken)` for the documents that `marked (name, at, size, taken)` takes words of."""
+    marked = written(marked, "wanted")
     packed = docs.select(
         F.struct("*").alias("doc"), _row(docs).alias("row"), F.col("source").cast("string").alias("source")
     ).select("doc", _name().alias("name"))
-    several = written(wanted.groupBy("name").count().where("count > 1").select("name"), "several")
+    several = written(marked.groupBy("name").count().where("count > 1").select("name"), "several")
     if several.isEmpty():
-        wanted = wanted.where("size(passes) > 0")
-        both = packed.join(wanted.withColumnRenamed("name", "n").hint("merge"), F.col("name") == F.col("n"))
+        marked = marked.where("size(taken) > 0")
+        both = packed.join(marked.withColumnRenamed("name", "n").hint("merge"), F.col("name") == F.col("n"))
     else:
         # Repeated rows are numbered on both sides.
         number = lambda by: F.row_number().over(Window.partitionBy("name").orderBy(by))
-        mine, theirs = packed.withColumn("copy", number("name")), wanted.withColumn("c", number("at"))
+        mine, theirs = packed.withColumn("copy", number("name")), marked.withColumn("c", number("at"))
         theirs = theirs.withColumnRenamed("name", "n")
         both = mine.join(theirs.hint("merge"), (F.col("name") == F.col("n")) & (F.col("copy") == F.col("c")))
-    each = both.select("doc", "size", F.explode("passes").alias("runs"))
-    whole = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["n"]) == F.col("size")
-    tokens = F.regexp_extract_all(F.col("doc.text"), F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0))
-    part = let(
-        tokens,
-        lambda t: F.array_join(
-            F.transform(
-                "runs",
-                lambda r: F.array_join(F.slice(t, (r["first"] + 1).cast("int"), r["n"].cast("int")), ""),
-            ),
-            "",
-        ),
+    return both.select("doc", "size", "taken")
+
+
+def _marked(positions: DataFrame, taken: DataFrame) -> DataFrame:
+    return _to_document(positions, taken, "left").select(
+        _name().alias("name"), "at", "size", F.coalesce("taken", F.array()).alias("taken")
     )
+
+
+def _tokens(text: Column) -> Column:
+    """The words of a text, each with the separators behind it."""
+    return F.regexp_extract_all(text, F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0))
+
+
+def _words_of(tokens: Column, run: Column) -> Column:
+    return F.array_join(F.slice(tokens, (run["first"] + 1).cast("int"), run["n"].cast("int")), "")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as documents, columns as given: one row per document and pass that takes words of it.
+
+    A document taken whole keeps its text. Of others the text is what is taken, in order.
+    """
+    positions, targets = _plan(docs)
+    run = F.struct("first", "n")
+    passes = drawn(positions, targets).groupBy("source", "at", "pass").agg(F.sort_array(F.collect_list(run)).alias("runs"))
+    taken = passes.groupBy("source", "at").agg(F.collect_list("runs").alias("taken"))
+    each = _with_texts(docs, _marked(positions, taken)).select("doc", "size", F.explode("taken").alias("runs"))
+    whole = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["n"]) == F.col("size")
+    part = let(_tokens(F.col("doc.text")), lambda t: F.array_join(F.transform("runs", lambda r: _words_of(t, r)), ""))
     made = each.select("doc", F.when(whole, F.col("doc.text")).otherwise(part).alias("mixed"))
     fresh = {"text": F.col("mixed"), "n_chars": F.length("mixed").cast("long")}
     return made.select(*[fresh.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mixed_blocks(docs: DataFrame) -> DataFrame:
+    """The mix as shards: `(shard, place, source, pass, block, n_words, text)`, a row per slot.
+
+    `place` numbers a shard's slots, sources in random order. Words are joined by one space.
+    """
+    positions, targets = _plan(docs)
+    run = F.struct("shard", "pass", "slot", "block", "start", "first", "n")
+    runs = drawn(positions, targets).groupBy("source", "at").agg(F.collect_list(run).alias("taken"))
+    each = _with_texts(docs, _marked(positions, runs)).select(
+        F.col("doc.source").cast("string").alias("source"), "taken", words(F.col("doc.text")).alias("tokens")
+    )
+    cut = lambda r: F.array_join(F.slice("tokens", (r["first"] + 1).cast("int"), r["n"].cast("int")), " ")
+    # Runs are cut out before they are exploded: no row holds a whole text beside its run.
+    parts = each.select("source", F.explode(F.transform("taken", lambda r: F.struct(r.alias("run"), cut(r).alias("words")))).alias("p"))
+    blocks = parts.groupBy("p.run.shard", "source", "p.run.pass", "p.run.slot", "p.run.block").agg(
+        F.sum("p.run.n").alias("n_words"),
+        F.array_join(F.sort_array(F.collect_list(F.struct("p.run.start", "p.words")))["words"], " ").alias("text"),
+    )
+    order = F.xxhash64(F.lit(SEED), "shard", "pass", "slot", "source")
+    place = F.row_number().over(Window.partitionBy("shard").orderBy(order, "source", "pass", "slot")) - 1
+    return blocks.select("shard", place.alias("place"), "source", "pass", "block", "n_words", "text")
