@@ -6,7 +6,11 @@ one keyed surrogate of the same type: digits for digits, letters for letters, a
 number where the original is valid, a name of the same gender and script. So all mentions
 of an entity stay recognizable as one. Entities whose surrogates collide with each
 other, or with an entity that really occurs, draw again until none does: different
-entities stay different. Names and addresses get longer with each draw. A mention takes the surrogate in its own notation.
+entities stay different. Names and addresses get longer with each draw. Phone and social security
+numbers can't: where a quarter or more of the numbers of one type, length and first digit occur, these are
+moved by a keyed permutation of all such numbers that leaves none in place. Its results are
+distinct without a redraw, but may be numbers that occur elsewhere. A mention takes the
+surrogate in its own notation.
 
 Defined results: a null or empty text has no entities and stays as it is. Documents without
 entities pass unchanged. Repeated rows are treated alike. Only `doc_id` and `text` are read
@@ -29,6 +33,8 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Señora", "г-жа")
 MALE = ("Mr", "Herr", "Señor", "г-н")
 NEUTRAL = ("Dr", "Prof")
 _TITLES = "|".join((*FEMALE, *MALE, *NEUTRAL))
+# A part of a name: several letters, or fewer with more behind a hyphen or apostrophe.
+_PART = r"\p{Lu}(?:[\p{Ll}\p{Lu}]+|(?=[\-'’]\p{Lu}))(?:[\-'’]\p{Lu}[\p{Ll}\p{Lu}]+)*"
 # In order of precedence where they begin at one place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
@@ -37,7 +43,7 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?|\([0-9]{2,4}\)[ .\-]?)[0-9]{2,4}(?:[ .\-]?[0-9]{2,5}){1,4}(?![0-9])",
     "card": r"(?<![0-9A-Za-z.])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3})(?![0-9A-Za-z])",
     "credential": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,64}(?![0-9A-Za-z])",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}[\p{{Ll}}\p{{Lu}}]+(?: \p{{Lu}}[\p{{Ll}}\p{{Lu}}]+)?",
+    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_PART}(?: {_PART}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _DIGITS = ("ssn", "phone", "card")
@@ -190,14 +196,72 @@ def _surrogate() -> Column:
     return let(_bytes(kind, canon, F.col("attempt")), drawn)
 
 
+# Types whose surrogates can't grow, and the share of all numbers from which they are permuted.
+_FIXED = ("phone", "ssn")
+_DENSE = 0.25
+
+
+def _moved(canon: Column, kind: Column) -> Column:
+    """The number behind the first digit, one step on in a keyed cycle through all of its length.
+
+    Halves of the digits are shifted by a hash of each other in turn, the outcome is raised by
+    one, and the shifts are taken back: a permutation of one single cycle.
+    """
+    k = F.length(canon) - 1
+    power = lambda e: F.pow(F.lit(10.0), e).cast("long")
+    a, b = power(F.floor(k / 2)), power(F.ceil(k / 2))
+    shift = lambda x, i: F.xxhash64(F.lit(KEY), kind, F.length(canon), F.substring(canon, 1, 1), F.lit(i), x)
+
+    def turn(s: Column, i: int, back: bool) -> Column:
+        sign = -1 if back else 1
+        left, right = s["l"], s["r"]
+        if i % 2:
+            left = F.pmod(left + sign * F.pmod(shift(right, i), a), a)
+        else:
+            right = F.pmod(right + sign * F.pmod(shift(left, i), b), b)
+        return F.struct(left.alias("l"), right.alias("r"))
+
+    def turns(s: Column, order: tuple[int, ...], back: bool) -> Column:
+        if not order:
+            return s
+        return let(turn(s, order[0], back), lambda t: turns(t, order[1:], back))
+
+    def halves(x: Column) -> Column:
+        return F.struct(F.pmod(x, a).alias("l"), F.floor(x / a).cast("long").alias("r"))
+
+    whole = lambda s: s["r"] * a + s["l"]
+    number = F.expr("cast(substring(canon, 2) as long)")
+    there = let(turns(halves(number), (1, 2, 3, 4), False), lambda s: F.pmod(whole(s) + 1, a * b))
+    back = let(there, lambda x: turns(halves(x), (4, 3, 2, 1), True))
+    return F.concat(F.substring(canon, 1, 1), let(back, lambda s: F.lpad(whole(s).cast("string"), k, "0")))
+
+
+def _crowded(entities: DataFrame) -> DataFrame:
+    """`(type, length, lead)` of the fixed types that hold too many numbers to draw among."""
+    group = entities.where(F.col("type").isin(*_FIXED) & F.col("canon").rlike("^[0-9]{2,18}$")).groupBy(
+        "type", F.length("canon").alias("length"), F.substring("canon", 1, 1).alias("lead")
+    )
+    return group.count().where(F.col("count") >= _DENSE * F.pow(F.lit(10.0), F.col("length") - 1)).drop("count")
+
+
 def surrogate_table(entities: DataFrame, draw: Column | None = None) -> DataFrame:
     """`(type, canon, surrogate)` for distinct `(type, canon)`, all surrogates distinct and unused.
 
     Of entities that collide the one with the smallest canonical form keeps its surrogate;
-    the others, and those whose surrogate is itself an entity, draw again. `draw` may give
-    another surrogate from `type`, `canon` and `attempt`.
+    the others, and those whose surrogate is itself an entity, draw again. Numbers that crowd
+    their space are permuted instead. `draw` may give another surrogate from `type`, `canon`
+    and `attempt`.
     """
-    draw = _surrogate() if draw is None else draw
+    if draw is None:
+        draw = _surrogate()
+        entities = written(entities.select("type", "canon").distinct(), "entities")
+        # At most one row per type, length up to 18 and digit.
+        crowded = F.broadcast(_crowded(entities))
+        same = ["type", "length", "lead"]
+        keyed = entities.withColumn("length", F.length("canon")).withColumn("lead", F.substring("canon", 1, 1))
+        moved = keyed.join(crowded, same).select("type", "canon", _moved(F.col("canon"), F.col("type")).alias("surrogate"))
+        rest = keyed.join(crowded, same, "left_anti").select("type", "canon")
+        return surrogate_table(rest, draw).unionByName(moved)
     now = written(entities.select("type", "canon").distinct().withColumn("attempt", F.lit(0)).withColumn("surrogate", draw), "surrogates")
     real = now.select("type", F.col("canon").alias("surrogate"))
     while True:
