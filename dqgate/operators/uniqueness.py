@@ -13,11 +13,11 @@ from dqgate.functions.columns import quoted, resolve
 from dqgate.functions.keys import compact_key
 
 
-def _key_names(keys: Sequence[str]) -> list[str]:
+def key_names(keys: Sequence[str]) -> list[str]:
     return [f"_k{i}" for i in range(len(keys))]
 
 
-def _some_part(parts: Sequence[Column]) -> Column:
+def some_part(parts: Sequence[Column]) -> Column:
     return reduce(or_, [p.isNotNull() for p in parts])
 
 
@@ -27,21 +27,21 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Counts are combined within each task first, so a hot key does not travel.
     Keys that are null in every part are not keys and are left out.
     """
-    names = _key_names(keys)
+    names = key_names(keys)
     keyed = df.select(
         *[compact_key(df, resolve(df, k)).alias(n) for k, n in zip(keys, names, strict=True)]
     )
     return (
-        keyed.where(_some_part([F.col(n) for n in names]))
+        keyed.where(some_part([F.col(n) for n in names]))
         .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
 
-def uniqueness_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: `unexpected_rows` (rows of repeated keys) and `unexpected_keys` (repeated keys)."""
+def counted_stats(counts: DataFrame) -> DataFrame:
+    """One row from `n_rows` per key: `unexpected_rows` (rows of repeated keys) and `unexpected_keys` (repeated keys)."""
     repeated = F.col("n_rows") > 1
-    return key_counts(df, keys).agg(
+    return counts.agg(
         F.coalesce(F.sum(F.when(repeated, F.col("n_rows"))), F.lit(0))
         .cast("bigint")
         .alias("unexpected_rows"),
@@ -49,11 +49,16 @@ def uniqueness_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def uniqueness_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: `unexpected_rows` (rows of repeated keys) and `unexpected_keys` (repeated keys)."""
+    return counted_stats(key_counts(df, keys))
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys that occur more than once, with their original values and `n_rows`."""
     cols = [quoted(resolve(df, k)) for k in keys]
     return (
-        df.where(_some_part(cols))
+        df.where(some_part(cols))
         .groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)

@@ -366,6 +366,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is missing."""
+    fs, target = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)

@@ -13,6 +13,7 @@ from dqgate.session import scratch_dir
 from dqgate.sinks import jdbc as warehouse_sink
 from dqgate.operators.metrics import Metric
 from dqgate.sinks import layers
+from dqgate.sinks.key_store import kept_uniqueness_stats, refresh_keys
 from dqgate.sinks.observed import overwrite_observed
 from dqgate.sources import incremental, jdbc
 from dqgate.sources.files import read_path, read_table
@@ -218,6 +219,29 @@ def write_measured(spark, sf_dir):
     return plain(found.select("check_id", "total_rows", "unexpected_rows", F.col("as_of_max").cast("timestamp_ntz").alias("as_of_max")))
 
 
+def _kept_sql(run: int, condition: str, folders: int) -> str:
+    return (
+        f"SELECT {run} AS run, {folders} AS folders_read, CAST(coalesce(sum(n), 0) AS BIGINT) AS unexpected_rows, count(*) AS unexpected_keys "
+        f"FROM (SELECT count(*) AS n FROM lineitem WHERE {condition} GROUP BY l_suppkey, l_shipdate HAVING count(*) > 1)"
+    )
+
+
+@query("unique_kept_counts", _kept_sql(1, "l_returnflag <> 'R'", 2) + " UNION ALL " + _kept_sql(2, "true", 1))
+def unique_kept_counts(spark, sf_dir):
+    """A table gains a folder between two runs; the second reads this one only and finds its repeats in all."""
+    lines = demo.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_returnflag")
+    location, store = scratch_dir(spark, "lines"), scratch_dir(spark, "keys")
+    keys, found = ["l_suppkey", "l_shipdate"], []
+    for run, part in enumerate(["l_returnflag <> 'R'", "l_returnflag = 'R'"], 1):
+        layers.append(lines.where(part), location, partition_by=["l_returnflag"])
+        folders = refresh_keys(spark, location, keys, store)
+        stats = kept_uniqueness_stats(spark, location, keys, store)
+        measured = scratch_dir(spark, "stats")
+        layers.overwrite(stats.select(F.lit(run).alias("run"), F.lit(len(folders)).alias("folders_read"), "*"), measured)
+        found.append(read_path(spark, measured))
+    return found[0].unionByName(found[1])
+
+
 @query(
     "incremental_upsert_stream",
     "SELECT event_id, ts, user_id, CASE WHEN ts > TIMESTAMP '2024-01-10 00:00:00' THEN value END AS value FROM events",
