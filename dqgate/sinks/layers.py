@@ -393,6 +393,15 @@ def take_place(spark: SparkSession, stage: str, location: str) -> None:
     spark.catalog.refreshByPath(location)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file or folder; what is above the target is made."""
+    fs, old = _file_system(spark, path)
+    _, new = _file_system(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Leave an empty file that says that something is done."""
     fs, target = _file_system(spark, path)

@@ -303,6 +303,18 @@ def append_history(spark, sf_dir):
     return history_store.read_history(spark, location)
 
 
+@query("history_compacted", _HISTORY_SQL)
+def history_compacted(spark, sf_dir):
+    """Runs of which one is repeated after its days were packed: each row is there once."""
+    rows = event_history(spark, sf_dir)
+    location = scratch_dir(spark, "history")
+    for run in range(3):
+        history_store.append_history(rows.where(F.col("JOB_ID") % 3 == run), location, f"run {run}")
+    history_store.compact_history(spark, location, least_writes=2)
+    history_store.append_history(rows.where("JOB_ID % 3 = 1"), location, "run 1")
+    return history_store.read_history(spark, location)
+
+
 @query(
     "history_purge",
     f"SELECT * FROM ({_HISTORY_SQL}) WHERE \"CRTD_TM\" >= TIMESTAMP '2024-02-20 12:00:00' - INTERVAL 35 DAY",
