@@ -17,13 +17,15 @@ its own band and the one below.
   no more than the sets do) rule the similarity out. They are verified on their whole texts, in rounds: first
   neighbours that share their least shingle, then one pair for each text and group that hangs
   together so far, then all pairs not yet together. So a large group of copies costs rows in
-  proportion to its size. Buckets of more than `WIDE` texts are only looked at as a whole once
-  that is done, in blocks of `BLOCK`: only pairs that still don't hang together are left.
+  proportion to its size. Buckets of more than `WIDE` texts give their entries and neighbours by
+  size, and are only looked at as a whole once that is done, in blocks of `BLOCK`: first the
+  closest partner of each text by its sketch, then all pairs that still don't hang together.
 
 Texts stay where they are, but for those that a candidate pair asks for (a Bloom filter of fixed
 size picks these from the scan). Signatures are shuffled packed, about eight bytes each. A task
 holds `PART_ENTRIES` of them; of a subset that one batch of texts shares often, only `OFTEN` go
-that way and all go as rows, so no bucket is held as a whole.
+that way and all go as rows, so no bucket is held as a whole. Those `OFTEN` say so, and such a
+bucket is a wide one however few of its entries came packed: nothing is lost.
 
 A text is named by 128 bits of its SHA-256, a shingle by 64 bits; hashes of subsets only make
 candidates, which are then compared.
@@ -38,7 +40,7 @@ Long texts are held one batch at a time (`CHUNK_SHINGLES`, or one text that alon
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -60,10 +62,10 @@ DELETING = 32
 LEAST = 3
 CHUNK_SHINGLES, CHUNK_TEXTS = 1 << 20, 1 << 12
 PART_ENTRIES = 1 << 22
-OFTEN, WIDE = 64, 256
+OFTEN, WIDE = 64, 32
 # Shingles for each counter of a sketch that is sent along, and of one kept for later, at most;
 # and the least number of counters.
-COUNTED, FINE, COUNTERS = 4, 2, 16
+COUNTED, FINE, COUNTERS = 4, 1, 16
 BLOOM_BITS = 1 << 26
 BLOCK = 1 << 13
 # Times that one pair for each group is verified before all that are left.
@@ -74,6 +76,9 @@ _M = tuple(_U(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB8665
 # What an entry does under its key: stands there with its subset, asks for such, asks for
 # subsets less one, stands there with its subset less one, asks for whole ones with it.
 _IS, _ASKS, _ASKS_LESS, _IS_LESS, _LESS_ASKS = 1, 2, 4, 8, 16
+_ASKING = _ASKS | _ASKS_LESS | _LESS_ASKS
+# Of its key more entries went as rows than came packed; one of those rows asks.
+_CROWD, _CROWD_ASKS = 32, 64
 
 
 # What it costs to meet a subset of 0, 1, 2, ... shingles that no other text here holds: small
@@ -154,18 +159,20 @@ class _Sketches:
             out[here] = whole if own == n else whole[:, ::2] + whole[:, 1::2]
         return out
 
-    def may_be_alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the sketches of sets `a` and `b`, whose sizes allow it, leave room for the similarity."""
-        ok = np.zeros(len(a), bool)
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many shingles sets `a` and `b`, whose sizes allow the similarity, differ at least."""
+        out = np.empty(len(a), np.int64)
         least = np.minimum(self.n[a], self.n[b])
-        most = (self.size[a].astype(np.int64) + self.size[b]) // NINTH
         for n in np.unique(least).tolist():
             here = np.flatnonzero(least == n)
             for k in range(0, len(here), step := max(1, (1 << 19) // n)):
                 at = here[k : k + step]
-                apart = np.abs(self.rows(a[at], n) - self.rows(b[at], n)).sum(axis=1, dtype=np.int64)
-                ok[at] = apart <= most[at]
-        return ok
+                out[at] = np.abs(self.rows(a[at], n) - self.rows(b[at], n)).sum(axis=1, dtype=np.int64)
+        return out
+
+    def may_be_alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the sketches leave room for the similarity."""
+        return self.apart(a, b) <= (self.size[a].astype(np.int64) + self.size[b]) // NINTH
 
 
 # ---- signatures --------------------------------------------------------------
@@ -262,7 +269,8 @@ def _packed(nodes: list[bytes], sets: list[np.ndarray], parts: int) -> Iterator[
     names = np.frombuffer(b"".join(nodes), np.uint8).reshape(-1, 16)
     size = np.array([len(s) for s in sets], np.int32)
     sketches = [sketch(s) for s in sets]
-    # Of a key that stands here often, all entries go as rows of their own, and some packed to tell.
+    # Of a key that stands here often, all entries go as rows of their own, and some packed to tell:
+    # without their mark a bucket that other batches fill sparsely would look small and whole.
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     first = np.searchsorted(sorted_key, sorted_key)
@@ -274,6 +282,9 @@ def _packed(nodes: list[bytes], sets: list[np.ndarray], parts: int) -> Iterator[
         blank = [pa.nulls(len(often), pa.binary())] * 7
         spread = pa.array((of[often] % parts).astype(np.int32))
         yield pa.RecordBatch.from_arrays([spread, *blank, pa.array(rows[0]), pa.array(rows[1], pa.binary()), pa.array(rows[2]), pa.array(rows[3])], schema=_SENT)
+        heads = np.flatnonzero(rank == 0)
+        asked = np.repeat(np.bitwise_or.reduceat(flags[order], heads), np.diff(np.append(heads, len(key)))) & _ASKING > 0
+        flags[often] |= np.where(asked[crowd > OFTEN], _CROWD | _CROWD_ASKS, _CROWD)
         kept = order[rank < OFTEN]
         key, of, flags, part = key[kept], of[kept], flags[kept], part[kept]
     order = np.lexsort((of, part))
@@ -372,7 +383,7 @@ def _candidates(blobs: list[dict], wide: int) -> Iterator[pa.RecordBatch]:
         bucket = _bucket(part, key)
         for j in range(0, len(key), 1 << 16):
             i = slice(j, j + (1 << 16))
-            own = [pa.array(bucket[i]), text(who[i]), pa.array(size[who[i]].astype(np.int32)), pa.array(flag[i].astype(np.int32))]
+            own = [pa.array(bucket[i]), text(who[i]), pa.array(size[who[i]].astype(np.int32)), pa.array((flag[i] & (_CROWD - 1)).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*nothing(len(own[0]), _MET.types[:2]), *own], schema=_MET)
     pairs = np.unique(np.concatenate(met))
     for k in range(0, len(pairs), 1 << 16):
@@ -395,8 +406,10 @@ def _slice(
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     count = np.diff(np.append(first, len(key)))
     seen = np.bitwise_or.reduceat(flags, first)
-    useful = (count > 1) & (_asks(seen, seen) | (count > wide))
-    crowd = np.repeat(np.where(useful, count, 0), count)
+    # Marked entries stand for others that are not here: such buckets are wide, and any that ask count.
+    marked = (seen & _CROWD) > 0
+    useful = ((count > 1) & _asks(seen, seen)) | (marked & ((seen & (_ASKING | _CROWD_ASKS)) > 0))
+    crowd = np.repeat(np.where(useful, np.where(marked, np.maximum(count, wide + 1), count), 0), count)
     keep = crowd > 0
     key, node, flags, crowd = key[keep], node[keep], flags[keep], crowd[keep]
     left, right = [], []
@@ -476,7 +489,7 @@ def _in_bloom(spark: SparkSession, ends: DataFrame):
                 word = at >> 5
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.int64(1) << (at & 31))], names=["word", "bits"])
 
-    words = ends.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = ends.distinct().mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     bloom = np.zeros(BLOOM_BITS // 32, np.uint32)
     bloom[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
     sent = spark.sparkContext.broadcast(bloom)
@@ -505,7 +518,8 @@ def _closer(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Those of the distinct `pairs (a, b)` whose fine sketches allow the similarity."""
     sketches = members.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("s"))
     of = lambda end: sketches.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("s").alias(f"s{end}")).hint("merge")
-    return pairs.join(of("b"), "b").join(of("a"), "a").mapInArrow(_close, "a binary, b binary")
+    both = pairs.join(of("b"), "b").join(of("a"), "a").where(PART * F.greatest("na", "nb") <= WHOLE * F.least("na", "nb"))
+    return both.mapInArrow(_close, "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -537,43 +551,59 @@ def _some(pairs: DataFrame, turn: int) -> DataFrame:
     return pairs.groupBy("ra").agg(first).select("p.a", "p.b").union(pairs.groupBy("rb").agg(first).select("p.a", "p.b")).distinct()
 
 
-def _crossing(entries: DataFrame, roots: DataFrame | None, members: DataFrame) -> DataFrame:
+def _crossing(entries: DataFrame, roots: DataFrame | None, members: DataFrame, closest: bool) -> DataFrame:
     """Pairs of wide buckets that don't hang together and that their sketches allow.
 
     A bucket is dealt to blocks of about `BLOCK` entries, and tasks compare one block with one.
-    Buckets whose texts all hang together are done.
+    Buckets whose texts all hang together, or that nobody asks for, are done. With `closest`, a
+    text gives one pair for each block that it is compared with.
     """
     placed = written(_rooted(entries, roots, "node", "root"), "open")
-    main = placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
-    several = placed.join(main.where("least <> most").select("bucket", "n").hint("merge"), "bucket")
+    main = placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.bit_or("flag").alias("all"), F.count("*").alias("n"))
+    left = main.where((F.col("least") != F.col("most")) & (F.col("all").bitwiseAND(F.lit(_ASKING)) > 0))
+    several = placed.join(left.select("bucket", "n").hint("merge"), "bucket")
     sketches = members.select("node", "sketch").distinct()
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     dealt = several.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     told = dealt.join(sketches.hint("merge"), "node").select("bucket", "low", "high", "block", "node", "size", "flag", "root", "sketch")
-    return told.groupBy("bucket", "low", "high").applyInArrow(_met_apart, "a binary, b binary").distinct()
+    return told.groupBy("bucket", "low", "high").applyInArrow(_met_apart(closest), "a binary, b binary").distinct()
+
+
+def _met_apart(closest: bool):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("size", "ascending"), ("node", "ascending")])
+        size, flag, block = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "flag", "block"))
+        root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        told = _Sketches(size, np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8), FINE)
+        reach = np.searchsorted(size, WHOLE * size // PART, side="right")
+        left, right = [], []
+        for k in range(0, len(size), step := max(1, (1 << 16) // len(size))):
+            some = np.arange(k, min(k + step, len(size)))
+            many = reach[some] - some - 1
+            i = np.repeat(some, many)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+            open_ = (root[j] != root[i]) & (same | (block[j] != block[i]))
+            i, j = i[open_], j[open_]
+            asks = _asks(flag[j], flag[i]) | ((size[j] == size[i]) & _asks(flag[i], flag[j]))
+            i, j = i[asks], j[asks]
+            apart = told.apart(i, j)
+            ok = apart <= (size[i] + size[j]) // NINTH
+            i, j, apart = i[ok], j[ok], apart[ok]
+            if closest and len(i):
+                order = np.lexsort((apart, i))
+                i, j = i[order], j[order]
+                first = np.append(True, i[1:] != i[:-1])
+                i, j = i[first], j[first]
+            left.append(i)
+            right.append(j)
+        at = [pa.array(np.concatenate(v)) for v in (left, right)]
+        first, second = (table.column("node").combine_chunks().take(v) for v in at)
+        less = pa.compute.less(first, second)
+        return pa.table({"a": pa.compute.if_else(less, first, second), "b": pa.compute.if_else(less, second, first)})
 
-
-def _met_apart(table: pa.Table) -> pa.Table:
-    table = table.sort_by([("size", "ascending"), ("node", "ascending")])
-    size, flag, block = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "flag", "block"))
-    root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-    same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
-    told = _Sketches(size, np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8), FINE)
-    reach = np.searchsorted(size, WHOLE * size // PART, side="right")
-    left, right = [], []
-    for i in range(len(size)):
-        j = np.arange(i + 1, reach[i])
-        j = j[(root[j] != root[i]) & (same | (block[j] != block[i]))]
-        asks = _asks(flag[j], flag[i]) | ((size[j] == size[i]) & _asks(flag[i], flag[j]))
-        j = j[asks]
-        j = j[told.may_be_alike(np.full(len(j), i), j)] if len(j) else j
-        left.append(np.full(len(j), i))
-        right.append(j)
-    at = [pa.array(np.concatenate(v)) for v in (left, right)]
-    first, second = (table.column("node").combine_chunks().take(v) for v in at)
-    less = pa.compute.less(first, second)
-    return pa.table({"a": pa.compute.if_else(less, first, second), "b": pa.compute.if_else(less, second, first)})
+    return run
 
 
 # ---- documents ---------------------------------------------------------------
@@ -610,10 +640,13 @@ def node_of(text: F.Column) -> F.Column:
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def groups(docs: DataFrame, text: str = "text", wide: int = WIDE, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+def groups(
+    docs: DataFrame, text: str = "text", wide: int = WIDE, parts: int | None = None, first: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """`(doc_id, node, n_shingles)` of all rows, and `(node, root)` of the texts that hang together.
 
-    A node is a text; nodes without a root are linked to no other text.
+    A node is a text; nodes without a root are linked to no other text. `first` may give distinct
+    pairs `(a, b)` of `texts (node, text)` from another method, which are verified before all others.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("node", node_of(F.coalesce("text", F.lit(""))))
@@ -625,20 +658,23 @@ def groups(docs: DataFrame, text: str = "text", wide: int = WIDE, parts: int | N
     links: DataFrame | None = None
     roots: DataFrame | None = None
 
-    def linked(pairs: DataFrame) -> DataFrame | None:
-        nonlocal links
+    def link(pairs: DataFrame) -> bool:
+        """Adds those of the distinct `pairs` that are alike; whether there were any pairs."""
+        nonlocal links, roots
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
-            return roots
+            return False
         found = _verified(pairs, texts)
-        if found.isEmpty():
-            return roots
-        links = found if links is None else links.unionByName(found)
-        return connected_components(links)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = connected_components(links)
+        return True
 
+    if first is not None:
+        link(_closer(first(texts), members))
     distinct = members.where("least IS NOT NULL").select("least", "n_shingles", "node").distinct()
     lined = distinct.repartitionByRange("least", "n_shingles", "node").sortWithinPartitions("least", "n_shingles", "node")
-    roots = linked(_closer(lined.mapInArrow(_in_order, "a binary, b binary"), members))
+    link(_closer(lined.mapInArrow(_in_order, "a binary, b binary"), members))
     met = _candidate_table(texts, parts, wide)
     # At first each text stands for itself: few of these pairs hang together yet.
     pairs = met.where("a IS NOT NULL").select("a", "b").distinct().withColumn("ra", F.col("a")).withColumn("rb", F.col("b"))
@@ -647,10 +683,13 @@ def groups(docs: DataFrame, text: str = "text", wide: int = WIDE, parts: int | N
         n, picked = pairs.count(), written(_some(pairs, turn), "picked")
         if n <= 2 * picked.count():
             break
-        roots = linked(_closer(picked, members))
+        link(_closer(picked, members))
         pairs = written(_apart(pairs.select("a", "b"), roots), "pairs")
-    roots = linked(_closer(pairs.select("a", "b"), members))
-    roots = linked(_crossing(met.where("bucket IS NOT NULL").select("bucket", "node", "size", "flag").distinct(), roots, members))
+    link(_closer(pairs.select("a", "b"), members))
+    wide_ones = met.where("bucket IS NOT NULL").select("bucket", "node", "size", "flag").distinct()
+    for closest in (True, False):
+        if not link(_crossing(wide_ones, roots, members, closest)):
+            break
     if roots is None:
         roots = members.where("false").select("node", F.col("node").alias("root"))
     return members.select("doc_id", "node", "n_shingles"), roots
@@ -668,7 +707,7 @@ def linked_documents(docs: DataFrame, text: str = "text", **options: int) -> Dat
     return full.unionByName(alone).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **options: int) -> DataFrame:
+def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One document of each group of near copies stays; columns as given.
 
     It is the one with the smallest `doc_id`, rows without one being last, and of several the one

@@ -123,3 +123,32 @@ def test_nulls_copies_long_texts_and_clashing_columns(spark):
 def test_query_gives_every_row(spark, sf_dir):
     got = QUERIES["op13_jaccard_join"](spark, sf_dir)
     assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_entries_beyond_the_packed_ones_meet_other_batches():
+    """A subset that stands often in one batch and seldom in another: all of its entries are there as rows."""
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(1, 1 << 63, 400, dtype=np.uint64))
+    copy = lambda: np.unique(np.append(base[:-1], rng.integers(1, 1 << 63, 1, dtype=np.uint64)))
+    often, seldom = [copy() for _ in range(jaccard_join.OFTEN + 40)], [copy() for _ in range(3)]
+    name = lambda k: k.to_bytes(16, "big")
+    batches = [list(jaccard_join._packed([name(k) for k in ks], sets, 1)) for ks, sets in ((range(104), often), (range(200, 203), seldom))]
+    met = list(jaccard_join._met(jaccard_join.WIDE)(batch for some in batches for batch in some))
+    in_bucket, asked = {}, {}
+    for row in (r for batch in met for r in batch.to_pylist() if r["bucket"] is not None):
+        in_bucket.setdefault(row["bucket"], set()).add(int.from_bytes(row["node"], "big"))
+        asked[row["bucket"]] = asked.get(row["bucket"], 0) | row["flag"]
+    crowded = [nodes for k, nodes in in_bucket.items() if len(nodes & set(range(104))) > jaccard_join.OFTEN and asked[k] & jaccard_join._ASKING]
+    assert crowded and all(nodes & {200, 201, 202} for nodes in crowded)
+
+
+def test_rows_of_a_large_group_grow_with_its_size():
+    """Four times the near copies in a bucket give about four times the rows, not sixteen times."""
+    rng = np.random.default_rng(9)
+    base = np.unique(rng.integers(1, 1 << 63, 300, dtype=np.uint64))
+    rows = []
+    for n in (60, 240):
+        sets = [np.unique(np.append(base[:-1], rng.integers(1, 1 << 63, 1, dtype=np.uint64))) for _ in range(n)]
+        packed = [b for k in range(0, n, 60) for b in jaccard_join._packed([i.to_bytes(16, "big") for i in range(k, k + 60)], sets[k : k + 60], 1)]
+        rows.append(sum(b.num_rows for b in jaccard_join._met(jaccard_join.WIDE)(iter(packed))))
+    assert rows[1] < 6 * rows[0]
