@@ -5,10 +5,8 @@ or at least `LONG` characters; a word may hold several. Three or more long parts
 dots are one run. What is assigned to a name such as password or token is a candidate from
 `SHORT` characters on if it has a letter and a digit, whatever its other characters. The forest sees its length, changes between kinds of
 characters, how much of it a dictionary covers, whether it lies in a path, and the words
-around it. It is trained on labelled findings: at most `MAX_LABELLED` of either label, those
-with the smallest hashes, plus a few made examples, so both labels always occur. The
-dictionary, at most `MAX_WORDS` frequent words, comes from the documents of the labelled
-sample. Everything else covers all documents.
+around it. It is trained on all labelled findings, plus a few made examples, so both labels
+always occur. The dictionary, the `MAX_WORDS` most frequent words, is counted over all documents.
 
 Where no labels are given, findings label themselves where the case is plain: a mixed
 value assigned to a name such as token or password is a secret; plain numbers, plain
@@ -42,8 +40,9 @@ SHORT = 6
 _KEYED = "(?i)(?:token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth(?!or)|credential)[A-Za-z0-9_.\\-]*[\"']?"
 _SIGN = "(?:=>|:=|={1,3}|:)[\"'`]?"
 _SHORT_VALUE = rf"""([^\s"'`,;<>(){{}}\[\]=:][^\s"'`,;<>(){{}}\[\]]{{{SHORT - 2},}}[^\s"'`,;<>(){{}}\[\].?])"""
-MAX_LABELLED = 5_000
 MAX_WORDS = 200
+# Findings for each task that the forest is trained in.
+TRAINED = 20_000
 TREES, DEPTH, SEED = 20, 6, 7
 MASK = "[SECRET]"
 # A name in the word itself and the sign after it.
@@ -186,33 +185,25 @@ def _made_examples(spark: SparkSession) -> DataFrame:
     return good.unionByName(short).unionByName(bad)
 
 
-def _sample(labelled: DataFrame) -> DataFrame:
-    """At most `MAX_LABELLED` findings of either label, by hash."""
-    order = F.xxhash64("value", "word", "before", "name", "doc_id", "digest", "word_index", "run_index")
-    either = [labelled.where(F.col("label") == x).orderBy(order).limit(MAX_LABELLED) for x in (1.0, 0.0)]
-    return written(either[0].unionByName(either[1]), "labelled")
-
-
-def dictionary(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """Frequent plain words of the sample's documents."""
-    ids = sample.select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")  # at most 2 * MAX_LABELLED ids
-    plain = texts.select(F.explode(words(F.col("text"))).alias("w")).where(F.col("w").rlike("^[a-z]{3,8}$"))
+def dictionary(docs: DataFrame) -> list[str]:
+    """The most frequent plain words of all documents."""
+    plain = docs.select(F.explode(words(F.col("text"))).alias("w")).where(F.col("w").rlike("^[a-z]{3,8}$"))
     return [r.w for r in plain.groupBy("w").count().orderBy(F.desc("count"), "w").limit(MAX_WORDS).collect()]
 
 
 def train(docs: DataFrame, labelled: DataFrame) -> tuple[RandomForestClassificationModel, list[str]]:
     """The forest and its dictionary; `labelled` has the columns of `candidates` and `label`."""
-    sample = _sample(labelled.where("label IS NOT NULL"))
-    known = dictionary(docs, sample)
     columns = ["value", "word", "before", "name", "label"]
-    rows = features(sample.select(columns).unionByName(_made_examples(docs.sparkSession)), known)
-    inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows).select("x", "label")
+    given = written(labelled.where("label IS NOT NULL").select(columns), "labelled")
+    known = dictionary(docs)
+    rows = features(given.unionByName(_made_examples(docs.sparkSession)), known)
+    # The same rows in the same order for each task give the same forest in every run.
+    dealt = rows.repartition(-(-(given.count() + 1) // TRAINED), *columns).sortWithinPartitions(*columns)
+    inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(dealt).select("x", "label")
     forest = RandomForestClassifier(
         featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt"
     )
-    # The rows are bounded; as one partition they give the same forest in every run.
-    return forest.fit(inputs.coalesce(1)), known
+    return forest.fit(inputs), known
 
 
 def classify(found: DataFrame, model: RandomForestClassificationModel, known: list[str]) -> DataFrame:

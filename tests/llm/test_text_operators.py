@@ -116,6 +116,12 @@ def test_every_run_of_a_word_is_seen(spark):
     assert masked[2] == f"Bearer {secret_scan.MASK} sent" and masked[6] == texts[6]
 
 
+def test_dictionary_is_counted_over_all_documents(spark):
+    docs = documents(spark, f"token = {KEY} and so on", *["plenty of common words"] * 3)
+    _, known = secret_scan.train(docs, secret_scan.weak_labels(secret_scan.candidates(docs)))
+    assert known[:3] == ["common", "plenty", "words"] and "and" in known
+
+
 # ---- surrogates --------------------------------------------------------------
 
 
