@@ -213,6 +213,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(written(classes, "classes"), "fp").select("doc_id", "fp", "component_id")
 
 
+def near_pairs(texts: DataFrame) -> DataFrame:
+    """Distinct pairs `(a, b)` of `texts (node, text)`: equal fingerprints, and those that the trees link."""
+    prints = texts.select(F.col("node").alias("doc_id"), "text").mapInArrow(_fingerprints, "doc_id binary, fp long")
+    prints = written(prints.distinct(), "fingerprints")
+    firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    equal = prints.join(firsts.hint("merge"), "fp").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    of = lambda end: firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")).hint("merge")
+    found = links(firsts.select("fp")).join(of("a"), "a").join(of("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    both = equal.unionByName(found).where("a <> b")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group stays: that with the smallest `doc_id`; columns as given.
 

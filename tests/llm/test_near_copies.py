@@ -87,3 +87,18 @@ def test_rows_with_one_id_and_unlike_texts_both_stay(spark):
     kept = jaccard_join.keep_one(documents(spark, rows))
     assert sorted(r.text for r in kept.collect()) == ["and one quite unlike it today", "one text of its own here", "x y"]
     assert jaccard_join.keep_one(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_stage_takes_pairs_from_the_trees(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(base).upper(), "quite another text", None]
+    docs = documents(spark, [(4, texts[0]), (2, texts[1]), (9, texts[2]), (7, texts[3])])
+    asked, pairs = [], simhash.near_pairs
+
+    def told(found):
+        asked.append(pairs(found).count())
+        return pairs(found)
+
+    monkeypatch.setattr(simhash, "near_pairs", told)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert asked == [1] and sorted(r.doc_id for r in kept) == [2, 7, 9]
