@@ -65,7 +65,7 @@ PART_ENTRIES = 1 << 22
 OFTEN, WIDE = 64, 32
 # Shingles for each counter of a sketch that is sent along, and of one kept for later, at most;
 # and the least number of counters.
-COUNTED, FINE, COUNTERS = 4, 1, 16
+COUNTED, FINE, COUNTERS = 4, 2, 16
 BLOOM_BITS = 1 << 26
 BLOCK = 1 << 13
 # Times that one pair for each group is verified before all that are left.
@@ -551,17 +551,20 @@ def _some(pairs: DataFrame, turn: int) -> DataFrame:
     return pairs.groupBy("ra").agg(first).select("p.a", "p.b").union(pairs.groupBy("rb").agg(first).select("p.a", "p.b")).distinct()
 
 
-def _crossing(entries: DataFrame, roots: DataFrame | None, members: DataFrame, closest: bool) -> DataFrame:
-    """Pairs of wide buckets that don't hang together and that their sketches allow.
-
-    A bucket is dealt to blocks of about `BLOCK` entries, and tasks compare one block with one.
-    Buckets whose texts all hang together, or that nobody asks for, are done. With `closest`, a
-    text gives one pair for each block that it is compared with.
-    """
+def _open(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Entries of buckets whose texts don't all hang together and that somebody asks for, with `root` and the bucket's number `n`."""
     placed = written(_rooted(entries, roots, "node", "root"), "open")
     main = placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.bit_or("flag").alias("all"), F.count("*").alias("n"))
     left = main.where((F.col("least") != F.col("most")) & (F.col("all").bitwiseAND(F.lit(_ASKING)) > 0))
-    several = placed.join(left.select("bucket", "n").hint("merge"), "bucket")
+    return written(placed.join(left.select("bucket", "n").hint("merge"), "bucket"), "open")
+
+
+def _crossing(several: DataFrame, members: DataFrame, closest: bool) -> DataFrame:
+    """Pairs of open wide buckets that don't hang together and that their sketches allow.
+
+    A bucket is dealt to blocks of about `BLOCK` entries, and tasks compare one block with one.
+    With `closest`, a text gives one pair for each block that it is compared with.
+    """
     sketches = members.select("node", "sketch").distinct()
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     dealt = several.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -688,7 +691,8 @@ def groups(
     link(_closer(pairs.select("a", "b"), members))
     wide_ones = met.where("bucket IS NOT NULL").select("bucket", "node", "size", "flag").distinct()
     for closest in (True, False):
-        if not link(_crossing(wide_ones, roots, members, closest)):
+        wide_ones = _open(wide_ones.select("bucket", "node", "size", "flag"), roots)
+        if not link(_crossing(wide_ones, members, closest)):
             break
     if roots is None:
         roots = members.where("false").select("node", F.col("node").alias("root"))
