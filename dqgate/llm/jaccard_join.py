@@ -559,27 +559,40 @@ def _open(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
     return written(placed.join(left.select("bucket", "n").hint("merge"), "bucket"), "open")
 
 
-def _crossing(several: DataFrame, members: DataFrame, closest: bool) -> DataFrame:
+def _near_entries(near: DataFrame, members: DataFrame) -> DataFrame:
+    """All texts of the buckets of `near (a, b, fa, fb, bucket)` as entries that ask for each other, with their `fp`."""
+    shared = near.select("bucket", F.col("fa").alias("fp")).union(near.select("bucket", "fb")).distinct()
+    ends = near.select(F.col("a").alias("node"), F.col("fa").alias("fp")).union(near.select("b", "fb")).distinct()
+    sizes = members.where("n_shingles > 0").select("node", F.col("n_shingles").cast("int").alias("size")).distinct()
+    inside = ends.join(sizes.hint("merge"), "node").join(shared.hint("merge"), "fp")
+    return inside.select("bucket", "node", "size", F.lit(_IS | _ASKS).alias("flag"), "fp")
+
+
+def _crossing(several: DataFrame, members: DataFrame, closest: bool, radius: int | None = None) -> DataFrame:
     """Pairs of open wide buckets that don't hang together and that their sketches allow.
 
     A bucket is dealt to blocks of about `BLOCK` entries, and tasks compare one block with one.
-    With `closest`, a text gives one pair for each block that it is compared with.
+    With `closest`, a text gives one pair for each block that it is compared with. With a
+    `radius`, entries may have a fingerprint `fp`, and those of a pair differ in no more bits.
     """
     sketches = members.select("node", "sketch").distinct()
+    own = ["bucket", "low", "high", "block", "node", "size", "flag", "root", "sketch", *([] if radius is None else ["fp"])]
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     dealt = several.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    told = dealt.join(sketches.hint("merge"), "node").select("bucket", "low", "high", "block", "node", "size", "flag", "root", "sketch")
-    return told.groupBy("bucket", "low", "high").applyInArrow(_met_apart(closest), "a binary, b binary").distinct()
+    told = dealt.join(sketches.hint("merge"), "node").select(*own)
+    return told.groupBy("bucket", "low", "high").applyInArrow(_met_apart(closest, radius), "a binary, b binary").distinct()
 
 
-def _met_apart(closest: bool):
+def _met_apart(closest: bool, radius: int | None):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("size", "ascending"), ("node", "ascending")])
         size, flag, block = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "flag", "block"))
         root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
         same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
         told = _Sketches(size, np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8), FINE)
+        if radius is not None:
+            prints, known = table.column("fp").fill_null(0).to_numpy().view(_U), table.column("fp").is_valid().to_numpy()
         reach = np.searchsorted(size, WHOLE * size // PART, side="right")
         left, right = [], []
         for k in range(0, len(size), step := max(1, (1 << 16) // len(size))):
@@ -591,6 +604,9 @@ def _met_apart(closest: bool):
             i, j = i[open_], j[open_]
             asks = _asks(flag[j], flag[i]) | ((size[j] == size[i]) & _asks(flag[i], flag[j]))
             i, j = i[asks], j[asks]
+            if radius is not None:
+                within = (np.bitwise_count(prints[i] ^ prints[j]) <= radius) | ~(known[i] & known[j])
+                i, j = i[within], j[within]
             apart = told.apart(i, j)
             ok = apart <= (size[i] + size[j]) // NINTH
             i, j, apart = i[ok], j[ok], apart[ok]
@@ -644,12 +660,14 @@ def node_of(text: F.Column) -> F.Column:
 
 
 def groups(
-    docs: DataFrame, text: str = "text", wide: int = WIDE, parts: int | None = None, first: Callable[[DataFrame], DataFrame] | None = None
+    docs: DataFrame, text: str = "text", wide: int = WIDE, parts: int | None = None, first: Callable[[DataFrame], DataFrame] | None = None, radius: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """`(doc_id, node, n_shingles)` of all rows, and `(node, root)` of the texts that hang together.
 
     A node is a text; nodes without a root are linked to no other text. `first` may give distinct
-    pairs `(a, b)` of `texts (node, text)` from another method, which are verified before all others.
+    links `(a, b, fa, fb, bucket)` of `texts (node, text)` from another method, with fingerprints. They
+    are verified before all others; of texts with a fingerprint in one bucket, all pairs within
+    `radius` bits count that don't hang together in the end.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("node", node_of(F.coalesce("text", F.lit(""))))
@@ -673,11 +691,13 @@ def groups(
             roots = connected_components(links)
         return True
 
-    if first is not None:
-        link(_closer(first(texts), members))
     distinct = members.where("least IS NOT NULL").select("least", "n_shingles", "node").distinct()
     lined = distinct.repartitionByRange("least", "n_shingles", "node").sortWithinPartitions("least", "n_shingles", "node")
-    link(_closer(lined.mapInArrow(_in_order, "a binary, b binary"), members))
+    pairs = lined.mapInArrow(_in_order, "a binary, b binary")
+    if first is not None:
+        near = written(first(texts), "near")
+        pairs = pairs.unionByName(near.select("a", "b")).distinct()
+    link(_closer(pairs, members))
     met = _candidate_table(texts, parts, wide)
     # At first each text stands for itself: few of these pairs hang together yet.
     pairs = met.where("a IS NOT NULL").select("a", "b").distinct().withColumn("ra", F.col("a")).withColumn("rb", F.col("b"))
@@ -690,9 +710,11 @@ def groups(
         pairs = written(_apart(pairs.select("a", "b"), roots), "pairs")
     link(_closer(pairs.select("a", "b"), members))
     wide_ones = met.where("bucket IS NOT NULL").select("bucket", "node", "size", "flag").distinct()
+    if first is not None:
+        wide_ones = wide_ones.withColumn("fp", F.lit(None).cast("long")).unionByName(_near_entries(near, members))
     for closest in (True, False):
-        wide_ones = _open(wide_ones.select("bucket", "node", "size", "flag"), roots)
-        if not link(_crossing(wide_ones, members, closest)):
+        wide_ones = _open(wide_ones.drop("root", "n"), roots)
+        if not link(_crossing(wide_ones, members, closest, radius)):
             break
     if roots is None:
         roots = members.where("false").select("node", F.col("node").alias("root"))

@@ -19,7 +19,7 @@ linked like any other. Rows are kept as they are: repeated rows appear repeatedl
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -152,9 +152,9 @@ class BKTree:
             node, children = children[d]
 
 
-def linked(members: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
-    """`(member, smallest member it hangs together with)` for all but the smallest ones."""
-    root = {}
+def _hung_together(members: list[int], radius: int) -> tuple[Callable[[int], int], list[tuple[int, int]]]:
+    """What gives a member's smallest one, and the links that made them hang together."""
+    root, taken = {}, []
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -167,39 +167,61 @@ def linked(members: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
         root[fp] = fp
         for other in tree.near(fp, radius):
             a, b = find(fp), find(other)
-            root[max(a, b)] = min(a, b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                taken.append((fp, other))
         tree.add(fp)
+    return find, taken
+
+
+def linked(members: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
+    """`(member, smallest member it hangs together with)` for all but the smallest ones."""
+    find, _ = _hung_together(members, radius)
     return [(x, r) for x in members if (r := find(x)) != x]
 
 
-def _tree_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def near_members(members: list[int], radius: int = RADIUS) -> list[tuple[int, int, int]]:
+    """Pairs of members within the radius, as many as make all hang together that do by some, and their smallest one."""
+    find, taken = _hung_together(members, radius)
+    return [(a, b, find(a)) for a, b in taken]
+
+
+def _tree_links(of: Callable[[list[int]], list[tuple]], names: list[str]):
     """Links within each shard; the rows of a shard follow one another."""
-    key, members = None, []
 
-    def out() -> Iterator[pa.RecordBatch]:
-        if len(members) > 1 and (pairs := linked([m & (1 << 64) - 1 for m in members])):
-            ends = np.array(pairs, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, []
 
-    for batch in batches:
-        path, bits, fp = (batch.column(k).to_numpy() for k in ("path", "bits", "fp"))
-        if not len(fp):
-            continue
-        cuts = np.flatnonzero((path[1:] != path[:-1]) | (bits[1:] != bits[:-1])) + 1
-        starts, ends = np.append(0, cuts), np.append(cuts, len(fp))
-        for k, (i, j) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
-            if k or key != (path[i], bits[i]):
-                yield from out()
-                key, members = (path[i], bits[i]), []
-            members.extend(fp[i:j].tolist())
-    yield from out()
+        def out() -> Iterator[pa.RecordBatch]:
+            if len(members) > 1 and (pairs := of([m & (1 << 64) - 1 for m in members])):
+                found = np.array(pairs, dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], names=names)
 
+        for batch in batches:
+            path, bits, fp = (batch.column(k).to_numpy() for k in ("path", "bits", "fp"))
+            if not len(fp):
+                continue
+            cuts = np.flatnonzero((path[1:] != path[:-1]) | (bits[1:] != bits[:-1])) + 1
+            starts, ends = np.append(0, cuts), np.append(cuts, len(fp))
+            for k, (i, j) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+                if k or key != (path[i], bits[i]):
+                    yield from out()
+                    key, members = (path[i], bits[i]), []
+                members.extend(fp[i:j].tolist())
+        yield from out()
 
-def links(fps: DataFrame, max_tree: int = MAX_TREE) -> DataFrame:
-    """`(a, b)` such that fingerprints hang together by links exactly if they do by these."""
+    return run
+
+
+def _in_trees(fps: DataFrame, max_tree: int, of: Callable[[list[int]], list[tuple]], names: list[str]) -> DataFrame:
     dealt = shards(fps, max_tree)
     together = dealt.repartition("path", "bits").sortWithinPartitions("path", "bits", "fp")
-    return together.mapInArrow(_tree_links, "a long, b long")
+    return together.mapInArrow(_tree_links(of, names), ", ".join(f"{c} long" for c in names))
+
+
+def links(fps: DataFrame, max_tree: int = MAX_TREE) -> DataFrame:
+    """`(a, b)` such that fingerprints hang together by links exactly if they do by these."""
+    return _in_trees(fps, max_tree, linked, ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -214,15 +236,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def near_pairs(texts: DataFrame) -> DataFrame:
-    """Distinct pairs `(a, b)` of `texts (node, text)`: equal fingerprints, and those that the trees link."""
+    """Distinct links `(a, b, fa, fb, bucket)` of `texts (node, text)` with equal fingerprints or such within `RADIUS`.
+
+    Texts hang together by these exactly if they do by all such links, so a large group gives
+    rows in proportion to its size. Where a link must pass a check too, alike texts may hang together
+    by unlike ones only, so the other pairs count as well: any two texts within the radius have
+    their fingerprints, `fa` or `fb`, in rows of one bucket, as `jaccard_join.groups` looks for them.
+    """
     prints = texts.select(F.col("node").alias("doc_id"), "text").mapInArrow(_fingerprints, "doc_id binary, fp long")
     prints = written(prints.distinct(), "fingerprints")
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    equal = prints.join(firsts.hint("merge"), "fp").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    of = lambda end: firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")).hint("merge")
-    found = links(firsts.select("fp")).join(of("a"), "a").join(of("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    alone = [F.col("fp").alias(c) for c in ("fa", "fb", "bucket")]
+    equal = prints.join(firsts.hint("merge"), "fp").select(F.col("first").alias("a"), F.col("doc_id").alias("b"), *alone)
+    of = lambda end: firsts.select(F.col("fp").alias(f"f{end}"), F.col("first").alias(end)).hint("merge")
+    found = _in_trees(firsts.select("fp"), MAX_TREE, near_members, ["fa", "fb", "bucket"]).join(of("a"), "fa").join(of("b"), "fb")
     both = equal.unionByName(found).where("a <> b")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = [F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("fa", "fb"), ("fb", "fa"))]
+    return both.select(*ends, "bucket").distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

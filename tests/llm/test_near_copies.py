@@ -102,3 +102,45 @@ def test_stage_takes_pairs_from_the_trees(spark, monkeypatch):
     monkeypatch.setattr(simhash, "near_pairs", told)
     kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     assert asked == [1] and sorted(r.doc_id for r in kept) == [2, 7, 9]
+
+
+def test_trees_lose_no_alike_pair_behind_unlike_ones(spark, monkeypatch):
+    """A run that texts repeat makes their fingerprints near, whatever else they say: most links there don't hold."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = []
+    for run in (200, 12):
+        for _ in range(25):
+            tail = [word() for _ in range(40)]
+            texts += [" ".join(["the"] * run + tail[:-1] + [word()]) for _ in range(3)]
+    prints, sets = [simhash.fingerprint(t) for t in texts], [grams(t) for t in texts]
+    near = lambda i, j: (prints[i] ^ prints[j]).bit_count() <= simhash.RADIUS
+    found = [(i, j) for i in range(len(texts)) for j in range(i) if near(i, j)]
+    links = [(i, j) for i, j in found if jaccard(sets[i], sets[j]) >= 0.8]
+    assert len(found) > 20 * len(links) > 1000 and any(prints[i] != prints[j] for i, j in links)
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+
+    def none_in_order(batches):
+        for batch in batches:
+            yield batch.select(["node", "node"]).rename_columns(["a", "b"]).slice(0, 0)
+
+    # Trees alone: what the join would add is left out here.
+    monkeypatch.setattr(jaccard_join, "_in_order", none_in_order)
+    monkeypatch.setattr(jaccard_join, "_candidate_table", lambda *_: spark.createDataFrame([], jaccard_join._MET_DDL))
+    docs = documents(spark, list(enumerate(texts))).repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert kept == {i for i in range(len(texts)) if root[i] == i}
+
+
+def test_links_of_the_trees_are_within_the_radius():
+    rng = random.Random(5)
+    prints = {rng.getrandbits(64)}
+    for _ in range(300):  # a chain: its ends are far apart
+        prints.add(rng.choice(sorted(prints)) ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64))
+    pairs = simhash.near_members(sorted(prints))
+    assert len(pairs) < len(prints) and all((a ^ b).bit_count() <= simhash.RADIUS for a, b, _ in pairs)
+    least = dict(simhash.linked(sorted(prints)))
+    assert {(x, r) for a, b, r in pairs for x in (a, b) if x != r} == set(least.items())
